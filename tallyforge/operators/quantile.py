@@ -9,7 +9,6 @@ number of rows.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,50 +19,56 @@ _DIGIT = 16
 def exact_percentiles(df: DataFrame, column: str, probs: Mapping[str, float], bits: int = 48) -> DataFrame:
     """One row with a double per entry of ``probs``, linearly interpolated between ranks.
 
-    ``column`` must be integral; nulls are ignored. The spread of the values must fit
-    in ``bits`` (a multiple of 16); a wider spread fails the query and never rounds.
+    ``column`` must be integral; nulls are ignored. Values must lie within ``bits`` bits
+    (a multiple of 16) around zero; one outside fails the query, nothing is rounded.
     """
-    hist = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    span = hist.agg(F.min("v").alias("low"), F.max("v").alias("high"), F.sum("n").alias("total"))
-    low = span.select("low").scalar()
-    offset = hist.select((F.col("v") - low).alias("o"), "n")
+    bias = 1 << (bits - 1)
+    hist = (df.where(F.col(column).isNotNull()).groupBy((F.col(column) + F.lit(bias)).alias("value"))
+            .agg(F.count(F.lit(1)).alias("n")))
+    fits = F.shiftrightunsigned(F.greatest("high", -F.col("low")), bits) == 0
+    total = hist.agg(F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total")).select(
+        F.when(fits, F.col("total")).otherwise(
+            F.raise_error(F.lit(f"values of {column} do not fit in {bits} bits")).cast("bigint")).alias("total"))
 
-    rank = lambda p: F.lit(float(p)) * (F.col("total") - 1).cast("double")
-    wanted = span.select(
-        F.assert_true(F.shiftrightunsigned(F.col("high") - F.col("low"), bits) == 0,
-                      f"values of {column} spread over more than {bits} bits").alias("ok"),
-        F.explode(F.array(*[
-            F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), (f(rank(p))).cast("bigint").alias("k"))
-            for name, p in probs.items() for side, f in (("lo", F.floor), ("hi", F.ceil))])).alias("w"))
-    # the assertion yields null when it holds; using it in a filter keeps it in the plan
-    found = wanted.where(F.col("ok").isNull()).select("w.name", "w.side", F.col("w.k").alias("k"),
-                                                      F.lit(0).cast("bigint").alias("prefix"))
+    def target(name: str, p: float, side: str):
+        position = F.lit(float(p)) * (F.col("total") - 1).cast("double")
+        rank = F.floor(position) if side == "lo" else F.ceil(position)
+        return F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), rank.cast("bigint").alias("k"),
+                        (position - F.floor(position).cast("double")).alias("share"))
+
+    targets = [target(name, p, side) for name, p in probs.items() for side in ("lo", "hi")]
+    # (prefix, ranks still wanted below that prefix); at first one empty prefix with all of them
+    wanted = total.select((F.col("total") * 0).alias("prefix"), F.array(*targets).alias("targets"))
+    found = None
     for shift in range(bits - _DIGIT, -1, -_DIGIT):
-        digits = offset.groupBy(F.shiftright("o", shift).alias("digit")).agg(F.sum("n").alias("n"))
-        digits = digits.withColumn("prefix", F.shiftright("digit", _DIGIT))
-        digits = digits.join(found.select("prefix").distinct(), "prefix", "left_semi")
-        upto = Window.partitionBy("prefix").orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)
-        cum = digits.withColumn("upto", F.sum("n").over(upto))
-        found = (found.join(cum, "prefix")
-                 .where((F.col("k") >= F.col("upto") - F.col("n")) & (F.col("k") < F.col("upto")))
-                 .select("name", "side", (F.col("k") - (F.col("upto") - F.col("n"))).alias("k"),
-                         F.col("digit").alias("prefix")))
-    pick = lambda name, side: F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col("prefix")))
-    ends = found.agg(*[pick(name, side).alias(f"{name}_{side}") for name in probs for side in ("lo", "hi")])
-    total = span.select("total").scalar()
-    out = []
-    for name, p in probs.items():
-        position = F.lit(float(p)) * (total - 1).cast("double")
-        step = (F.col(f"{name}_hi") - F.col(f"{name}_lo")).cast("double")
-        base = (F.col(f"{name}_lo") + low).cast("double")
-        out.append((base + step * (position - F.floor(position).cast("double"))).alias(name))
-    return ends.select(*out)
+        digits = (hist.select(F.shiftright("value", shift).alias("digit"), "n")
+                  .withColumn("prefix", F.shiftright("digit", _DIGIT)).join(wanted, "prefix")
+                  .groupBy("prefix", "digit").agg(F.sum("n").alias("n"), F.first("targets").alias("targets")))
+        ordered = Window.partitionBy("prefix").orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)
+        found = (digits.withColumn("below", F.sum("n").over(ordered) - F.col("n"))
+                 .select("digit", "n", "below", F.explode("targets").alias("t"))
+                 .where((F.col("t.k") >= F.col("below")) & (F.col("t.k") < F.col("below") + F.col("n")))
+                 .select(F.col("digit").alias("prefix"), "t.name", "t.side",
+                         (F.col("t.k") - F.col("below")).alias("k"), "t.share"))
+        wanted = found.groupBy("prefix").agg(F.collect_list(F.struct("name", "side", "k", "share")).alias("targets"))
+
+    def pick(name: str, side: str, what: str):
+        return F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col(what)))
+
+    ends = found.agg(*[e for name in probs for e in (
+        (pick(name, "lo", "prefix") - F.lit(bias)).cast("double").alias(f"{name}_lo"),
+        (pick(name, "hi", "prefix") - F.lit(bias)).cast("double").alias(f"{name}_hi"),
+        pick(name, "lo", "share").alias(f"{name}_share"))])
+    return ends.select(*[
+        (F.col(f"{n}_lo") + (F.col(f"{n}_hi") - F.col(f"{n}_lo")) * F.col(f"{n}_share")).alias(n) for n in probs])
 
 
 def percentile_tiers(df: DataFrame, column: str, probs: Mapping[str, float], cuts: DataFrame | None = None,
-                     name: str = "tier", above: str | None = None) -> DataFrame:
-    """Tier per row: the first percentile the value does not exceed, else ``above``."""
+                     name: str = "tier") -> DataFrame:
+    """Tier per row, named after the first percentile the value does not exceed, else after the last one."""
     cuts = exact_percentiles(df, column, probs) if cuts is None else cuts
-    tests = [F.when(F.col(column) <= cuts.select(p).scalar(), F.lit(f"<={p.lstrip('p')}")) for p in probs]
-    last = above or f">{list(probs)[-1].lstrip('p')}"
-    return df.withColumn(name, reduce(lambda a, b: F.coalesce(a, b), [*tests, F.lit(last)]))
+    row = cuts.select(F.struct(*probs).alias("cuts")).scalar()
+    tier = F.lit(f">{100 * list(probs.values())[-1]:g}")
+    for p, share in reversed(probs.items()):
+        tier = F.when(F.col(column) <= row[p], F.lit(f"<={100 * share:g}")).otherwise(tier)
+    return df.withColumn(name, tier)

@@ -170,6 +170,33 @@ class Model:
         return self.table("orders").groupBy(F.col("o_custkey").alias("account_id")).agg(
             F.min("o_orderdate").cast("date").alias("first_use_date"))
 
+    @cached_property
+    def inventory(self) -> DataFrame:
+        """Inventory rows with a nested array of equipped items."""
+        li, od = self.table("lineitem"), self.table("orders")
+
+        def worn(part, item):
+            return F.struct(part.cast("string").alias("part"), item.cast("string").alias("itemid"))
+
+        return li.join(od, li.l_orderkey == od.o_orderkey).select(
+            F.col("o_custkey").alias("account_id"), F.col("l_shipdate").cast("date").alias("date_updated"),
+            F.array(worn(F.col("l_linenumber"), F.col("l_partkey")),
+                    worn(8 - F.col("l_linenumber"), F.col("l_suppkey"))).alias("equips"))
+
+    @cached_property
+    def parts(self) -> DataFrame:
+        """Body parts an item can sit on, with store categories; derived from the part sizes."""
+        n = F.expr("(p_size - 1) div 8 + 1")
+        return self.table("part").select(n.alias("n")).distinct().select(
+            F.concat(F.lit("desc."), F.col("n").cast("string")).alias("part_id"),
+            F.when(F.col("n") <= 3, "weapon").when(F.col("n") <= 5, "outfit").otherwise("vehicle").alias("category"),
+            F.when(F.col("n") % 2 == 0, "even").otherwise("odd").alias("sub_category"))
+
+    @cached_property
+    def part_names(self) -> DataFrame:
+        return self.parts.where("category = 'weapon'").select(
+            "part_id", F.concat(F.lit("blade "), F.col("part_id")).alias("name"))
+
     # -- logs -------------------------------------------------------------
     @cached_property
     def log(self) -> DataFrame:
@@ -323,6 +350,18 @@ WITH regions AS (
   FROM lines, (VALUES (0), (30)) e(days)
 ), first_use AS (
   SELECT o_custkey AS account_id, CAST(min(o_orderdate) AS DATE) AS first_use_date FROM orders GROUP BY 1
+), worn AS (
+  SELECT o_custkey AS account_id, CAST(l_shipdate AS DATE) AS date_updated, CAST(l_linenumber AS VARCHAR) AS part,
+    CAST(l_partkey AS VARCHAR) AS itemid FROM lines
+  UNION ALL
+  SELECT o_custkey, CAST(l_shipdate AS DATE), CAST(8 - l_linenumber AS VARCHAR), CAST(l_suppkey AS VARCHAR) FROM lines
+), parts AS (
+  SELECT 'desc.' || CAST(n AS VARCHAR) AS part_id,
+    CASE WHEN n <= 3 THEN 'weapon' WHEN n <= 5 THEN 'outfit' ELSE 'vehicle' END AS category,
+    CASE WHEN n % 2 = 0 THEN 'even' ELSE 'odd' END AS sub_category
+  FROM (SELECT DISTINCT (p_size - 1) // 8 + 1 AS n FROM part)
+), part_names AS (
+  SELECT part_id, 'blade ' || part_id AS name FROM parts WHERE category = 'weapon'
 ), log AS (
   SELECT event_id, user_id AS account_id, ts AS time, CAST(ts AS DATE) AS date, event_type,
     CAST(round(value * 100) AS BIGINT) AS cents, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events
