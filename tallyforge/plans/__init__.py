@@ -4,3 +4,4 @@ from tallyforge.plans.registry import ORACLES, QUERIES, query  # noqa: F401
 from tallyforge.plans import kpi_queries  # noqa: F401
 from tallyforge.plans import enrich_queries  # noqa: F401
 from tallyforge.plans import mart_queries  # noqa: F401
+from tallyforge.plans import cohort_queries  # noqa: F401
