@@ -42,7 +42,8 @@ def exact_percentiles(df: DataFrame, column: str, probs: Mapping[str, float], bi
     found = None
     for shift in range(bits - _DIGIT, -1, -_DIGIT):
         digits = (hist.select(F.shiftright("value", shift).alias("digit"), "n")
-                  .withColumn("prefix", F.shiftright("digit", _DIGIT)).join(wanted, "prefix")
+                  .withColumn("prefix", F.shiftright("digit", _DIGIT))
+                  .join(F.broadcast(wanted), "prefix")  # at most two rows per entry of probs
                   .groupBy("prefix", "digit").agg(F.sum("n").alias("n"), F.first("targets").alias("targets")))
         ordered = Window.partitionBy("prefix").orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)
         found = (digits.withColumn("below", F.sum("n").over(ordered) - F.col("n"))

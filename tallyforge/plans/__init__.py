@@ -8,3 +8,4 @@ from tallyforge.plans import cohort_queries  # noqa: F401
 from tallyforge.plans import sequence_queries  # noqa: F401
 from tallyforge.plans import segment_queries  # noqa: F401
 from tallyforge.plans import state_queries  # noqa: F401
+from tallyforge.plans import lake_queries  # noqa: F401

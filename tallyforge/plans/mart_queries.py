@@ -106,9 +106,8 @@ def mart_paid_by_product_daily(t):
 @query("mart_event_sales", _users_sql(None, True) + f"""
 SELECT {_DIMS}, sub_category, event_type, event_name, count(DISTINCT account_id) AS pu, CAST(sum(free_use) AS BIGINT) AS free_used,
   CAST(sum(paid_use) AS BIGINT) AS paid_used, DATE '{DAY}' AS date
-FROM sales LEFT JOIN mu USING (account_id, platform) WHERE FALSE GROUP BY 1, 2, 3, 4, 5, 6, 7
-""".replace("sales LEFT JOIN mu USING (account_id, platform) WHERE FALSE",
-            f"(SELECT * EXCLUDE (platform) FROM sales WHERE channel <> 'R' AND date = DATE '{DAY}') LEFT JOIN mu USING (account_id)"))
+FROM (SELECT * EXCLUDE (platform) FROM sales WHERE channel <> 'R' AND date = DATE '{DAY}') LEFT JOIN mu USING (account_id)
+GROUP BY 1, 2, 3, 4, 5, 6, 7""")
 def mart_event_sales(t):
     return marts.event_sales(t.snapshot, t.regions, t.membership, _coin(t), DAY)
 

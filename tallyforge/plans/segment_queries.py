@@ -11,7 +11,7 @@ from tallyforge.plans.registry import query
 from tallyforge.plans.sequence_queries import OWNED, owned
 
 # Fixed values of the registered reports.
-EDGES = [(20_000_00, "A"), (60_000_00, "B"), (120_000_00, "C"), (200_000_00, "D")]
+EDGES = [(120_000_000, "A"), (180_000_000, "B"), (210_000_000, "C"), (240_000_000, "D")]
 QUINTILES = {"q20": 0.2, "q40": 0.4, "q60": 0.6, "q80": 0.8}
 PASS, PRODUCT, LEVEL = "Brand#1", "Brand#2", "Brand#3"
 SHORT = {"black": "SB", "white": "SW", "yellow": "EY"}
@@ -23,8 +23,8 @@ PER_USER = "SELECT account_id, CAST(sum(paid_use) AS BIGINT) AS paid_use, CAST(s
 
 @query("spend_tiers", f"""
 , p AS ({PER_USER})
-SELECT CASE WHEN total_use <= 2000000 THEN 'A' WHEN total_use <= 6000000 THEN 'B' WHEN total_use <= 12000000 THEN 'C'
-  WHEN total_use <= 20000000 THEN 'D' ELSE 'E' END AS tier, count(*) AS users, CAST(sum(total_use) AS BIGINT) AS total_use FROM p GROUP BY 1""")
+SELECT CASE WHEN total_use <= 120000000 THEN 'A' WHEN total_use <= 180000000 THEN 'B' WHEN total_use <= 210000000 THEN 'C'
+  WHEN total_use <= 240000000 THEN 'D' ELSE 'E' END AS tier, count(*) AS users, CAST(sum(total_use) AS BIGINT) AS total_use FROM p GROUP BY 1""")
 def spend_tiers(t):
     return segment.spend_tiers(t.purchases, EDGES).groupBy("tier").agg(
         F.count("account_id").alias("users"), F.sum("total_use").alias("total_use"))
