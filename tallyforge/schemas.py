@@ -1,23 +1,14 @@
-"""Declared schemas of the model's tables, for scans that must not infer one."""
+"""Declared schemas (DDL text) of the model's tables, for scans that must not infer one."""
 
-from __future__ import annotations
-
-from pyspark.sql import types as T
-
-
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-PURCHASES = _schema(
+PURCHASES = (
     "account_id string, device string, platform string, product_id string, sales_id string, date date, time timestamp_ntz, "
     "qty bigint, free_use bigint, paid_use bigint, price bigint, transaction_id string")
-CASH_PURCHASES = _schema(
+CASH_PURCHASES = (
     "account_id string, platform string, product_id string, time timestamp_ntz, date date, unit_sold bigint")
-OFFERS = _schema(
+OFFERS = (
     "platform string, product_id string, offer_id string, currency string, start_time timestamp_ntz, list_price bigint, "
     "product_name string, event_name string, event_type string, sub_category string")
-LEDGER = _schema(
+LEDGER = (
     "account_id string, date date, device string, platform string, first_use_date date, by_expiry array<struct<expiry_date: date, "
     "daily_free_topup: bigint, daily_paid_topup: bigint, daily_free_use: bigint, daily_paid_use: bigint, total_free_topup: bigint, "
     "total_paid_topup: bigint, total_free_topup_refunds: bigint, total_paid_topup_refunds: bigint, total_free_use: bigint, "
@@ -25,23 +16,23 @@ LEDGER = _schema(
 LEDGER_MEASURES = [
     "total_free_topup", "total_paid_topup", "total_free_topup_refunds", "total_paid_topup_refunds", "total_free_use",
     "total_paid_use", "total_free_returns", "total_paid_returns", "free_balance", "paid_balance"]
-SNAPSHOT = _schema(
+SNAPSHOT = (
     "account_id string, date date, device string, platform string, server_type string, country_os string, country_ip string, "
     "first_login date, last_login date, days_since int")
-REGIONS = _schema("country_code string, region string")
-MEMBERSHIP = _schema("account_id string, date date, membership string")
-CALENDAR = _schema("name string, device string, start_date date, end_date date")
-CURRENCY_LOG = _schema(
+REGIONS = ("country_code string, region string")
+MEMBERSHIP = ("account_id string, date date, membership string")
+CALENDAR = ("name string, device string, start_date date, end_date date")
+CURRENCY_LOG = (
     "account_id string, time timestamp_ntz, date date, currency string, amount bigint, reason string, reason_detail string")
-PURCHASE_LOG = _schema(
+PURCHASE_LOG = (
     "account_id string, time timestamp_ntz, date date, currency string, product_id string, item_id string, amount bigint, "
     "local_price bigint, event_name string, event_type string")
-WORKSHOP_LOG = _schema(
+WORKSHOP_LOG = (
     "account_id string, time timestamp_ntz, date date, action string, item_id string, reason string, amount bigint, open_amount bigint")
-VOTES = _schema("account_id string, date date, game_id string")
-CLICKS = _schema("account_id string, time timestamp_ntz, date date, category string, action string, label string")
-PASS_STATUS = _schema(
+VOTES = ("account_id string, date date, game_id string")
+CLICKS = ("account_id string, time timestamp_ntz, date date, category string, action string, label string")
+PASS_STATUS = (
     "account_id string, date date, platform string, pass_name string, status string, level int, levelup_xp bigint")
-INVENTORY = _schema("account_id string, date date, date_updated date, equips array<struct<part: string, itemid: string>>")
-PHASE_LOG = _schema(
+INVENTORY = ("account_id string, date date, date_updated date, equips array<struct<part: string, itemid: string>>")
+PHASE_LOG = (
     "session_id string, account_id string, time timestamp_ntz, phase decimal(3,1), item_id string, kind string")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # No-break space and curly quote, both repaired to a blank.
-REPAIRED = " ’"
+REPAIRED = "\u00a0\u2019"
 
 
 def read_table(spark: SparkSession, database: str, table: str, connection: Mapping[str, str] | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tallyforge.functions.periods import as_date
 
 
-def lake_table(spark: SparkSession, path: str, schema: T.StructType | None = None, merge_schema: bool = False,
+def lake_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None, merge_schema: bool = False,
                skip_unreadable: bool = False, empty_if_missing: bool = False) -> DataFrame:
     """A partitioned parquet table.
 
