@@ -102,7 +102,7 @@ def either_key_join(t):
 @query("lookup_join", """
 , cash AS (SELECT account_id, platform, product_id, date, qty, price, CASE WHEN channel <> 'A' THEN time END AS time FROM purchases),
 dim AS (SELECT platform, product_id, product_name, list_price FROM offers WHERE version = 1)
-SELECT platform, product_name, status, coalesce(time, CAST(date AS TIMESTAMP)) AS time, count(*) AS lines,
+SELECT platform, product_name, status, CAST(hour(coalesce(time, CAST(date AS TIMESTAMP))) AS INTEGER) AS hour, count(*) AS lines,
   CAST(sum(qty * list_price) AS BIGINT) AS revenue
 FROM (SELECT *, 'Succeeded' AS status FROM cash WHERE product_id NOT IN ('7', '11')) LEFT JOIN dim USING (platform, product_id)
 GROUP BY 1, 2, 3, 4""")
@@ -111,7 +111,7 @@ def lookup_join(t):
                               F.when(F.col("channel") != "A", F.col("time")).alias("time"))
     dim = t.offers.where("version = 1").select("platform", "product_id", "product_name", "list_price")
     joined = joins.with_revenue(joins.lookup_join(cash, dim, ["platform", "product_id"], GIVEAWAYS), "qty", "list_price")
-    return joined.groupBy("platform", "product_name", "status", "time").agg(
+    return joined.groupBy("platform", "product_name", "status", F.hour("time").alias("hour")).agg(
         F.count(F.lit(1)).alias("lines"), F.sum("revenue").alias("revenue"))
 
 
