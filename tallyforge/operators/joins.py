@@ -45,20 +45,24 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str])
     return best.select(*keys, "__first.*")
 
 
-def active_users(users: DataFrame, start: str | Column | None = None, mode: str = "since",
-                 day: str = "date", login: str = "last_login") -> DataFrame:
-    """Live accounts on a real platform, active in one of two senses.
+def is_active(start: str | Column | None = None, mode: str = "since", day: str = "date", login: str = "last_login") -> Column:
+    """Condition for a live account on a real platform, active in one of two senses.
 
     ``since``: last login on or after ``start`` (one closing snapshot);
     ``same_day``: last login on the snapshot's own day (a daily snapshot each);
     ``any``: no login condition.
     """
-    kept = users.where((F.col("server_type") == "LIVE") & ~F.col("platform").like("%NULL%"))
+    live = (F.col("server_type") == "LIVE") & ~F.col("platform").like("%NULL%")
     if mode == "since":
-        return kept.where(F.col(login) >= as_date(start))
+        return live & (F.col(login) >= as_date(start))
     if mode == "same_day":
-        return kept.where(F.col(login) == F.col(day))
-    return kept
+        return live & (F.col(login) == F.col(day))
+    return live
+
+
+def active_users(users: DataFrame, start: str | Column | None = None, mode: str = "since",
+                 day: str = "date", login: str = "last_login") -> DataFrame:
+    return users.where(is_active(start, mode, day, login))
 
 
 def version_ranges(dim: DataFrame, keys: Sequence[str], start: str = "start_time") -> DataFrame:
@@ -108,11 +112,7 @@ def either_key_join(facts: DataFrame, dim: DataFrame, fact_id: str, dim_id: str,
     on = [F.col(k) == F.col(f"__{k}") for k in keys]
     on += [F.col("__has_id") == F.col("__by_id"), F.col("__fact_key") == F.col("__key"), _in_range(time)]
     helpers = ["__has_id", "__fact_key", "__by_id", "__key", "valid_from", "valid_to", *[f"__{k}" for k in keys]]
-    return facts_join(keyed, by_id.unionByName(by_item), on).drop(*helpers)
-
-
-def facts_join(facts: DataFrame, dim: DataFrame, on: Sequence[Column]) -> DataFrame:
-    return facts.join(dim, list(on), "left")
+    return keyed.join(by_id.unionByName(by_item), on, "left").drop(*helpers)
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], exclude: Sequence[str] = (),

@@ -68,8 +68,8 @@ def percentile_tiers(df: DataFrame, column: str, probs: Mapping[str, float], cut
                      name: str = "tier") -> DataFrame:
     """Tier per row, named after the first percentile the value does not exceed, else after the last one."""
     cuts = exact_percentiles(df, column, probs) if cuts is None else cuts
-    row = cuts.select(F.struct(*probs).alias("cuts")).scalar()
     tier = F.lit(f">{100 * list(probs.values())[-1]:g}")
     for p, share in reversed(probs.items()):
-        tier = F.when(F.col(column) <= row[p], F.lit(f"<={100 * share:g}")).otherwise(tier)
-    return df.withColumn(name, tier)
+        tier = F.when(F.col(column) <= F.col(f"__cuts.{p}"), F.lit(f"<={100 * share:g}")).otherwise(tier)
+    with_cuts = df.withColumn("__cuts", cuts.select(F.struct(*probs)).scalar())
+    return with_cuts.withColumn(name, tier).drop("__cuts")

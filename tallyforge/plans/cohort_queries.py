@@ -134,11 +134,11 @@ def anti_cohort(t):
 
 @query("participation_codes", """
 , c AS (SELECT DISTINCT account_id, 1 AS code FROM sales WHERE event_name = 'Brand#1'
-  UNION ALL SELECT DISTINCT account_id, 3 FROM sales WHERE event_name = 'Brand#2'
-  UNION ALL SELECT DISTINCT account_id, 5 FROM sales WHERE event_name = 'Brand#3')
+  UNION ALL SELECT DISTINCT account_id, 3 FROM purchase_log WHERE local_price > 12000
+  UNION ALL SELECT DISTINCT account_id, 5 FROM pass_status WHERE levelup_xp > 12000)
 SELECT CAST(code AS BIGINT) AS code, count(*) AS users FROM (SELECT account_id, sum(code) AS code FROM c GROUP BY 1) GROUP BY 1""")
 def participation_codes(t):
-    return cohort.participation([(_brand(t, "Brand#1"), 1), (_brand(t, "Brand#2"), 3), (_brand(t, "Brand#3"), 5)])
+    return cohort.participation([(_brand(t, "Brand#1"), 1), (t.purchase_log.where("local_price > 12000"), 3), (t.pass_status.where("levelup_xp > 12000"), 5)])
 
 
 FIRSTS = """

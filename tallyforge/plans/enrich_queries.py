@@ -134,10 +134,9 @@ SELECT device, count(*) AS all_live, count(CASE WHEN last_login >= DATE '2001-06
   count(CASE WHEN last_login = first_login THEN 1 END) AS same_day FROM ok GROUP BY 1""")
 def active_user_modes(t):
     live = joins.active_users(t.snapshot, mode="any")
-    since = joins.active_users(t.snapshot, "2001-06-01").select("account_id", F.lit(1).alias("s"))
-    same = joins.active_users(t.snapshot, mode="same_day", day="first_login").select("account_id", F.lit(1).alias("d"))
-    return (live.join(since, "account_id", "left").join(same, "account_id", "left").groupBy("device")
-            .agg(F.count(F.lit(1)).alias("all_live"), F.count("s").alias("since"), F.count("d").alias("same_day")))
+    return live.groupBy("device").agg(
+        F.count(F.lit(1)).alias("all_live"), F.count_if(joins.is_active("2001-06-01")).alias("since"),
+        F.count_if(joins.is_active(mode="same_day", day="first_login")).alias("same_day"))
 
 
 @query("period_windows", "".join([

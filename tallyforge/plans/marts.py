@@ -164,9 +164,9 @@ def campaign_kpi(snapshot: DataFrame, coin: DataFrame, ledger: DataFrame, calend
            .join(of_campaign.where(F.col("date") == as_date(day)), "account_id", "left_semi")
            .select(F.count_distinct("account_id").alias("npu")))
     return live.select(
-        as_date(day).alias("date"), "name", au.scalar().alias("cum_au"), sold["pu"].alias("cum_pu"),
-        sold["paid_pu"].alias("cum_paid_pu"), sold["free_use"].alias("cum_free_use"),
-        sold["paid_use"].alias("cum_paid_use"), new.scalar().alias("daily_npu"))
+        as_date(day).alias("date"), "name", au.scalar().alias("cum_au"), sold.alias("s"), new.scalar().alias("daily_npu")
+    ).select("date", "name", "cum_au", F.col("s.pu").alias("cum_pu"), F.col("s.paid_pu").alias("cum_paid_pu"),
+             F.col("s.free_use").alias("cum_free_use"), F.col("s.paid_use").alias("cum_paid_use"), "daily_npu")
 
 
 def point_sales(log: DataFrame, items: DataFrame, calendar: DataFrame, day: str, currency: str) -> DataFrame:
@@ -264,8 +264,8 @@ def item_users(equipped: DataFrame, cuts: DataFrame) -> DataFrame:
     levels = [["region", "tier", "category", "part"], ["region", "tier", "category"], ["region", "tier"]]
     out = people_and_sums(equipped, "account_id", levels[0], {"users": True}, levels=levels,
                           labels={"category": TOTAL, "part": TOTAL})
-    limits = cuts.select(F.struct(*SPEND_PERCENTILES).alias("c")).scalar()
-    return out.withColumns({p: limits[p] for p in SPEND_PERCENTILES})
+    limits = cuts.select(F.struct(*SPEND_PERCENTILES)).scalar()
+    return out.withColumn("__limits", limits).select("*", "__limits.*").drop("__limits")
 
 
 def top_items(equipped: DataFrame, n: int = 50) -> DataFrame:
