@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 _PICK = "__level"
 
 
-def _flag(condition: Column | bool | str) -> Column:
-    if isinstance(condition, str):
-        condition = F.expr(condition)
-    if not isinstance(condition, Column):
-        condition = F.lit(bool(condition))
-    return F.coalesce(condition, F.lit(False))
+def _flag(condition: Column | bool | str, name: str) -> Column:
+    """Whether a condition, given as SQL text, a column or a constant, held for any row; unknown is no."""
+    if isinstance(condition, Column):
+        return F.max(F.coalesce(condition, F.lit(False))).alias(name)
+    text = str(condition).lower() if isinstance(condition, bool) else condition
+    return F.expr(f"max(coalesce({text}, false)) AS {name}")
 
 
 def people_and_sums(
@@ -41,9 +41,9 @@ def people_and_sums(
     Rows with a null ``key`` count in sums and rows but not as people.
     """
     people, sums, labels = dict(people or {}), dict(sums or {}), dict(labels or {})
-    keep = [F.max(_flag(c)).alias(f"__p_{n}") for n, c in people.items()]
-    keep += [F.sum(c if isinstance(c, Column) else F.col(c)).alias(f"__s_{n}") for n, c in sums.items()]
-    keep += [F.count(F.lit(1)).alias("__rows")]
+    keep = [_flag(c, f"__p_{n}") for n, c in people.items()]
+    keep += [F.sum(c).alias(f"__s_{n}") for n, c in sums.items()]
+    keep += [F.expr("count(1) AS __rows")]
     who = [*dims, key]
     if levels is None:
         per_person, groups = df.groupBy(*who).agg(*keep), list(dims)
@@ -52,9 +52,9 @@ def people_and_sums(
         keep.append(F.grouping_id().alias(_PICK))
         per_person, groups = df.groupingSets(sets, *[F.col(c) for c in who]).agg(*keep), [*dims, _PICK]
     out = per_person.groupBy(*groups).agg(
-        *[F.count(F.when(F.col(f"__p_{n}"), F.col(key))).alias(n) for n in people],
-        *[F.sum(f"__s_{n}").alias(n) for n in sums],
-        *([F.sum("__rows").alias(rows)] if rows else []),
+        *[F.expr(f"count(CASE WHEN __p_{n} THEN `{key}` END) AS `{n}`") for n in people],
+        *[F.expr(f"sum(__s_{n}) AS `{n}`") for n in sums],
+        *([F.expr(f"sum(__rows) AS `{rows}`")] if rows else []),
     )
     if levels is None:
         return out

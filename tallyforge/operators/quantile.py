@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _DIGIT = 16
@@ -23,45 +23,31 @@ def exact_percentiles(df: DataFrame, column: str, probs: Mapping[str, float], bi
     (a multiple of 16) around zero; one outside fails the query, nothing is rounded.
     """
     bias = 1 << (bits - 1)
-    hist = (df.where(F.col(column).isNotNull()).groupBy((F.col(column) + F.lit(bias)).alias("value"))
-            .agg(F.count(F.lit(1)).alias("n")))
-    fits = F.shiftrightunsigned(F.greatest("high", -F.col("low")), bits) == 0
-    total = hist.agg(F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total")).select(
-        F.when(fits, F.col("total")).otherwise(
-            F.raise_error(F.lit(f"values of {column} do not fit in {bits} bits")).cast("bigint")).alias("total"))
-
-    def target(name: str, p: float, side: str):
-        position = F.lit(float(p)) * (F.col("total") - 1).cast("double")
-        rank = F.floor(position) if side == "lo" else F.ceil(position)
-        return F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), rank.cast("bigint").alias("k"),
-                        (position - F.floor(position).cast("double")).alias("share"))
-
-    targets = [target(name, p, side) for name, p in probs.items() for side in ("lo", "hi")]
+    hist = (df.where(f"`{column}` IS NOT NULL").groupBy(F.expr(f"`{column}` + {bias}L AS value")).agg(F.expr("count(1) AS n")))
+    total = hist.agg(F.expr(f"""
+        CASE WHEN shiftrightunsigned(greatest(max(value), -min(value)), {bits}) = 0 THEN sum(n)
+             ELSE CAST(raise_error('values of {column} do not fit in {bits} bits') AS BIGINT) END AS total"""))
+    # the ranks below and above each wanted position, and how far between them it lies
+    targets = ", ".join(
+        f"named_struct('name', '{name}', 'side', '{side}', 'k', CAST({rank}({p!r}D * (total - 1)) AS BIGINT), "
+        f"'share', {p!r}D * (total - 1) - floor({p!r}D * (total - 1)))"
+        for name, p in probs.items() for side, rank in (("lo", "floor"), ("hi", "ceil")))
     # (prefix, ranks still wanted below that prefix); at first one empty prefix with all of them
-    wanted = total.select((F.col("total") * 0).alias("prefix"), F.array(*targets).alias("targets"))
+    wanted = total.selectExpr("total * 0 AS prefix", f"array({targets}) AS targets")
     found = None
     for shift in range(bits - _DIGIT, -1, -_DIGIT):
-        digits = (hist.select(F.shiftright("value", shift).alias("digit"), "n")
-                  .withColumn("prefix", F.shiftright("digit", _DIGIT))
+        digits = (hist.selectExpr(f"shiftright(value, {shift}) AS digit", f"shiftright(value, {shift + _DIGIT}) AS prefix", "n")
                   .join(F.broadcast(wanted), "prefix")  # at most two rows per entry of probs
-                  .groupBy("prefix", "digit").agg(F.sum("n").alias("n"), F.first("targets").alias("targets")))
-        ordered = Window.partitionBy("prefix").orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)
-        found = (digits.withColumn("below", F.sum("n").over(ordered) - F.col("n"))
-                 .select("digit", "n", "below", F.explode("targets").alias("t"))
-                 .where((F.col("t.k") >= F.col("below")) & (F.col("t.k") < F.col("below") + F.col("n")))
-                 .select(F.col("digit").alias("prefix"), "t.name", "t.side",
-                         (F.col("t.k") - F.col("below")).alias("k"), "t.share"))
-        wanted = found.groupBy("prefix").agg(F.collect_list(F.struct("name", "side", "k", "share")).alias("targets"))
-
-    def pick(name: str, side: str, what: str):
-        return F.max(F.when((F.col("name") == name) & (F.col("side") == side), F.col(what)))
-
-    ends = found.agg(*[e for name in probs for e in (
-        (pick(name, "lo", "prefix") - F.lit(bias)).cast("double").alias(f"{name}_lo"),
-        (pick(name, "hi", "prefix") - F.lit(bias)).cast("double").alias(f"{name}_hi"),
-        pick(name, "lo", "share").alias(f"{name}_share"))])
-    return ends.select(*[
-        (F.col(f"{n}_lo") + (F.col(f"{n}_hi") - F.col(f"{n}_lo")) * F.col(f"{n}_share")).alias(n) for n in probs])
+                  .groupBy("prefix", "digit").agg(F.expr("sum(n) AS n"), F.expr("first(targets) AS targets")))
+        found = (digits.selectExpr("*", "sum(n) OVER (PARTITION BY prefix ORDER BY digit ROWS UNBOUNDED PRECEDING) - n AS below")
+                 .selectExpr("digit", "n", "below", "explode(targets) AS t")
+                 .where("t.k >= below AND t.k < below + n")
+                 .selectExpr("digit AS prefix", "t.name", "t.side", "t.k - below AS k", "t.share"))
+        wanted = found.groupBy("prefix").agg(F.expr("collect_list(struct(name, side, k, share)) AS targets"))
+    value = f"CAST(max(prefix) FILTER (WHERE name = '{{}}' AND side = '{{}}') - {bias}L AS DOUBLE)"
+    return found.agg(*[F.expr(
+        f"{value.format(n, 'lo')} + ({value.format(n, 'hi')} - {value.format(n, 'lo')}) * max(share) FILTER (WHERE name = '{n}' AND side = 'lo') AS {n}"
+    ) for n in probs])
 
 
 def percentile_tiers(df: DataFrame, column: str, probs: Mapping[str, float], cuts: DataFrame | None = None,

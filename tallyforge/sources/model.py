@@ -26,269 +26,215 @@ class Model:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self._tables[name]
+
+    def _joined(self, left: str, right: str, left_key: str, right_key: str) -> DataFrame:
+        return self.table(left).join(self.table(right), F.expr(f"{left_key} = {right_key}"))
 
     # -- people -----------------------------------------------------------
     @cached_property
     def regions(self) -> DataFrame:
-        n, r = self.table("nation"), self.table("region")
-        return n.join(r, n.n_regionkey == r.r_regionkey).select(
-            F.col("n_name").alias("country_code"), F.col("r_name").alias("region"))
+        return self._joined("nation", "region", "n_regionkey", "r_regionkey").selectExpr(
+            "n_name AS country_code", "r_name AS region")
 
     @cached_property
     def users(self) -> DataFrame:
-        c, n, r = self.table("customer"), self.table("nation"), self.table("region")
-        return (
-            c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
-            .select(F.col("c_custkey").alias("account_id"), F.col("r_name").alias("region"),
-                    F.col("c_mktsegment").alias("membership"), F.col("n_name").alias("country"))
-        )
+        placed = self._joined("customer", "nation", "c_nationkey", "n_nationkey").join(
+            self.table("region"), F.expr("n_regionkey = r_regionkey"))
+        return placed.selectExpr("c_custkey AS account_id", "r_name AS region", "c_mktsegment AS membership", "n_name AS country")
 
     @cached_property
     def membership(self) -> DataFrame:
         """Accounts in debt hold no membership."""
-        return (self.table("customer").where("c_acctbal >= 0")
-                .select(F.col("c_custkey").alias("account_id"), F.col("c_mktsegment").alias("membership")))
+        return self.table("customer").where("c_acctbal >= 0").selectExpr("c_custkey AS account_id", "c_mktsegment AS membership")
 
     @cached_property
     def snapshot(self) -> DataFrame:
         """One user row as of the end of the data: device, server, both countries, login days."""
         logins = self.table("orders").groupBy("o_custkey").agg(
-            F.min("o_orderdate").cast("date").alias("first_login"),
-            F.max("o_orderdate").cast("date").alias("last_login"))
-        c, n = self.table("customer"), self.table("nation")
-        return (
-            c.join(n, c.c_nationkey == n.n_nationkey).join(logins, F.col("c_custkey") == F.col("o_custkey"))
-            .select(
-                F.col("c_custkey").alias("account_id"),
-                F.when(F.col("c_acctbal") >= 5000, "console").otherwise("pc").alias("device"),
-                F.when(F.col("c_acctbal") > 9800, "NULL_X").when(F.col("n_nationkey") < 13, "west")
-                .otherwise("east").alias("platform"),
-                F.when(F.col("c_acctbal").between(4500, 5000), "TEST").otherwise("LIVE").alias("server_type"),
-                F.when(F.col("c_mktsegment") == "MACHINERY", "CN").when(F.col("c_mktsegment") == "BUILDING", None)
-                .otherwise("US").alias("country_os"),
-                F.col("n_name").alias("country_ip"),
-                "first_login", "last_login",
-            )
-        )
+            F.expr("CAST(min(o_orderdate) AS DATE) AS first_login"), F.expr("CAST(max(o_orderdate) AS DATE) AS last_login"))
+        return self._joined("customer", "nation", "c_nationkey", "n_nationkey").join(
+            logins, F.expr("c_custkey = o_custkey")).selectExpr(
+            "c_custkey AS account_id",
+            "CASE WHEN c_acctbal >= 5000 THEN 'console' ELSE 'pc' END AS device",
+            "CASE WHEN c_acctbal > 9800 THEN 'NULL_X' WHEN n_nationkey < 13 THEN 'west' ELSE 'east' END AS platform",
+            "CASE WHEN c_acctbal BETWEEN 4500 AND 5000 THEN 'TEST' ELSE 'LIVE' END AS server_type",
+            "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'CN' WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE 'US' END AS country_os",
+            "n_name AS country_ip", "first_login", "last_login")
 
     @cached_property
     def active_days(self) -> DataFrame:
         """Daily activity snapshot: one row per order, with the user's attributes of that day."""
-        return self.table("orders").select(
-            F.col("o_custkey").alias("account_id"), F.col("o_orderdate").cast("date").alias("date"),
-            F.col("o_orderstatus").alias("platform"), F.col("o_orderpriority").alias("play_mode"))
+        return self.table("orders").selectExpr(
+            "o_custkey AS account_id", "CAST(o_orderdate AS DATE) AS date", "o_orderstatus AS platform", "o_orderpriority AS play_mode")
 
     # -- purchases --------------------------------------------------------
     @cached_property
-    def purchases(self) -> DataFrame:
-        li, od = self.table("lineitem"), self.table("orders")
-        cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-        free = F.when(F.col("l_tax") == 0, cents).otherwise(
-            F.expr("(CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round(l_discount * 100) AS BIGINT)) div 100"))
-        number = (F.col("l_partkey") * 10 + F.col("l_linenumber")).cast("string")
+    def _lines(self) -> DataFrame:
+        """Purchases with the numeric part key, by which they join the products."""
         return (
-            li.join(od, li.l_orderkey == od.o_orderkey)
-            .select(
-                F.col("o_custkey").alias("account_id"),
-                F.col("o_orderkey").alias("transaction_id"),
-                F.col("l_linestatus").alias("platform"),
-                F.col("l_partkey").cast("string").alias("product_id"),
-                F.when(F.col("l_returnflag") == "N", None)
-                .when(F.col("l_linestatus") == "O", F.concat(F.lit("offer."), number))
-                .otherwise(number).alias("sales_id"),
-                F.col("o_orderdate").cast("date").alias("date"),
-                (F.col("o_orderdate") + F.make_dt_interval(hours=F.col("l_linenumber"))).alias("time"),
-                F.col("l_quantity").cast("bigint").alias("qty"),
-                cents.alias("price"), free.alias("free_use"), (cents - free).alias("paid_use"),
-                F.col("l_returnflag").alias("channel"),
-                F.col("l_suppkey").alias("seller_id"),
-            )
+            self._joined("lineitem", "orders", "l_orderkey", "o_orderkey")
+            .selectExpr(
+                "*", "CAST(round(l_extendedprice * 100) AS BIGINT) AS price",
+                "CASE WHEN l_tax = 0 THEN CAST(round(l_extendedprice * 100) AS BIGINT) ELSE "
+                "CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round(l_discount * 100) AS BIGINT) div 100 END AS free_use")
+            .selectExpr(
+                "o_custkey AS account_id", "o_orderkey AS transaction_id", "l_linestatus AS platform", "l_partkey AS part_key",
+                "CAST(l_partkey AS STRING) AS product_id",
+                "CASE WHEN l_returnflag = 'N' THEN NULL WHEN l_linestatus = 'O' THEN 'offer.' || CAST(l_partkey * 10 + l_linenumber AS STRING) "
+                "ELSE CAST(l_partkey * 10 + l_linenumber AS STRING) END AS sales_id",
+                "CAST(o_orderdate AS DATE) AS date", "o_orderdate + make_dt_interval(0, l_linenumber) AS time",
+                "CAST(l_quantity AS BIGINT) AS qty", "price", "free_use", "price - free_use AS paid_use",
+                "l_returnflag AS channel", "l_suppkey AS seller_id")
         )
 
+    @cached_property
+    def purchases(self) -> DataFrame:
+        return self._lines.drop("part_key")
+
+    @cached_property
+    def _parts(self) -> DataFrame:
+        return self.table("part").selectExpr(
+            "p_partkey AS part_key", "p_name AS product_name", "p_brand AS event_name", "p_type AS event_type",
+            "CASE WHEN p_size <= 25 THEN 'small' ELSE 'big' END AS sub_category",
+            "CAST(round(p_retailprice * 100) AS BIGINT) AS list_price")
+
     @cached_property
     def products(self) -> DataFrame:
-        return self.table("part").select(
-            F.col("p_partkey").cast("string").alias("product_id"), F.col("p_name").alias("product_name"),
-            F.col("p_brand").alias("event_name"), F.col("p_type").alias("event_type"),
-            F.when(F.col("p_size") <= 25, "small").otherwise("big").alias("sub_category"),
-            F.round(F.col("p_retailprice") * 100).cast("bigint").alias("list_price"))
+        return self._parts.selectExpr("CAST(part_key AS STRING) AS product_id", *self._parts.columns[1:])
 
     @cached_property
     def sales(self) -> DataFrame:
         """Purchases with their product's attributes."""
-        return self.purchases.join(self.products, "product_id")
+        return self._lines.join(self._parts, "part_key").drop("part_key")
 
     @cached_property
     def offers(self) -> DataFrame:
         """Versioned sales items: one row per platform, product and price version."""
+        platforms = ", ".join(f"'{p}'" for p in PLATFORMS)
         return (
             self.table("part")
-            .withColumn("platform", F.explode(F.array(*[F.lit(p) for p in PLATFORMS])))
-            .withColumn("version", F.explode(F.when(F.col("p_size") > 25, F.array(F.lit(1), F.lit(2)))
-                                             .otherwise(F.array(F.lit(1)))))
-            .select(
-                "platform", F.col("p_partkey").cast("string").alias("product_id"),
-                (F.col("p_partkey") * 10 + F.col("version")).cast("string").alias("offer_id"), "version",
-                F.when(F.col("version") == 1, F.lit(FIRST_START)).otherwise(F.lit(SECOND_START))
-                .cast("timestamp_ntz").alias("start_time"),
-                (F.round(F.col("p_retailprice") * 100).cast("bigint") + (F.col("version") - 1) * 500).alias("list_price"),
-                F.when(F.col("p_type") != "SMALL", F.col("p_name")).alias("product_name"),
-                F.col("p_brand").alias("event_name"), F.col("p_type").alias("event_type"),
-            )
+            .selectExpr("*", f"explode(array({platforms})) AS platform")
+            .selectExpr("*", "explode(CASE WHEN p_size > 25 THEN array(1, 2) ELSE array(1) END) AS version")
+            .selectExpr(
+                "platform", "CAST(p_partkey AS STRING) AS product_id", "CAST(p_partkey * 10 + version AS STRING) AS offer_id", "version",
+                f"CAST(CASE WHEN version = 1 THEN '{FIRST_START}' ELSE '{SECOND_START}' END AS TIMESTAMP_NTZ) AS start_time",
+                "CAST(round(p_retailprice * 100) AS BIGINT) + (version - 1) * 500 AS list_price",
+                "CASE WHEN p_type <> 'SMALL' THEN p_name END AS product_name", "p_brand AS event_name", "p_type AS event_type")
         )
 
     @cached_property
     def ledger(self) -> DataFrame:
         """Coin ledger rows with a nested array of balances by expiry day."""
-        li, od = self.table("lineitem"), self.table("orders")
-        cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-        day = F.col("l_shipdate").cast("date")
-
-        def entry(expiry, topup_free, topup_paid, used_free, used_paid):
-            return F.struct(
-                expiry.alias("expiry_date"),
-                topup_free.alias("daily_free_topup"), topup_paid.alias("daily_paid_topup"),
-                used_free.alias("daily_free_use"), used_paid.alias("daily_paid_use"),
-                cents.alias("free_balance"), (cents * 2).alias("paid_balance"))
-
-        zero = F.lit(0).cast("bigint")
-        qty = F.col("l_quantity").cast("bigint")
-        up = F.when(F.col("l_returnflag") == "A", qty).otherwise(zero)
-        used = F.when(F.col("l_returnflag") == "R", qty).otherwise(zero)
-        return li.join(od, li.l_orderkey == od.o_orderkey).select(
-            F.col("o_custkey").alias("account_id"), F.lit(TODAY).cast("date").alias("date"),
-            F.col("l_linestatus").alias("platform"),
-            F.array(entry(day, up, zero, used, zero),
-                    entry(F.date_add(day, 30), zero, up, zero, used)).alias("by_expiry"))
+        up = "CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS BIGINT) ELSE 0L END"
+        used = "CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0L END"
+        coins = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+        entry = ("named_struct('expiry_date', {}, 'daily_free_topup', {}, 'daily_paid_topup', {}, 'daily_free_use', {}, "
+                 f"'daily_paid_use', {{}}, 'free_balance', {coins}, 'paid_balance', 2 * {coins})")
+        first = entry.format("CAST(l_shipdate AS DATE)", up, "0L", used, "0L")
+        second = entry.format("date_add(CAST(l_shipdate AS DATE), 30)", "0L", up, "0L", used)
+        return self._joined("lineitem", "orders", "l_orderkey", "o_orderkey").selectExpr(
+            "o_custkey AS account_id", f"DATE '{TODAY}' AS date", "l_linestatus AS platform", f"array({first}, {second}) AS by_expiry")
 
     @cached_property
     def first_use(self) -> DataFrame:
         """First purchase day per account, as the ledger keeps it."""
-        return self.table("orders").groupBy(F.col("o_custkey").alias("account_id")).agg(
-            F.min("o_orderdate").cast("date").alias("first_use_date"))
+        return self.table("orders").groupBy(F.expr("o_custkey AS account_id")).agg(
+            F.expr("CAST(min(o_orderdate) AS DATE) AS first_use_date"))
 
     @cached_property
     def inventory(self) -> DataFrame:
         """Inventory rows with a nested array of equipped items."""
-        li, od = self.table("lineitem"), self.table("orders")
-
-        def worn(part, item):
-            return F.struct(part.cast("string").alias("part"), item.cast("string").alias("itemid"))
-
-        return li.join(od, li.l_orderkey == od.o_orderkey).select(
-            F.col("o_custkey").alias("account_id"), F.col("l_shipdate").cast("date").alias("date_updated"),
-            F.array(worn(F.col("l_linenumber"), F.col("l_partkey")),
-                    worn(8 - F.col("l_linenumber"), F.col("l_suppkey"))).alias("equips"))
+        return self._joined("lineitem", "orders", "l_orderkey", "o_orderkey").selectExpr(
+            "o_custkey AS account_id", "CAST(l_shipdate AS DATE) AS date_updated",
+            "array(named_struct('part', CAST(l_linenumber AS STRING), 'itemid', CAST(l_partkey AS STRING)), "
+            "named_struct('part', CAST(8 - l_linenumber AS STRING), 'itemid', CAST(l_suppkey AS STRING))) AS equips")
 
     @cached_property
     def parts(self) -> DataFrame:
         """Body parts an item can sit on, with store categories; derived from the part sizes."""
-        n = F.expr("(p_size - 1) div 8 + 1")
-        return self.table("part").select(n.alias("n")).distinct().select(
-            F.concat(F.lit("desc."), F.col("n").cast("string")).alias("part_id"),
-            F.when(F.col("n") <= 3, "weapon").when(F.col("n") <= 5, "outfit").otherwise("vehicle").alias("category"),
-            F.when(F.col("n") % 2 == 0, "even").otherwise("odd").alias("sub_category"))
+        return self.table("part").selectExpr("(p_size - 1) div 8 + 1 AS n").distinct().selectExpr(
+            "'desc.' || CAST(n AS STRING) AS part_id",
+            "CASE WHEN n <= 3 THEN 'weapon' WHEN n <= 5 THEN 'outfit' ELSE 'vehicle' END AS category",
+            "CASE WHEN n % 2 = 0 THEN 'even' ELSE 'odd' END AS sub_category")
 
     @cached_property
     def part_names(self) -> DataFrame:
-        return self.parts.where("category = 'weapon'").select(
-            "part_id", F.concat(F.lit("blade "), F.col("part_id")).alias("name"))
+        return self.parts.where("category = 'weapon'").selectExpr("part_id", "'blade ' || part_id AS name")
 
     # -- logs -------------------------------------------------------------
     @cached_property
     def log(self) -> DataFrame:
-        return self.table("events").select(
-            "event_id", F.col("user_id").alias("account_id"), F.col("ts").alias("time"),
-            F.col("ts").cast("date").alias("date"), "event_type",
-            F.round(F.col("value") * 100).cast("bigint").alias("cents"),
-            F.regexp_extract("props", "([0-9]+)", 1).cast("bigint").alias("k"))
+        return self.table("events").selectExpr(
+            "event_id", "user_id AS account_id", "ts AS time", "CAST(ts AS DATE) AS date", "event_type",
+            "CAST(round(value * 100) AS BIGINT) AS cents", "CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k")
 
     @cached_property
     def currency_log(self) -> DataFrame:
-        k = F.col("k")
-        return self.log.select(
+        return self.log.selectExpr(
             "event_id", "account_id", "time", "date",
-            F.when(k < 40, "coupon.free").when(k < 60, "coupon.paid").when(k < 80, "token.season")
-            .otherwise("point").alias("currency"),
-            F.when(F.col("event_type") == "purchase", -F.col("cents")).when(F.col("event_type") == "error", 0)
-            .otherwise(F.col("cents")).alias("amount"),
-            F.col("event_type").alias("reason"),
-            F.when(k >= 20, F.concat(F.lit("tier"), F.expr("k div 20").cast("string"))).alias("reason_detail"))
+            "CASE WHEN k < 40 THEN 'coupon.free' WHEN k < 60 THEN 'coupon.paid' WHEN k < 80 THEN 'token.season' ELSE 'point' END AS currency",
+            "CASE event_type WHEN 'purchase' THEN -cents WHEN 'error' THEN 0L ELSE cents END AS amount",
+            "event_type AS reason", "CASE WHEN k >= 20 THEN 'tier' || CAST(k div 20 AS STRING) END AS reason_detail")
 
     @cached_property
     def purchase_log(self) -> DataFrame:
-        k = F.col("k")
-        return self.log.where("event_type = 'purchase'").select(
+        return self.log.where("event_type = 'purchase'").selectExpr(
             "event_id", "account_id", "time", "date",
-            F.when(k < 40, "token.season").when(k < 60, "token.artisan").otherwise("point").alias("currency"),
-            k.cast("string").alias("product_id"), (F.expr("k div 25") + 1).alias("amount"),
-            F.col("cents").alias("local_price"),
-            F.concat(F.lit("season"), F.expr("k div 50").cast("string")).alias("event_name"))
+            "CASE WHEN k < 40 THEN 'token.season' WHEN k < 60 THEN 'token.artisan' ELSE 'point' END AS currency",
+            "CAST(k AS STRING) AS product_id", "k div 25 + 1 AS amount", "cents AS local_price",
+            "'season' || CAST(k div 50 AS STRING) AS event_name")
 
     @cached_property
     def workshop_log(self) -> DataFrame:
         """Workshop actions: click = craft, view = crate opened, error = disassemble, signup = repurpose."""
-        k = F.col("k")
-        return self.log.where("event_type <> 'purchase'").select(
+        return self.log.where("event_type <> 'purchase'").selectExpr(
             "event_id", "account_id", "time", "date",
-            F.when(F.col("event_type") == "click", "craft").when(F.col("event_type") == "view", "open")
-            .when(F.col("event_type") == "error", "disassemble").otherwise("repurpose").alias("action"),
-            F.concat(F.when(k < 30, "imprint.").when(k < 60, "voucher.").otherwise("part."),
-                     F.expr("k div 10").cast("string")).alias("item_id"),
-            (k + 1).alias("open_amount"), F.col("cents").alias("amount"),
-            F.concat(F.lit("why"), F.expr("k div 34").cast("string")).alias("reason"))
+            "CASE event_type WHEN 'click' THEN 'craft' WHEN 'view' THEN 'open' WHEN 'error' THEN 'disassemble' ELSE 'repurpose' END AS action",
+            "CASE WHEN k < 30 THEN 'imprint.' WHEN k < 60 THEN 'voucher.' ELSE 'part.' END || CAST(k div 10 AS STRING) AS item_id",
+            "k + 1 AS open_amount", "cents AS amount", "'why' || CAST(k div 34 AS STRING) AS reason")
 
     @cached_property
     def clicks(self) -> DataFrame:
-        k = F.col("k")
-        return self.log.where("event_type IN ('view', 'click')").select(
-            "event_id", "account_id", "time", "date",
-            F.when(F.col("event_type") == "view", "detail").otherwise("buy").alias("action"),
-            F.when(k < 5, "home").otherwise(F.concat(F.lit("item."), k.cast("string"))).alias("label"))
+        return self.log.where("event_type IN ('view', 'click')").selectExpr(
+            "event_id", "account_id", "time", "date", "CASE event_type WHEN 'view' THEN 'detail' ELSE 'buy' END AS action",
+            "CASE WHEN k < 5 THEN 'home' ELSE 'item.' || CAST(k AS STRING) END AS label")
 
     @cached_property
     def votes(self) -> DataFrame:
-        k = F.col("k")
-        return self.log.where("event_type = 'signup'").select(
+        return self.log.where("event_type = 'signup'").selectExpr(
             "event_id", "account_id", "time", "date",
-            F.concat(F.when(k < 30, "TEAM_").when(k < 50, "SOLO_BONUS_").when(k < 80, "DUEL_").otherwise("OTHER_"),
-                     F.when(k % 3 == 0, "EAST").when(k % 3 == 1, "WEST").otherwise("NORTH")).alias("game_id"))
+            "CASE WHEN k < 30 THEN 'TEAM_' WHEN k < 50 THEN 'SOLO_BONUS_' WHEN k < 80 THEN 'DUEL_' ELSE 'OTHER_' END || "
+            "CASE k % 3 WHEN 0 THEN 'EAST' WHEN 1 THEN 'WEST' ELSE 'NORTH' END AS game_id")
 
     @cached_property
     def pass_status(self) -> DataFrame:
-        return self.log.select(
-            "event_id", "account_id", "date",
-            F.when(F.col("k") < 50, "season1").otherwise("season2").alias("pass_name"),
-            F.when(F.col("event_type").isin("purchase", "signup"), "pass").when(F.col("event_type") == "error", "non_active")
-            .otherwise("active").alias("status"),
-            F.col("k").alias("level"),
-            F.when(F.col("event_type") == "signup", F.col("cents")).otherwise(0).alias("levelup_xp"))
+        return self.log.selectExpr(
+            "event_id", "account_id", "date", "CASE WHEN k < 50 THEN 'season1' ELSE 'season2' END AS pass_name",
+            "CASE WHEN event_type IN ('purchase', 'signup') THEN 'pass' WHEN event_type = 'error' THEN 'non_active' ELSE 'active' END AS status",
+            "k AS level", "CASE WHEN event_type = 'signup' THEN cents ELSE 0L END AS levelup_xp")
 
     @cached_property
     def gameplay(self) -> DataFrame:
-        k = F.col("k")
-        return self.log.select(
-            "account_id", "date",
-            *[F.when(F.lit(f"{view}_{size}") != "tpp_solo", k + i).when(F.col("event_type") != "error", k)
-              .cast("bigint").alias(f"{view}_{size}_{kind}")
-              for kind in ("count", "minute")
-              for i, (view, size) in enumerate((v, s) for v in ("tpp", "fpp") for s in ("solo", "duo", "squad"))])
+        first = "CASE WHEN event_type <> 'error' THEN k END"
+        columns = [f"{first if (view, size) == ('tpp', 'solo') else f'k + {i}'} AS {view}_{size}_{kind}"
+                   for kind in ("count", "minute")
+                   for i, (view, size) in enumerate((v, z) for v in ("tpp", "fpp") for z in ("solo", "duo", "squad"))]
+        return self.log.selectExpr("account_id", "date", *columns)
 
     @cached_property
     def phase_log(self) -> DataFrame:
         """In-game log: click = equip, view = unequip, error = death; the day of the month picks the phase."""
-        day = F.dayofmonth("time")
-        return self.log.where("event_type IN ('click', 'view', 'error')").select(
-            F.col("account_id").alias("session_id"), "account_id", "time",
-            F.when(day == 1, F.lit("0.1").cast("decimal(3,1)"))
-            .otherwise((F.lit("1.0").cast("decimal(3,1)") + (day - 2) * F.lit("0.5").cast("decimal(3,1)")))
-            .cast("decimal(3,1)").alias("phase"),
-            F.concat(F.lit("w"), (F.col("k") % 5).cast("string")).alias("item_id"),
-            F.when(F.col("event_type") == "click", "equip").when(F.col("event_type") == "view", "unequip")
-            .otherwise("death").alias("kind"))
+        return self.log.where("event_type IN ('click', 'view', 'error')").selectExpr(
+            "account_id AS session_id", "account_id", "time",
+            "CAST(CASE WHEN day(time) = 1 THEN 0.1 ELSE 1.0 + (day(time) - 2) * 0.5 END AS DECIMAL(3,1)) AS phase",
+            "'w' || CAST(k % 5 AS STRING) AS item_id",
+            "CASE event_type WHEN 'click' THEN 'equip' WHEN 'view' THEN 'unequip' ELSE 'death' END AS kind")
 
 
 # Derivations above as SQL text (DuckDB dialect).
