@@ -25,20 +25,21 @@ def _digest(*parts: Column) -> Column:
     return F.concat(F.lit("#"), F.count(F.lit(1)).cast("string"), F.lit(":"), F.hex(a), F.hex(b))
 
 
-def _split_wide(df: DataFrame, key: str, size: Column, wide: int) -> tuple[DataFrame, DataFrame]:
-    big = df.groupBy(key).agg(F.sum(size).alias("__n")).where(F.col("__n") > wide).select(key)
+def _split_wide(df: DataFrame, key: str, wide: int) -> tuple[DataFrame, DataFrame]:
+    big = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > wide).select(key)
     return df.join(big, key, "left_anti"), df.join(big, key, "left_semi")
 
 
-def _chunks(df: DataFrame, key: str, time: str, tie: Sequence[str], payload: Sequence[str]) -> DataFrame:
-    """A user's rows of each minute as one sorted array.
+def _spread(df: DataFrame, key: str, time: str, columns: Sequence[str]) -> DataFrame:
+    """Rows shuffled by user and minute: a very active user is spread over as many tasks as they have active minutes."""
+    rows = df.select(*dict.fromkeys([key, time, *columns])).withColumn("__minute", F.date_trunc("minute", F.col(time)))
+    return rows.repartition(key, "__minute")
 
-    The shuffle is by user and minute, so a very active user is spread over as many tasks
-    as they have active minutes, and everything built on the chunks reuses it.
-    """
-    fields = list(dict.fromkeys([time, *tie, *payload]))
-    return df.groupBy(key, F.date_trunc("minute", F.col(time)).alias("__minute")).agg(
-        F.array_sort(F.collect_list(F.struct(*fields))).alias("__steps"))
+
+def _chunks(spread: DataFrame, key: str, time: str, tie: Sequence[str]) -> DataFrame:
+    """A user's rows of each minute as one sorted array; no further shuffle."""
+    fields = dict.fromkeys([time, *tie, *[c for c in spread.columns if c not in (key, "__minute")]])
+    return spread.groupBy(key, "__minute").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("__steps"))
 
 
 def _number(chunks: DataFrame, key: str, name: str) -> DataFrame:
@@ -52,14 +53,14 @@ def _number(chunks: DataFrame, key: str, name: str) -> DataFrame:
 def positions(df: DataFrame, key: str, time: str, tie: Sequence[str] = (), name: str = "position") -> DataFrame:
     """1-based position of each row in its user's order by ``time``, then ``tie``."""
     rest = [c for c in df.columns if c != key]
-    chunks = _chunks(df, key, time, tie, rest)
+    chunks = _chunks(_spread(df, key, time, rest), key, time, tie)
     return _number(chunks, key, name).select(key, name, *[F.col(f"__step.{c}").alias(c) for c in rest])
 
 
 def baskets(df: DataFrame, key: str = "account_id", item: str = "product_name", sep: str = "|", wide: int = WIDE) -> DataFrame:
     """Each user's sorted set of items as text; the order of purchase plays no part."""
     pairs = df.where(F.col(item).isNotNull()).select(key, item).distinct()
-    short, long = _split_wide(pairs, key, F.lit(1), wide)
+    short, long = _split_wide(pairs, key, wide)
     listed = short.groupBy(key).agg(F.concat_ws(sep, F.sort_array(F.collect_set(item))).alias("basket"),
                                     F.count(F.lit(1)).alias("items"))
     digested = long.groupBy(key).agg(_digest(F.col(item)).alias("basket"), F.count(F.lit(1)).alias("items"))
@@ -74,12 +75,12 @@ def path_items(df: DataFrame, key: str, time: str, tie: Sequence[str], item: str
 def purchase_path(df: DataFrame, key: str = "account_id", time: str = "time", tie: Sequence[str] = ("transaction_id", "product_id"),
                   item: str = "product_name", sep: str = " > ", wide: int = WIDE) -> DataFrame:
     """Each user's items in order of time, as text; rows of one instant are ordered by ``tie``."""
-    chunks = _chunks(df.where(F.col(item).isNotNull()), key, time, tie, [item])
-    short, long = _split_wide(chunks, key, F.size("__steps"), wide)
-    in_order = F.array_sort(F.collect_list(F.struct("__minute", "__steps")))
-    listed = short.groupBy(key).agg(in_order.alias("__all")).select(
-        key, F.concat_ws(sep, F.transform(F.flatten(F.col("__all.__steps")), lambda step: step[item])).alias("path"))
-    digested = _number(long, key, "position").groupBy(key).agg(
+    rows = df.where(F.col(item).isNotNull()).select(*dict.fromkeys([key, time, *tie, item]))
+    short, long = _split_wide(rows, key, wide)
+    in_order = F.sort_array(F.collect_list(F.struct(time, *tie, F.col(item).alias("__item"))))
+    listed = short.groupBy(key).agg(in_order.alias("__steps")).select(
+        key, F.concat_ws(sep, F.col("__steps.__item")).alias("path"))
+    digested = _number(_chunks(_spread(long, key, time, [*tie, item]), key, time, tie), key, "position").groupBy(key).agg(
         _digest(F.col("position"), F.col(f"__step.{item}")).alias("path"))
     return listed.unionByName(digested)
 
