@@ -147,13 +147,17 @@ def active_user_modes(t):
     "\nUNION ALL SELECT 'monthly', min(date), count(*), CAST(sum(price) AS BIGINT) "
     f"FROM purchases WHERE date BETWEEN DATE '1998-03-01' AND DATE '{DAY}'"]))
 def period_windows(t):
-    """All windows from one scan: each row is counted in every window that covers its day."""
-    windows = F.array(*[F.struct(F.lit(p).alias("period"), period_start(DAY, p, FLOOR).alias("first"))
-                        for p in ("daily", "weekly", "monthly")])
-    covered = (t.purchases.where(F.col("date").between(period_start(DAY, "monthly"), F.lit(DAY).cast("date")))
-               .withColumn("w", F.explode(windows)).where("date >= w.first"))
-    return covered.groupBy("w.period").agg(F.min("date").alias("first_day"), F.count(F.lit(1)).alias("lines"),
-                                           F.sum("price").alias("revenue"))
+    """All windows from one scan; a window without rows is still reported."""
+    periods = ("daily", "weekly", "monthly")
+    day = F.lit(DAY).cast("date")
+    facts = t.purchases.where(F.col("date").between(period_start(DAY, "monthly"), day))
+    inside = {p: F.col("date") >= period_start(DAY, p, FLOOR) for p in periods}
+    totals = facts.agg(*[m for p, c in inside.items() for m in (
+        F.min(F.when(c, F.col("date"))).alias(f"{p}_first"), F.count_if(c).alias(f"{p}_lines"),
+        F.sum(F.when(c, F.col("price"))).alias(f"{p}_revenue"))])
+    return totals.select(F.inline(F.array(*[F.struct(
+        F.lit(p).alias("period"), F.col(f"{p}_first").alias("first_day"), F.col(f"{p}_lines").alias("lines"),
+        F.col(f"{p}_revenue").alias("revenue")) for p in periods])))
 
 
 @query("semi_cohort", """
