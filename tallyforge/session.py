@@ -7,6 +7,7 @@ operators never build one themselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -35,13 +36,16 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) is a temporary folder
-    made, and it is then set as the session's checkpoint folder so that later
-    calls agree on it.
+    Only a session of one machine (tests, a laptop) that names none gets a
+    temporary folder, which is then set as its checkpoint folder so that later
+    calls agree on it. On a cluster executors would each see a folder of their
+    own, so a missing name is an error there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     made = tempfile.mkdtemp(prefix="tallyforge-")
     spark.sparkContext.setCheckpointDir(made)
     return spark.sparkContext.getCheckpointDir() or made

@@ -8,6 +8,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry  # noqa: E402
+from tallyforge.plans import QUERIES  # noqa: E402
 from tests.oracle import compare, connect  # noqa: E402
 
 DATA = os.environ.get("TALLYFORGE_TEST_DATA", "/root/testdata/sf0.001")
@@ -18,7 +19,7 @@ def duck():
     return connect(DATA)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     sql = entry.oracle_sql().get(name)
     assert sql is not None, f"{name} has no SQL twin"
