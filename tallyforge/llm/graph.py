@@ -31,10 +31,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", "v"), F.struct("v", "u"))).alias("e"), "m", "u", "v")
-        small = small.select(F.when(F.col("e.u") == F.col("u"), F.struct(F.col("u"), F.col("m").alias("v")))
-                             .otherwise(F.struct(F.col("v").alias("u"), F.col("m").alias("v"))).alias("e"))
-        ends = cut(small.select("e.u", "e.v").where("u <> v").distinct())
+        stars = F.array(F.struct(F.col("u").alias("p"), F.col("m").alias("q")), F.struct(F.col("v").alias("p"), F.col("m").alias("q")))
+        small = large.join(low, "u").select(F.explode(stars).alias("e")).select(F.col("e.p").alias("u"), F.col("e.q").alias("v"))
+        ends = cut(small.where("u <> v").distinct())
         after = _state(ends)
         if after == before:
             break

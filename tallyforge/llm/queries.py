@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import exact, mixing
+from tallyforge.llm import exact, jaccard, mixing
 from tallyforge.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -26,3 +26,8 @@ def exact_dedup(spark, sf_dir):
 @query("op3_source_mix", f"WITH {mixing.mix_sql()} SELECT * FROM mix")
 def source_mix(spark, sf_dir):
     return mixing.poisson_mix(table(spark, sf_dir, "documents"))
+
+
+@query("op6_jaccard_join", jaccard.JACCARD_SQL)
+def jaccard_join(spark, sf_dir):
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents")).drop("set_key")
