@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import exact, jaccard, mixing
+from tallyforge.llm import exact, jaccard, lines, mixing, near_vectors
 from tallyforge.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -18,6 +18,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_near_vectors", near_vectors.VECTORS_SQL)
+def near_embeddings(spark, sf_dir):
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op2_exact_dedup", exact.EXACT_SQL)
 def exact_dedup(spark, sf_dir):
     return exact.exact_groups(table(spark, sf_dir, "documents"))
@@ -31,3 +36,9 @@ def source_mix(spark, sf_dir):
 @query("op6_jaccard_join", jaccard.JACCARD_SQL)
 def jaccard_join(spark, sf_dir):
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents")).drop("set_key")
+
+
+@query("op7_line_dedup", lines.LINES_SQL)
+def line_dedup(spark, sf_dir):
+    out = lines.drop_repeated_runs(table(spark, sf_dir, "documents"))
+    return out.select("row.doc_id", "text", "n_lines", "n_deleted")
