@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import exact, jaccard, lines, mixing, near_vectors
+from tallyforge.llm import chat, exact, jaccard, lines, mixing, near_vectors, pii
 from tallyforge.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -42,3 +42,13 @@ def jaccard_join(spark, sf_dir):
 def line_dedup(spark, sf_dir):
     out = lines.drop_repeated_runs(table(spark, sf_dir, "documents"))
     return out.select("row.doc_id", "text", "n_lines", "n_deleted")
+
+
+@query("op4_pii")
+def personal_data(spark, sf_dir):
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
+@query("op5_chat_format", chat.CHAT_SQL)
+def chat_format(spark, sf_dir):
+    return chat.conversation_digests(chat.format_turns(chat.with_control_case(table(spark, sf_dir, "conversations"))))
