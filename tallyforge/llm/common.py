@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -30,6 +33,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hands this package to the Python workers, once per application, so that they need no copy of their own."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        made = shutil.make_archive(f"{tempfile.mkdtemp()}/package", "zip", os.path.dirname(package), os.path.basename(package))
+        spark.sparkContext.addPyFile(made)
+        _SHIPPED.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

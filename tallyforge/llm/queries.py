@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from tallyforge.llm import chat, exact, jaccard, lines, mixing, near_vectors, pii
-from tallyforge.llm.common import table
+from pyspark.sql import functions as F
+
+from tallyforge.llm import chat, exact, jaccard, language, lines, mixing, near_vectors, pieces, pii, quality
+from tallyforge.llm.common import ship, table
 
 QUERIES, ORACLES = {}, {}
 
 
 def query(name: str, sql: str | None = None):
     def register(build):
-        QUERIES[name] = build
+        def run(spark, sf_dir):
+            ship(spark)
+            return build(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return build
@@ -52,3 +58,21 @@ def personal_data(spark, sf_dir):
 @query("op5_chat_format", chat.CHAT_SQL)
 def chat_format(spark, sf_dir):
     return chat.conversation_digests(chat.format_turns(chat.with_control_case(table(spark, sf_dir, "conversations"))))
+
+
+@query("op8_sentencepiece")
+def sentencepiece_n_best(spark, sf_dir):
+    out = pieces.decode(pieces.encode(table(spark, sf_dir, "documents")))
+    nbest = F.concat(F.array("score"), F.transform("alternatives", lambda a: a["score"]))
+    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", nbest.alias("nbest_scores"), "alternatives",
+                      F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query("op9_quality")
+def quality_classifier(spark, sf_dir):
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_language")
+def language_id(spark, sf_dir):
+    return language.languages(table(spark, sf_dir, "documents"))
