@@ -134,14 +134,12 @@ def _shared_entries(postings: DataFrame) -> DataFrame:
     return dealt.select(*cols).mapInArrow(body, "token long, sub byte, x long, n int, pos int")
 
 
-def _open_lists(entries: DataFrame, part: DataFrame | None) -> DataFrame:
+def _open_lists(entries: DataFrame, part: DataFrame) -> DataFrame:
     """Entries of the lists whose sets are not all connected, with their set's root and the list's commonest root."""
-    rooted = entries.select("token", "x", "n", "pos", F.col("x").alias("root"))
-    if part is not None:
-        rooted = (entries.join(part.withColumnRenamed("node", "x"), "x", "left")
-                  .select("token", "x", "n", "pos", F.coalesce("component", "x").alias("root")))
+    rooted = (entries.join(part.withColumnRenamed("node", "x"), "x", "left")
+              .select("token", "x", "n", "pos", F.coalesce("component", "x").alias("root")))
     counted = rooted.groupBy("token", "root").agg(F.count("*").alias("c"))
-    mixed = counted.groupBy("token").agg(F.max_by("root", F.struct("c", F.bitwise_not("root"))).alias("major"), F.count("*").alias("roots"))
+    mixed = counted.groupBy("token").agg(F.max_by("root", F.struct("c", "root")).alias("major"), F.count("*").alias("roots"))
     return rooted.join(mixed.where("roots > 1").drop("roots"), "token")
 
 
@@ -219,36 +217,30 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: s
     nodes = cut(members.where("n > 0").groupBy("x").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("odd").alias("odd")))
     entries = cut(_shared_entries(_postings(rows, _sketch(first), width, percent)))
 
-    # every set against the hub that most of its lists agree on; then against that of the largest circle it is not in
+    # every set against one hub: the set that stands first in most of its lists, so has least of its own
+    hubs = entries.groupBy("token").agg(F.min(F.struct("pos", "x", "n")).alias("hub"), F.count("*").alias("c")).where("c > 1")
+    star = (entries.join(hubs, "token").where("x <> hub.x").select(F.struct("x", "n", "pos").alias("e"), "hub")
+            .where(_may_link("e", "hub", percent)).groupBy(F.col("e.x").alias("a"), F.col("hub.x").alias("b")).agg(F.count("*").alias("c"))
+            .groupBy("a").agg(F.max(F.struct("c", "b")).alias("best")).select("a", F.col("best.b").alias("b")))
+    known = _verified(star, nodes, rows, width, percent)
     linked = (100 + percent) * F.col("shared") >= percent * (F.col("na") + F.col("nb"))
-    part, known, tried = None, None, None
-    for _ in range(2):
-        lists = _open_lists(entries, part)
-        hubs = lists.where("root = major").groupBy("token").agg(F.min(F.struct("x", "n", "pos")).alias("hub"))
-        star = (lists.where("root <> major").join(hubs, "token").select(F.struct("x", "n", "pos").alias("e"), "hub")
-                .where(_may_link("e", "hub", percent)).groupBy(F.col("e.x").alias("a"), F.col("hub.x").alias("b")).agg(F.count("*").alias("c")))
-        star = star if tried is None else star.join(tried, ["a", "b"], "left_anti")
-        star = cut(star.groupBy("a").agg(F.max(F.struct("c", "b")).alias("best")).select("a", F.col("best.b").alias("b")))
-        now = _verified(star, nodes, rows, width, percent)
-        tried, known = star if tried is None else tried.unionByName(star), now if known is None else known.unionByName(now)
-        part = components(known.where(linked).select("a", "b"))
     edges = known.where(linked).select("a", "b")
+    part = components(edges)
 
     # sets that are still apart, list by list and block by block
     band = F.floor(F.log("n") / math.log(100 / percent)).cast("int") if percent < 100 else F.col("n")
-    lists = cut(_open_lists(entries, part).withColumn("band", band))
-    minor = lists.where("root <> major").withColumn("block", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-    pairs = (minor.alias("l").join(lists.withColumnRenamed("band", "block").alias("r"), ["token", "block"])
+    with_hub = known.select(F.col("a").alias("x"), F.col("b").alias("hub"), "shared")
+    lists = cut(_open_lists(entries, part).withColumn("block", band).join(with_hub, "x", "left"))
+    minor = lists.where("root <> major").withColumn("block", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)))
+    # of members shared with one hub and members beyond it, two sets have at most the smaller numbers in common
+    common = F.least("l.shared", "r.shared") + F.least(F.col("l.n") - F.col("l.shared"), F.col("r.n") - F.col("r.shared"))
+    ruled_out = (F.col("l.hub") == F.col("r.hub")) & ((100 + percent) * common < percent * (F.col("l.n") + F.col("r.n")))
+    pairs = (minor.alias("l").join(lists.alias("r"), ["token", "block"])
              .where("l.root <> r.root AND (r.root = r.major OR l.x < r.x)").where(_may_link("l", "r", percent))
+             .where(~F.coalesce(ruled_out, F.lit(False)))
              .select(F.least("l.x", "r.x").alias("a"), F.greatest("l.x", "r.x").alias("b")).distinct())
-    # what a set shares with its hub bounds what it shares with the hub's other sets
-    hub_of = known.groupBy(F.col("a").alias("x")).agg(F.max(F.struct("shared", F.col("b").alias("hub"), F.col("na").alias("n"))).alias("best")).select("x", "best.*")
-    one = hub_of.select(F.col("x").alias("a"), F.col("hub").alias("hub_a"), F.col("shared").alias("with_a"), F.col("n").alias("size_a"))
-    two = hub_of.select(F.col("x").alias("b"), F.col("hub").alias("hub_b"), F.col("shared").alias("with_b"), F.col("n").alias("size_b"))
-    bound = F.least(F.col("with_a") + F.col("size_b") - F.col("with_b"), F.col("with_b") + F.col("size_a") - F.col("with_a"))
-    ruled_out = (F.col("hub_a") == F.col("hub_b")) & ((100 + percent) * bound < percent * (F.col("size_a") + F.col("size_b")))
-    rest = pairs.join(one, "a", "left").join(two, "b", "left").where(~F.coalesce(ruled_out, F.lit(False))).select("a", "b")
-    more = _verified(rest, nodes, rows, width, percent).where(linked).select("a", "b")
+    tested = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = _verified(pairs.join(tested, ["a", "b"], "left_anti"), nodes, rows, width, percent).where(linked).select("a", "b")
 
     part = components(edges.unionByName(more))
     rooted = members.join(part.withColumnRenamed("node", "x"), "x", "left").select("doc_id", "n", "x", F.coalesce("component", "x").alias("root"))
