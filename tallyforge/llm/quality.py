@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.llm import shingles
-from tallyforge.llm.common import crc_mod, map_slices
+from tallyforge.llm.common import crc_mod, map_slices, slices
 
 #: Bytes of a window, bytes from one window to the next, numbers per byte, filters, and windows of a chunk.
 WINDOW, STRIDE, DIMS, FILTERS, CHUNK = 16, 4, 4, 16, 256
@@ -164,6 +164,20 @@ def score_quality(docs: DataFrame, model: ByteConv | None, id_col: str = "doc_id
     return scored.select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def keep_quality(docs: DataFrame, model: ByteConv | None, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def body(batches):
+        conv = shared.value
+        for piece in slices(batches, text_col):
+            data, at = shingles.utf8(piece.column(text_col))
+            keep = [conv is None or conv.score(data[a:b]) >= threshold for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+            yield piece.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(body, docs.schema)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted: a fifth of the documents, by their ids' checksum, is kept from learning."""
     learn = labels.where(crc_mod(F.col("doc_id"), 5) != 0)
