@@ -1,9 +1,8 @@
 """Baskets, purchase paths and per-user orderings.
 
-A list or set per user is only built where it is short. A user with more than ``wide``
-elements keeps their group exactly, but the group is named by a 128-bit digest
-(``#count:digest``) that is aggregated like a sum, so nobody's rows meet in one buffer.
-``path_items`` lists such a path in long form.
+No list or set is built per user. A user's basket or path is a 128-bit digest that is
+aggregated like a sum; users with one digest form a group, named by its smallest user,
+and the group's items come in long form, read off that user's rows.
 """
 
 from __future__ import annotations
@@ -15,56 +14,40 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import ratio, total_use
 
-WIDE = 100_000
-
 
 def _digest(*parts: Column) -> Column:
     """Order-free digest of a group's rows; every row's parts must be distinct within the group."""
-    a = F.bit_xor(F.xxhash64(*parts))
-    b = F.bit_xor(F.xxhash64(F.lit("second"), *reversed(parts)))
-    return F.concat(F.lit("#"), F.count(F.lit(1)).cast("string"), F.lit(":"), F.hex(a), F.hex(b))
-
-
-def _split_wide(df: DataFrame, key: str, wide: int) -> tuple[DataFrame, DataFrame]:
-    big = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > wide).select(key)
-    return df.join(big, key, "left_anti"), df.join(big, key, "left_semi")
+    return F.struct(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*parts)).alias("a"),
+                    F.bit_xor(F.xxhash64(F.lit("second"), *reversed(parts))).alias("b"))
 
 
-def _spread(df: DataFrame, key: str, time: str, columns: Sequence[str]) -> DataFrame:
-    """Rows shuffled by user and minute: a very active user is spread over as many tasks as they have active minutes."""
-    rows = df.select(*dict.fromkeys([key, time, *columns])).withColumn("__minute", F.date_trunc("minute", F.col(time)))
-    return rows.repartition(key, "__minute")
+def _groups(members: DataFrame, key: str, count: str, *parts: Column) -> DataFrame:
+    """Users with equal rows as one group: the smallest user, the number of users and of rows each has."""
+    per_user = members.groupBy(key).agg(_digest(*parts).alias("__digest"))
+    return per_user.groupBy("__digest").agg(F.min(key).alias(key), F.count(key).alias("users")).select(
+        key, "users", F.col("__digest.n").alias(count))
 
 
-def _chunks(spread: DataFrame, key: str, time: str, tie: Sequence[str]) -> DataFrame:
-    """A user's rows of each minute as one sorted array; no further shuffle."""
-    fields = dict.fromkeys([time, *tie, *[c for c in spread.columns if c not in (key, "__minute")]])
-    return spread.groupBy(key, "__minute").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("__steps"))
-
+def positions(df: DataFrame, key: str, time: str, tie: Sequence[str] = (), name: str = "position") -> DataFrame:
+    """1-based position of each row in its user's order by ``time``, then ``tie``.
 
-def _number(chunks: DataFrame, key: str, name: str) -> DataFrame:
-    """Steps in long form, numbered by their place in the chunk after all steps of the user's earlier chunks."""
+    Rows are numbered within each minute of a user, and the rows before that minute are added from counts
+    per minute. So a very active user is spread over as many tasks as they have active minutes, and only the
+    counts of the minutes come together.
+    """
+    rows = df.withColumn("__minute", F.date_trunc("minute", F.col(time)))
+    inside = rows.withColumn(name, F.row_number().over(Window.partitionBy(key, "__minute").orderBy(time, *tie)))
+    counts = rows.groupBy(key, "__minute").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(key).orderBy("__minute").rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum(F.size("__steps")).over(before), F.lit(0))
-    placed = chunks.withColumn("__before", offset).select(key, "__before", F.posexplode("__steps").alias("__i", "__step"))
-    return placed.withColumn(name, F.col("__before") + F.col("__i") + 1)
-
-
-def positions(df: DataFrame, key: str, time: str, tie: Sequence[str] = (), name: str = "position") -> DataFrame:
-    """1-based position of each row in its user's order by ``time``, then ``tie``."""
-    rest = [c for c in df.columns if c != key]
-    chunks = _chunks(_spread(df, key, time, rest), key, time, tie)
-    return _number(chunks, key, name).select(key, name, *[F.col(f"__step.{c}").alias(c) for c in rest])
+    offsets = counts.select(F.col(key).alias("__key"), F.col("__minute").alias("__from"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    on = F.col(key).eqNullSafe(F.col("__key")) & F.col("__minute").eqNullSafe(F.col("__from"))
+    return inside.join(offsets, on).select(key, (F.col(name) + F.col("__before")).alias(name), *[c for c in df.columns if c != key])
 
 
-def baskets(df: DataFrame, key: str = "account_id", item: str = "product_name", sep: str = "|", wide: int = WIDE) -> DataFrame:
-    """Each user's sorted set of items as text; the order of purchase plays no part."""
+def baskets(df: DataFrame, key: str = "account_id", item: str = "product_name") -> DataFrame:
+    """Sets of items that users hold, one row per set and item: smallest user, users, items (of the set), item."""
     pairs = df.where(F.col(item).isNotNull()).select(key, item).distinct()
-    short, long = _split_wide(pairs, key, wide)
-    listed = short.groupBy(key).agg(F.concat_ws(sep, F.sort_array(F.collect_set(item))).alias("basket"),
-                                    F.count(F.lit(1)).alias("items"))
-    digested = long.groupBy(key).agg(_digest(F.col(item)).alias("basket"), F.count(F.lit(1)).alias("items"))
-    return listed.unionByName(digested)
+    return _groups(pairs, key, "items", F.col(item)).join(pairs, key).select(key, "users", "items", item)
 
 
 def path_items(df: DataFrame, key: str, time: str, tie: Sequence[str], item: str) -> DataFrame:
@@ -73,16 +56,12 @@ def path_items(df: DataFrame, key: str, time: str, tie: Sequence[str], item: str
 
 
 def purchase_path(df: DataFrame, key: str = "account_id", time: str = "time", tie: Sequence[str] = ("transaction_id", "product_id"),
-                  item: str = "product_name", sep: str = " > ", wide: int = WIDE) -> DataFrame:
-    """Each user's items in order of time, as text; rows of one instant are ordered by ``tie``."""
+                  item: str = "product_name") -> DataFrame:
+    """Orders in which users got their items, one row per path and position: smallest user, users, steps (of the path),
+    position, item. Rows of one instant are ordered by ``tie``; rows without an item are no step."""
     rows = df.where(F.col(item).isNotNull()).select(*dict.fromkeys([key, time, *tie, item]))
-    short, long = _split_wide(rows, key, wide)
-    in_order = F.sort_array(F.collect_list(F.struct(time, *tie, F.col(item).alias("__item"))))
-    listed = short.groupBy(key).agg(in_order.alias("__steps")).select(
-        key, F.concat_ws(sep, F.col("__steps.__item")).alias("path"))
-    digested = _number(_chunks(_spread(long, key, time, [*tie, item]), key, time, tie), key, "position").groupBy(key).agg(
-        _digest(F.col("position"), F.col(f"__step.{item}")).alias("path"))
-    return listed.unionByName(digested)
+    steps = path_items(rows, key, time, tie, item)
+    return _groups(steps, key, "steps", F.col("position"), F.col(item)).join(steps, key).select(key, "users", "steps", "position", item)
 
 
 def count_histogram(df: DataFrame, key: str = "account_id", item: str | None = "product_name") -> DataFrame:

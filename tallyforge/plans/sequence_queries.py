@@ -25,37 +25,41 @@ def owned(t):
     return segment.acquisitions(t.sales, label_in("event_name", MODELS))
 
 
-@query("baskets", """
-SELECT basket, items, count(*) AS users FROM (
-  SELECT account_id, string_agg(DISTINCT event_type, '|' ORDER BY event_type) AS basket, count(DISTINCT event_type) AS items FROM sales GROUP BY 1)
-GROUP BY 1, 2""")
+def _basket_sql(item, where="", having=""):
+    return f"""
+, pairs AS (SELECT DISTINCT account_id, {item} FROM sales {where}),
+sets AS (SELECT account_id, string_agg({item}, '|' ORDER BY {item}) AS basket, count(*) AS items FROM pairs GROUP BY 1 {having}),
+g AS (SELECT min(account_id) AS account_id, count(*) AS users, items FROM sets GROUP BY basket, items)
+SELECT account_id, users, items, {item} FROM g JOIN pairs USING (account_id)"""
+
+
+def _path_sql(where=""):
+    return f"""
+, steps AS (SELECT account_id, product_name, row_number() OVER (PARTITION BY account_id ORDER BY time, transaction_id, product_id) AS position
+  FROM sales {where}),
+paths AS (SELECT account_id, string_agg(product_name, ' > ' ORDER BY position) AS path, count(*) AS steps FROM steps GROUP BY 1),
+g AS (SELECT min(account_id) AS account_id, count(*) AS users, steps FROM paths GROUP BY path, steps)
+SELECT account_id, users, g.steps, position, product_name FROM g JOIN steps USING (account_id)"""
+
+
+@query("baskets", _basket_sql("event_type"))
 def baskets(t):
-    return sequence.baskets(t.sales, item="event_type").groupBy("basket", "items").agg(F.count("account_id").alias("users"))
+    return sequence.baskets(t.sales, item="event_type")
 
 
-@query("baskets_of_campaign", f"""
-SELECT basket, items, count(*) AS users FROM (
-  SELECT account_id, string_agg(DISTINCT product_name, '|' ORDER BY product_name) AS basket, count(DISTINCT product_name) AS items
-  FROM sales WHERE event_name = '{CAMPAIGN}' GROUP BY 1) WHERE items IN (2, 3) GROUP BY 1, 2""")
+@query("baskets_of_campaign", _basket_sql("product_name", f"WHERE event_name = '{CAMPAIGN}'", "HAVING count(*) IN (2, 3)"))
 def baskets_of_campaign(t):
-    sets = sequence.baskets(t.sales.where(F.col("event_name") == CAMPAIGN)).where("items IN (2, 3)")
-    return sets.groupBy("basket", "items").agg(F.count("account_id").alias("users"))
+    return sequence.baskets(t.sales.where(F.col("event_name") == CAMPAIGN)).where("items IN (2, 3)")
 
 
-@query("purchase_path", """
-SELECT path, count(*) AS users FROM (
-  SELECT account_id, string_agg(product_name, ' > ' ORDER BY time, transaction_id, product_id) AS path FROM sales GROUP BY 1) GROUP BY 1""")
+@query("purchase_path", _path_sql())
 def purchase_path(t):
-    return sequence.purchase_path(t.sales).groupBy("path").agg(F.count("account_id").alias("users"))
+    return sequence.purchase_path(t.sales)
 
 
-@query("campaign_purchase_path", f"""
-SELECT path, count(*) AS users FROM (
-  SELECT account_id, string_agg(product_name, ' > ' ORDER BY time, transaction_id, product_id) AS path
-  FROM sales WHERE event_name = '{CAMPAIGN}' GROUP BY 1) GROUP BY 1""")
+@query("campaign_purchase_path", _path_sql(f"WHERE event_name = '{CAMPAIGN}'"))
 def campaign_purchase_path(t):
-    paths = sequence.purchase_path(t.sales.where(F.col("event_name") == CAMPAIGN))
-    return paths.groupBy("path").agg(F.count("account_id").alias("users"))
+    return sequence.purchase_path(t.sales.where(F.col("event_name") == CAMPAIGN))
 
 
 @query("path_positions", """
