@@ -2,49 +2,49 @@
 
 Spark's ``percentile`` keeps every distinct value in one aggregation buffer. Here the
 order statistics are found by narrowing a 16-bit digit at a time over the value
-histogram: each step aggregates at most 65,536 counts per wanted rank, whatever the
-number of rows.
+histogram. Coarser histograms are summed from finer ones, so only the last step reads
+the values, and every step looks at 65,536 counts per wanted rank at most, whatever
+the number of rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _DIGIT = 16
+_LOWEST = -(1 << 63)
 
 
-def exact_percentiles(df: DataFrame, column: str, probs: Mapping[str, float], bits: int = 48) -> DataFrame:
+def exact_percentiles(df: DataFrame, column: str, probs: Mapping[str, float]) -> DataFrame:
     """One row with a double per entry of ``probs``, linearly interpolated between ranks.
 
-    ``column`` must be integral; nulls are ignored. Values must lie within ``bits`` bits
-    (a multiple of 16) around zero; one outside fails the query, nothing is rounded.
+    ``column`` may hold any integers of 64 bits; nulls are ignored, and without values every percentile is null.
     """
-    bias = 1 << (bits - 1)
-    hist = (df.where(f"`{column}` IS NOT NULL").groupBy(F.expr(f"`{column}` + {bias}L AS value")).agg(F.expr("count(1) AS n")))
-    total = hist.agg(F.expr(f"""
-        CASE WHEN shiftrightunsigned(greatest(max(value), -min(value)), {bits}) = 0 THEN sum(n)
-             ELSE CAST(raise_error('values of {column} do not fit in {bits} bits') AS BIGINT) END AS total"""))
+    # with the sign bit turned over, values order as unsigned numbers
+    level = (df.where(f"`{column}` IS NOT NULL").select(F.col(column).cast("bigint").bitwiseXOR(F.lit(_LOWEST)).alias("value"))
+             .groupBy("value").agg(F.count(F.lit(1)).alias("n")))
+    levels = [level]
+    for _ in range(3):
+        level = level.groupBy(F.shiftrightunsigned("value", _DIGIT).alias("value")).agg(F.sum("n").alias("n"))
+        levels.append(level)
     # the ranks below and above each wanted position, and how far between them it lies
     targets = ", ".join(
         f"named_struct('name', '{name}', 'side', '{side}', 'k', CAST({rank}({p!r}D * (total - 1)) AS BIGINT), "
         f"'share', {p!r}D * (total - 1) - floor({p!r}D * (total - 1)))"
         for name, p in probs.items() for side, rank in (("lo", "floor"), ("hi", "ceil")))
-    # (prefix, ranks still wanted below that prefix); at first one empty prefix with all of them
-    wanted = total.selectExpr("total * 0 AS prefix", f"array({targets}) AS targets")
-    found = None
-    for shift in range(bits - _DIGIT, -1, -_DIGIT):
-        digits = (hist.selectExpr(f"shiftright(value, {shift}) AS digit", f"shiftright(value, {shift + _DIGIT}) AS prefix", "n")
-                  .join(F.broadcast(wanted), "prefix")  # at most two rows per entry of probs
-                  .groupBy("prefix", "digit").agg(F.expr("sum(n) AS n"), F.expr("first(targets) AS targets")))
-        found = (digits.selectExpr("*", "sum(n) OVER (PARTITION BY prefix ORDER BY digit ROWS UNBOUNDED PRECEDING) - n AS below")
-                 .selectExpr("digit", "n", "below", "explode(targets) AS t")
-                 .where("t.k >= below AND t.k < below + n")
-                 .selectExpr("digit AS prefix", "t.name", "t.side", "t.k - below AS k", "t.share"))
-        wanted = found.groupBy("prefix").agg(F.expr("collect_list(struct(name, side, k, share)) AS targets"))
-    value = f"CAST(max(prefix) FILTER (WHERE name = '{{}}' AND side = '{{}}') - {bias}L AS DOUBLE)"
+    found = levels[-1].agg(F.sum("n").alias("total")).selectExpr(f"inline(array({targets}))").withColumn("prefix", F.lit(0).cast("bigint"))
+    running = Window.partitionBy("name", "side").orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)
+    for step, level in enumerate(reversed(levels)):
+        # the first step has one prefix for all: Java shifts by 64 bits as by 0
+        prefix = F.lit(0).cast("bigint") if step == 0 else F.shiftrightunsigned("value", _DIGIT)
+        counts = level.select(prefix.alias("prefix"), F.col("value").alias("digit"), "n")
+        inside = counts.join(F.broadcast(found), "prefix")  # two rows per entry of probs
+        found = (inside.withColumn("below", F.sum("n").over(running) - F.col("n")).where("k >= below AND k < below + n")
+                 .select("name", "side", (F.col("k") - F.col("below")).alias("k"), "share", F.col("digit").alias("prefix")))
+    value = f"CAST(max(prefix ^ {_LOWEST + 1}L ^ 1L) FILTER (WHERE name = '{{}}' AND side = '{{}}') AS DOUBLE)"
     return found.agg(*[F.expr(
         f"{value.format(n, 'lo')} + ({value.format(n, 'hi')} - {value.format(n, 'lo')}) * max(share) FILTER (WHERE name = '{n}' AND side = 'lo') AS {n}"
     ) for n in probs])
