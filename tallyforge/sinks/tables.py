@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,10 +25,30 @@ def overwrite_slice(df: DataFrame, path: str, keys: Mapping[str, object]) -> Non
     """Replaces one partition, also with nothing: a day whose re-run is empty ends up empty.
 
     ``keys`` are the partition columns in the table's order, such as device and date, or
-    device and end_date for a period table.
+    device and end_date for a period table. Any text and null may be a key. The partition
+    is replaced when the job commits; an empty run clears it after it has succeeded.
     """
-    target = "/".join([path.rstrip("/"), *(f"{k}={quote(str(v), safe='-_. ')}" for k, v in keys.items())])
-    _even(df.drop(*keys)).write.mode("overwrite").parquet(target)
+    values = {k: F.lit(None if v is None else str(v)).cast("string") for k, v in keys.items()}
+    rows = df.drop(*keys).withColumns(values)
+    before = _files(df.sparkSession, path, rows.schema, values)
+    overwrite_partitions(rows, path, list(keys))
+    if before and _files(df.sparkSession, path, rows.schema, values) == before:  # the run had no row
+        for folder in {f.rsplit("/", 1)[0] for f in before}:
+            where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.sparkSession._jvm.java.net.URI(folder))
+            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _files(spark: SparkSession, path: str, schema: T.StructType, values: Mapping[str, Column]) -> set[str]:
+    """The files of one partition, as Spark finds them; every write gives them new names."""
+    try:
+        table = spark.read.schema(schema).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return set()
+        raise
+    for k, v in values.items():
+        table = table.where(F.col(k).eqNullSafe(v))
+    return {r.file_path for r in table.select("_metadata.file_path").distinct().collect()}
 
 
 def append(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:

@@ -41,6 +41,24 @@ def test_empty_rerun_empties_its_day(spark, frame, table):
     assert rows(lake.lake_table(spark, table), "n") == [(1,), (3,), (4,), (7,)]
 
 
+@pytest.mark.parametrize("key", ["a,b", "x+y", "é", "a(b)", "a/b=c%", None])
+def test_slice_rerun_of_any_key_leaves_one_row(spark, frame, tmp_path, key):
+    path = str(tmp_path / "odd")
+    tables.overwrite_partitions(frame(FACT, (key, "2020-01-01", 1), ("pc", "2020-01-01", 2)), path)
+    for n in (3, 4):
+        tables.overwrite_slice(frame(FACT, (key, "2020-01-01", n)), path, {"device": key, "date": "2020-01-01"})
+    assert sorted(r.n for r in lake.lake_table(spark, path).collect()) == [2, 4]
+    tables.overwrite_slice(frame(FACT), path, {"device": key, "date": "2020-01-01"})
+    assert [r.n for r in lake.lake_table(spark, path).collect()] == [2]
+
+
+def test_failed_slice_rerun_leaves_the_day(spark, frame, table):
+    bad = frame(FACT, ("pc", "2020-01-02", 7)).selectExpr("device", "date", "n + CAST(raise_error('no') AS bigint) AS n")
+    with pytest.raises(PySparkException):
+        tables.overwrite_slice(bad, table, {"device": "pc", "date": "2020-01-02"})
+    assert rows(lake.lake_table(spark, table), "n") == [(1,), (2,), (3,), (4,)]
+
+
 def test_missing_days_and_policies(spark, table):
     df = lake.lake_table(spark, table)
     assert rows(lake.missing_days(df, "2020-01-01", "2020-01-04")) == [("2020-01-03",)]
