@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import ratio, total_use
 from tallyforge.functions.periods import as_date
-from tallyforge.operators.joins import flag_new_buyer, in_cohort
+from tallyforge.operators.joins import flag_new_buyer, in_cohort, spread_join
 from tallyforge.operators.levels import people_and_sums
 
 
@@ -23,7 +23,7 @@ def cohort_spend(purchases: DataFrame, cohort: DataFrame, cut: str, key: str = "
     ``users`` and ``mean_spend`` cover the whole cohort, the ``kept_`` columns those of its
     users that had also bought before the cut-off.
     """
-    daily = in_cohort(purchases, cohort, key).groupBy("date", key).agg(F.sum(total_use()).alias("spend"))
+    daily = in_cohort(purchases.groupBy("date", key).agg(F.sum(total_use()).alias("spend")), cohort, key)
     is_after = F.col("date") >= as_date(cut)
     had_before = daily.groupBy(key).agg(F.max(~is_after).alias("kept"))
     per_day = daily.join(had_before, key).groupBy("date").agg(
@@ -52,9 +52,13 @@ def overlap(purchases: DataFrame, groups: Mapping[str, Column], key: str = "acco
 
 def b_after_a(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("account_id",), time: str = "time",
               a_time: str | None = None) -> DataFrame:
-    """Rows of ``b`` later than the first ``a`` of the same key; later than *any* a means later than the first."""
+    """Rows of ``b`` later than the first ``a`` of the same key; later than *any* a means later than the first.
+
+    Each row's own time counts, so rows of ``b`` meet that first time one by one; a busy key is spread over
+    several tasks.
+    """
     first = a.groupBy(*keys).agg(F.min(a_time or time).alias("__first_a"))
-    return b.join(first, list(keys)).where(F.col(time) > F.col("__first_a")).drop("__first_a")
+    return spread_join(b, first, keys).where(F.col(time) > F.col("__first_a")).drop("__first_a")
 
 
 def with_side(df: DataFrame, cut: str, time: str = "time", name: str = "is_after") -> DataFrame:
@@ -123,7 +127,7 @@ def threshold_takeup(gains: DataFrame, minimum: int, purchases: DataFrame, amoun
                      item: str = "product_id", key: str = "account_id") -> DataFrame:
     """Buyers per item among users whose total gain reaches ``minimum``, beside the number of such users."""
     rich = gains.groupBy(key).agg(F.sum(amount).alias("total")).where(F.col("total") >= minimum)
-    taken = people_and_sums(in_cohort(purchases, rich, key), key, [item], {"pu": True})
+    taken = people_and_sums(purchases, key, [item], {"pu": True}, attrs=rich.select(key), how="left_semi")
     return taken.withColumn("users", rich.agg(F.count(key)).scalar()).withColumn("takeup", ratio("pu", "users"))
 
 
@@ -138,16 +142,21 @@ def retention(earlier: DataFrame, later: DataFrame, key: str = "account_id") ->
 
 def bought_by(purchases: DataFrame, cohort: DataFrame, by: Sequence[str], key: str = "account_id") -> DataFrame:
     """What a cohort buys: users and coins per group."""
-    return people_and_sums(in_cohort(purchases, cohort, key), key, by, {"users": True},
-                           {"paid_use": "paid_use", "total_use": total_use()})
+    return people_and_sums(purchases, key, by, {"users": True}, {"paid_use": "paid_use", "total_use": total_use()},
+                           attrs=cohort.select(key), how="left_semi")
 
 
-def new_buyer_kpi(purchases: DataFrame, ledger: DataFrame, by: Sequence[str], key: str = "account_id") -> DataFrame:
-    """New buyers per group, their coins on their first day, and the share of all coins."""
-    flagged = flag_new_buyer(purchases, ledger, key)
-    new_coins = F.when(F.col("is_new"), total_use())
-    out = people_and_sums(flagged, key, by, {"pu": True, "npu": "is_new", "paid_npu": "is_new AND paid_use > 0"},
-                          {"total_use": total_use(), "new_use": new_coins})
+def new_buyer_kpi(purchases: DataFrame, ledger: DataFrame, by: Sequence[str], key: str = "account_id",
+                  attrs: DataFrame | None = None) -> DataFrame:
+    """New buyers per group, their coins on their first day, and the share of all coins.
+
+    Purchases shrink to one row per user and day before they meet the ledger and the users' ``attrs``.
+    """
+    own = [d for d in by if attrs is None or d not in attrs.columns]
+    daily = purchases.groupBy(key, "date", *own).agg(F.max(F.col("paid_use") > 0).alias("paid"), F.sum(total_use()).alias("coins"))
+    flagged = flag_new_buyer(daily, ledger, key)
+    out = people_and_sums(flagged, key, by, {"pu": True, "npu": "is_new", "paid_npu": "is_new AND paid"},
+                          {"total_use": "coins", "new_use": F.when(F.col("is_new"), F.col("coins"))}, attrs=attrs, how="inner")
     return out.withColumn("new_share", ratio(F.col("new_use") * 100, "total_use"))
 
 

@@ -108,7 +108,8 @@ def either_key_join(facts: DataFrame, dim: DataFrame, fact_id: str, dim_id: str,
                             "valid_from", "valid_to", *attrs)
     keyed = facts.withColumns({
         "__has_id": F.col(fact_id).isNotNull(),
-        "__fact_key": F.coalesce(strip_prefix(fact_id, prefix), F.col(item))})
+        # an id without the expected form matches nothing, and not a product by chance
+        "__fact_key": F.when(F.col(fact_id).isNotNull(), strip_prefix(fact_id, prefix)).otherwise(F.col(item))})
     on = [F.col(k) == F.col(f"__{k}") for k in keys]
     on += [F.col("__has_id") == F.col("__by_id"), F.col("__fact_key") == F.col("__key"), _in_range(time)]
     helpers = ["__has_id", "__fact_key", "__by_id", "__key", "valid_from", "valid_to", *[f"__{k}" for k in keys]]
@@ -141,6 +142,13 @@ def in_cohort(df: DataFrame, cohort: DataFrame, key: str = "account_id", flag: s
             .withColumn(flag, F.coalesce(flag, F.lit(False))))
 
 
+def spread_join(facts: DataFrame, one: DataFrame, keys: Sequence[str], parts: int = 16) -> DataFrame:
+    """Inner join of facts with a frame of one row per key, a busy key's facts dealt to ``parts`` tasks."""
+    dealt = facts.withColumn("__part", F.pmod(F.xxhash64(*facts.columns), F.lit(parts)))
+    copies = one.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))))
+    return dealt.join(copies, [*keys, "__part"]).drop("__part")
+
+
 def exclude(df: DataFrame, *others: DataFrame, key: str = "account_id") -> DataFrame:
     """Rows whose user is in none of the other cohorts."""
     for other in others:

@@ -21,12 +21,12 @@ def _coins() -> dict[str, Column | str]:
 
 
 def with_ratios(df: DataFrame, revenue: str = "total_use") -> DataFrame:
-    """Purchase rate, revenue per active user and per buyer; a zero base gives null."""
-    return df.withColumns({"pur": ratio("pu", "au"), "arpu": ratio(revenue, "au"), "arppu": ratio(revenue, "pu")})
+    """Purchase rate, rate of payers, revenue per active user and per buyer; a zero base gives null."""
+    return df.withColumns({"pur": ratio("pu", "au"), "paid_pur": ratio("paid_pu", "au"), "arpu": ratio(revenue, "au"), "arppu": ratio(revenue, "pu")})
 
 
-def active_by(users: DataFrame, dims: Sequence[str], key: str = "account_id") -> DataFrame:
-    return people_and_sums(users, key, dims, {"au": True})
+def active_by(users: DataFrame, dims: Sequence[str], key: str = "account_id", attrs: DataFrame | None = None) -> DataFrame:
+    return people_and_sums(users, key, dims, {"au": True}, attrs=attrs, how="inner")
 
 
 def sales_by(purchases: DataFrame, dims: Sequence[str], key: str = "account_id") -> DataFrame:
@@ -119,9 +119,9 @@ def crosstab(df: DataFrame, row: str, col: str, values: Sequence[str], measure:
     return df.groupBy(row).pivot(col, list(values)).agg(measure)
 
 
-def sign_split(df: DataFrame, amount: str, by: Sequence[str], key: str = "account_id") -> DataFrame:
+def sign_split(df: DataFrame, amount: str, by: Sequence[str], key: str = "account_id", attrs: DataFrame | None = None) -> DataFrame:
     """Amount and users on the gain and the spend side; a zero amount is on the spend side."""
-    return people_and_sums(df.withColumn("side", sign(amount)), key, [*by, "side"], {"users": True}, {"amount": amount})
+    return people_and_sums(df.withColumn("side", sign(amount)), key, [*by, "side"], {"users": True}, {"amount": amount}, attrs=attrs)
 
 
 def sign_mean(df: DataFrame, amount: str, key: str = "account_id") -> DataFrame:
@@ -146,18 +146,18 @@ def max_level_hist(levels: DataFrame, by: Sequence[str], key: str = "account_id"
     return top.groupBy(*by, "max_level").agg(F.count(key).alias("users"))
 
 
-def pass_rates(status: DataFrame, by: Sequence[str], key: str = "account_id") -> DataFrame:
+def pass_rates(status: DataFrame, by: Sequence[str], key: str = "account_id", attrs: DataFrame | None = None) -> DataFrame:
     """Share of active users that hold the pass."""
     present = status.where(F.col("status").isin("active", "pass"))
-    return (people_and_sums(present, key, by, {"users": True, "pass_users": "status = 'pass'"})
+    return (people_and_sums(present, key, by, {"users": True, "pass_users": "status = 'pass'"}, attrs=attrs)
             .withColumn("pass_rate", ratio("pass_users", "users")))
 
 
-def pass_levels(status: DataFrame, by: Sequence[str], key: str = "account_id") -> DataFrame:
+def pass_levels(status: DataFrame, by: Sequence[str], key: str = "account_id", attrs: DataFrame | None = None) -> DataFrame:
     """Pass users per level and their share of all pass users of the group."""
     holders = status.where("status = 'pass'")
-    total = people_and_sums(holders, key, by, {"pass_users": True})
-    per_level = people_and_sums(holders, key, [*by, "level"], {"users": True})
+    total = people_and_sums(holders, key, by, {"pass_users": True}, attrs=attrs, how="inner")
+    per_level = people_and_sums(holders, key, [*by, "level"], {"users": True}, attrs=attrs, how="inner")
     return per_level.join(total, list(by)).withColumn("level_rate", ratio("users", "pass_users"))
 
 
@@ -174,24 +174,24 @@ def status_by_day(status: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("status") == "pass", 1)).alias("pass_rows"))
 
 
-def two_stage_kpi(users: DataFrame, purchases: DataFrame, fine: Sequence[str], grain: Sequence[str]) -> DataFrame:
+def two_stage_kpi(users: DataFrame, purchases: DataFrame, fine: Sequence[str], grain: Sequence[str], attrs: DataFrame | None = None) -> DataFrame:
     """AU counted at the fine grain and *summed* to ``grain``; buyers counted at ``grain`` itself.
 
     A user seen in two fine groups counts twice in AU. That is the definition, not an oversight.
     """
-    au = active_by(users, fine).groupBy(*grain).agg(F.sum("au").alias("au"))
+    au = active_by(users, fine, attrs=attrs).groupBy(*grain).agg(F.sum("au").alias("au"))
     pu = people_and_sums(purchases, "account_id", grain, {"pu": True})
     return au.join(pu, list(grain)).withColumn("pur", ratio("pu", "au"))
 
 
-def campaign_totals(purchases: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def campaign_totals(purchases: DataFrame, by: Sequence[str] = (), attrs: DataFrame | None = None) -> DataFrame:
     """Payers, buyers, paid and total coins of a campaign."""
-    return people_and_sums(purchases, "account_id", by, _people(), _coins())
+    return people_and_sums(purchases, "account_id", by, _people(), _coins(), attrs=attrs, how="inner")
 
 
-def arppu_by(purchases: DataFrame, dim: str) -> DataFrame:
+def arppu_by(purchases: DataFrame, dim: str, attrs: DataFrame | None = None) -> DataFrame:
     """Total coins per buyer and paid coins per payer."""
-    return campaign_totals(purchases, [dim]).withColumns(
+    return campaign_totals(purchases, [dim], attrs).withColumns(
         {"arppu": ratio("total_use", "pu"), "paid_arppu": ratio("paid_use", "paid_pu")})
 
 
@@ -199,13 +199,13 @@ def value_list(df: DataFrame, cols: Sequence[str], order: Sequence[Column]) -> D
     return df.select(*cols).distinct().orderBy(*order)
 
 
-def coupon_flow(log: DataFrame, by: Sequence[str], prefix: str, used_reason: str, key: str = "account_id") -> DataFrame:
+def coupon_flow(log: DataFrame, by: Sequence[str], prefix: str, used_reason: str, key: str = "account_id", attrs: DataFrame | None = None) -> DataFrame:
     """Coupons gained and used, with the users on each side."""
     coupons = log.where(F.col("currency").startswith(prefix))
     gained, used = F.col("amount") > 0, F.col("reason") == used_reason
     return people_and_sums(
         coupons, key, by, {"owners": gained, "spenders": used},
-        {"gained": F.when(gained, F.col("amount")), "used": F.when(used, F.col("amount"))})
+        {"gained": F.when(gained, F.col("amount")), "used": F.when(used, F.col("amount"))}, attrs=attrs)
 
 
 def coupon_totals(log: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
@@ -214,8 +214,8 @@ def coupon_totals(log: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame
     return log.where(F.col("amount") > 0).groupBy(kind.alias("kind")).agg(F.sum("amount").alias("amount"))
 
 
-def vote_kpi(votes: DataFrame, by: Sequence[str], key: str = "account_id") -> DataFrame:
-    return people_and_sums(votes, key, by, {"voters": True}, rows="votes")
+def vote_kpi(votes: DataFrame, by: Sequence[str], key: str = "account_id", attrs: DataFrame | None = None) -> DataFrame:
+    return people_and_sums(votes, key, by, {"voters": True}, rows="votes", attrs=attrs, how="inner")
 
 
 def same_day_join(facts: DataFrame, snapshots: DataFrame, attrs: Sequence[str], key: str = "account_id") -> DataFrame:

@@ -33,19 +33,30 @@ def people_and_sums(
     rows: str | None = None,
     levels: Sequence[Sequence[str]] | None = None,
     labels: Mapping[str, str] | None = None,
+    attrs: DataFrame | None = None,
+    how: str = "left",
 ) -> DataFrame:
     """Per group: people for whom a condition held at least once, sums, and a row count.
 
     ``levels`` lists the grouping sets (default: all ``dims``). A dimension rolled up
     at a level holds ``labels[dim]`` there, so a real null is never taken for a total.
     Rows with a null ``key`` count in sums and rows but not as people.
+
+    ``attrs`` (the key and attributes, one row per combination) supplies the dimensions that ``df``
+    lacks. It is joined (``how``) to the one-row-per-person stage, so raw rows are never shuffled by
+    person for it and a person with very many rows costs no task more than others.
     """
     people, sums, labels = dict(people or {}), dict(sums or {}), dict(labels or {})
     keep = [_flag(c, f"__p_{n}") for n, c in people.items()]
     keep += [F.sum(c).alias(f"__s_{n}") for n, c in sums.items()]
     keep += [F.expr("count(1) AS __rows")]
     who = [*dims, key]
-    if levels is None:
+    if attrs is not None:
+        if levels is not None:
+            raise ValueError("levels and attrs do not go together")
+        own = [d for d in dims if d not in attrs.columns]
+        per_person, groups = df.groupBy(*own, key).agg(*keep).join(attrs, key, how), list(dims)
+    elif levels is None:
         per_person, groups = df.groupBy(*who).agg(*keep), list(dims)
     else:
         sets = [[F.col(c) for c in [*level, key]] for level in levels]

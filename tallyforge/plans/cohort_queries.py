@@ -213,8 +213,7 @@ SELECT region, count(DISTINCT account_id) AS pu, count(DISTINCT CASE WHEN is_new
   CAST(sum(CASE WHEN is_new THEN paid_use + free_use END) AS BIGINT) AS new_use,
   CAST(sum(CASE WHEN is_new THEN paid_use + free_use END) * 100 AS DOUBLE) / sum(paid_use + free_use) AS new_share FROM f GROUP BY 1""")
 def new_buyer_kpi(t):
-    placed = t.purchases.join(t.users.select("account_id", "region"), "account_id")
-    return cohort.new_buyer_kpi(placed, t.first_use, ["region"])
+    return cohort.new_buyer_kpi(t.purchases, t.first_use, ["region"], attrs=t.users.select("account_id", "region"))
 
 
 @query("first_buy_order", """

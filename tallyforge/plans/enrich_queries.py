@@ -173,8 +173,9 @@ def semi_cohort(t):
 SELECT account_id IN (SELECT account_id FROM sales WHERE event_name = 'Brand#7') AS in_brand, count(*) AS lines,
   count(DISTINCT account_id) AS users FROM purchases GROUP BY 1""")
 def cohort_flag(t):
-    flagged = joins.in_cohort(t.purchases, t.sales.where("event_name = 'Brand#7'"), flag="in_brand")
-    return people_and_sums(flagged, "account_id", ["in_brand"], {"users": True}, rows="lines")
+    members = t.sales.where("event_name = 'Brand#7'").select("account_id").distinct().withColumn("in_brand", F.lit(True))
+    counted = people_and_sums(t.purchases, "account_id", ["in_brand"], {"users": True}, rows="lines", attrs=members)
+    return counted.withColumn("in_brand", F.coalesce("in_brand", F.lit(False)))
 
 
 CALENDAR = """
@@ -200,7 +201,7 @@ def live_campaign(t):
 SELECT date, count(DISTINCT account_id) AS pu, count(DISTINCT CASE WHEN date = first_use_date THEN account_id END) AS npu
 FROM purchases LEFT JOIN first_use USING (account_id) GROUP BY 1""")
 def new_buyers(t):
-    flagged = joins.flag_new_buyer(t.purchases.select("account_id", "date"), t.first_use)
+    flagged = joins.flag_new_buyer(t.purchases.select("account_id", "date").distinct(), t.first_use)
     return people_and_sums(flagged, "account_id", ["date"], {"pu": True, "npu": "is_new"})
 
 
@@ -208,8 +209,7 @@ def new_buyers(t):
 SELECT platform, count(DISTINCT account_id) AS pu, count(DISTINCT CASE WHEN paid_use > 0 THEN account_id END) AS paid_pu
 FROM purchases GROUP BY 1""")
 def payer_flag(t):
-    return t.purchases.groupBy("platform").agg(
-        F.count_distinct("account_id").alias("pu"), F.count_distinct(payer_id("paid_use", "account_id")).alias("paid_pu"))
+    return people_and_sums(t.purchases, "account_id", ["platform"], {"pu": True, "paid_pu": payer_id("paid_use", "account_id").isNotNull()})
 
 
 SPEND = """

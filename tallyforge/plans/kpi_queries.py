@@ -15,7 +15,7 @@ VOTE_TYPES = [("%BONUS%", "bonus"), ("%SOLO%", "solo"), ("%TEAM%", "team"), ("%D
 VOTE_REGIONS = [("%EAST%", "east"), ("%WEST%", "west")]
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
-RATIOS = """CAST(pu AS DOUBLE) / nullif(au, 0) AS pur, CAST(total_use AS DOUBLE) / nullif(au, 0) AS arpu,
+RATIOS = """CAST(pu AS DOUBLE) / nullif(au, 0) AS pur, CAST(paid_pu AS DOUBLE) / nullif(au, 0) AS paid_pur, CAST(total_use AS DOUBLE) / nullif(au, 0) AS arpu,
   CAST(total_use AS DOUBLE) / nullif(pu, 0) AS arppu"""
 SOLD = """count(DISTINCT account_id) AS pu, count(DISTINCT CASE WHEN paid_use > 0 THEN account_id END) AS paid_pu,
   CAST(sum(paid_use) AS BIGINT) AS paid_use, CAST(sum(paid_use + free_use) AS BIGINT) AS total_use"""
@@ -179,8 +179,12 @@ vu AS (SELECT v.*, region, membership FROM v JOIN users USING (account_id))
 
 
 def _votes(t):
-    named = kpi.labelled(t.votes, {"vote_type": VOTE_TYPES, "vote_region": VOTE_REGIONS}, "game_id")
-    return named.join(t.users.select("account_id", "region", "membership"), "account_id")
+    return kpi.labelled(t.votes, {"vote_type": VOTE_TYPES, "vote_region": VOTE_REGIONS}, "game_id")
+
+
+def _segments(t, *dims):
+    """The user attributes that a report groups by; joined after the rows of each user have been summed."""
+    return t.users.select("account_id", *(dims or ("region", "membership")))
 
 
 @query("label_votes", VOTES + "SELECT vote_type, count(DISTINCT account_id) AS voters, count(*) AS votes FROM v GROUP BY 1")
@@ -191,14 +195,14 @@ def label_votes(t):
 @query("votes_by_day", VOTES + """
 SELECT date, membership, count(DISTINCT account_id) AS voters, count(*) AS votes FROM vu GROUP BY 1, 2""")
 def votes_by_day(t):
-    return kpi.vote_kpi(_votes(t), ["date", "membership"])
+    return kpi.vote_kpi(_votes(t), ["date", "membership"], attrs=_segments(t, "membership"))
 
 
 @query("votes_by_type_and_region", VOTES + """
 SELECT vote_type, vote_region, region, membership, count(DISTINCT account_id) AS voters, count(*) AS votes
 FROM vu GROUP BY 1, 2, 3, 4""")
 def votes_by_type_and_region(t):
-    return kpi.vote_kpi(_votes(t), ["vote_type", "vote_region", "region", "membership"])
+    return kpi.vote_kpi(_votes(t), ["vote_type", "vote_region", "region", "membership"], attrs=_segments(t))
 
 
 @query("crosstab_region_membership", """
@@ -216,7 +220,7 @@ SELECT date, """ + ", ".join(
     f"nullif(count(DISTINCT CASE WHEN membership = '{s}' THEN account_id END), 0) AS \"{s}\"" for s in SEGMENTS) + """
 FROM vu GROUP BY 1""")
 def crosstab_votes(t):
-    return kpi.crosstab(kpi.vote_kpi(_votes(t), ["date", "membership"]), "date", "membership", SEGMENTS, F.first("voters"))
+    return kpi.crosstab(kpi.vote_kpi(_votes(t), ["date", "membership"], attrs=_segments(t, "membership")), "date", "membership", SEGMENTS, F.first("voters"))
 
 
 SIGN = """
@@ -234,8 +238,7 @@ def sign_split_by_day(t):
 SELECT region, membership, side, count(DISTINCT account_id) AS users, CAST(sum(amount) AS BIGINT) AS amount
 FROM s LEFT JOIN users USING (account_id) GROUP BY 1, 2, 3""")
 def sign_split_by_segment(t):
-    joined = t.currency_log.join(t.users.select("account_id", "region", "membership"), "account_id", "left")
-    return kpi.sign_split(joined, "amount", ["region", "membership"])
+    return kpi.sign_split(t.currency_log, "amount", ["region", "membership"], attrs=_segments(t))
 
 
 @query("sign_mean_per_user", SIGN + """
@@ -272,7 +275,7 @@ SELECT region, count(DISTINCT account_id) AS users, count(DISTINCT CASE WHEN sta
   CAST(count(DISTINCT CASE WHEN status = 'pass' THEN account_id END) AS DOUBLE) / count(DISTINCT account_id) AS pass_rate
 FROM pass_status LEFT JOIN users USING (account_id) WHERE status IN ('active', 'pass') GROUP BY 1""")
 def pass_rates_by_region(t):
-    return kpi.pass_rates(t.pass_status.join(t.users.select("account_id", "region"), "account_id", "left"), ["region"])
+    return kpi.pass_rates(t.pass_status, ["region"], attrs=_segments(t, "region"))
 
 
 @query("pass_levels_by_region", """
@@ -282,7 +285,7 @@ SELECT region, level, count(DISTINCT account_id) AS users, pass_users,
   CAST(count(DISTINCT account_id) AS DOUBLE) / pass_users AS level_rate
 FROM h JOIN tot USING (region) GROUP BY region, level, pass_users""")
 def pass_levels_by_region(t):
-    return kpi.pass_levels(t.pass_status.join(t.users.select("account_id", "region"), "account_id"), ["region"])
+    return kpi.pass_levels(t.pass_status, ["region"], attrs=_segments(t, "region"))
 
 
 @query("levelup_rate_by_day", """
@@ -313,8 +316,7 @@ SELECT date, au, pu, CAST(pu AS DOUBLE) / nullif(au, 0) AS pur
 FROM (SELECT date, CAST(sum(au) AS BIGINT) AS au FROM fine GROUP BY 1)
 JOIN (SELECT date, count(DISTINCT account_id) AS pu FROM purchases GROUP BY 1) USING (date)""")
 def two_stage_kpi_by_day(t):
-    users = t.active_days.join(t.users.select("account_id", "region"), "account_id")
-    return kpi.two_stage_kpi(users, t.purchases, ["date", "platform", "region"], ["date"])
+    return kpi.two_stage_kpi(t.active_days, t.purchases, ["date", "platform", "region"], ["date"], attrs=_segments(t, "region"))
 
 
 @query("two_stage_kpi_by_platform", TWO_STAGE + """
@@ -322,8 +324,7 @@ SELECT date, platform, au, pu, CAST(pu AS DOUBLE) / nullif(au, 0) AS pur
 FROM (SELECT date, platform, CAST(sum(au) AS BIGINT) AS au FROM fine GROUP BY 1, 2)
 JOIN (SELECT date, platform, count(DISTINCT account_id) AS pu FROM purchases GROUP BY 1, 2) USING (date, platform)""")
 def two_stage_kpi_by_platform(t):
-    users = t.active_days.join(t.users.select("account_id", "region"), "account_id")
-    return kpi.two_stage_kpi(users, t.purchases, ["date", "platform", "region"], ["date", "platform"])
+    return kpi.two_stage_kpi(t.active_days, t.purchases, ["date", "platform", "region"], ["date", "platform"], attrs=_segments(t, "region"))
 
 
 @query("campaign_totals", f"SELECT event_name, {SOLD} FROM sales GROUP BY 1")
@@ -340,7 +341,7 @@ def overall_totals(t):
 SELECT *, CAST(total_use AS DOUBLE) / nullif(pu, 0) AS arppu, CAST(paid_use AS DOUBLE) / nullif(paid_pu, 0) AS paid_arppu
 FROM (SELECT membership, {SOLD} FROM purchases JOIN users USING (account_id) GROUP BY 1)""")
 def arppu_by_membership(t):
-    return kpi.arppu_by(t.purchases.join(t.users.select("account_id", "membership"), "account_id"), "membership")
+    return kpi.arppu_by(t.purchases, "membership", attrs=_segments(t, "membership"))
 
 
 @query("price_list", "SELECT DISTINCT product_name, list_price FROM products")
@@ -355,8 +356,7 @@ SELECT region, membership, count(DISTINCT CASE WHEN amount > 0 THEN account_id E
   CAST(sum(CASE WHEN reason = 'purchase' THEN amount END) AS BIGINT) AS used
 FROM currency_log LEFT JOIN users USING (account_id) WHERE currency LIKE 'coupon%' GROUP BY 1, 2""")
 def coupon_flow(t):
-    joined = t.currency_log.join(t.users.select("account_id", "region", "membership"), "account_id", "left")
-    return kpi.coupon_flow(joined, ["region", "membership"], "coupon", "purchase")
+    return kpi.coupon_flow(t.currency_log, ["region", "membership"], "coupon", "purchase", attrs=_segments(t))
 
 
 @query("coupon_totals", """

@@ -140,25 +140,27 @@ def mart_coupon_balance(t):
     return marts.coupon_balance(t.snapshot, t.regions, t.membership, t.currency_log, "coupon.free")
 
 
-@query("mart_campaign_kpi", CALENDAR + f"""
-, live AS (SELECT * FROM calendar WHERE start_date <= DATE '{CAMPAIGN_DAY}' AND DATE '{CAMPAIGN_DAY}' <= end_date ORDER BY start_date, name LIMIT 1),
+def _campaign_sql(day):
+    return CALENDAR + f"""
+, live AS (SELECT * FROM calendar WHERE start_date <= DATE '{day}' AND DATE '{day}' <= end_date ORDER BY start_date, name LIMIT 1),
 c AS (SELECT sales.* FROM sales, live WHERE contains(event_name, live.name) AND channel <> 'R'),
-cum AS (SELECT c.* FROM c, live WHERE date BETWEEN start_date AND DATE '{CAMPAIGN_DAY}')
-SELECT DATE '{CAMPAIGN_DAY}' AS date, name,
+cum AS (SELECT c.* FROM c, live WHERE date BETWEEN start_date AND DATE '{day}')
+SELECT DATE '{day}' AS date, name,
   (SELECT count(DISTINCT account_id) FROM snapshot WHERE server_type = 'LIVE' AND last_login >= start_date) AS cum_au,
   (SELECT count(DISTINCT account_id) FROM cum) AS cum_pu,
   (SELECT count(DISTINCT account_id) FROM cum WHERE paid_use > 0) AS cum_paid_pu,
   (SELECT CAST(sum(free_use) AS BIGINT) FROM cum) AS cum_free_use, (SELECT CAST(sum(paid_use) AS BIGINT) FROM cum) AS cum_paid_use,
   (SELECT count(DISTINCT account_id) FROM c JOIN first_use USING (account_id)
-    WHERE date = DATE '{CAMPAIGN_DAY}' AND first_use_date = DATE '{CAMPAIGN_DAY}') AS daily_npu
-FROM live""")
+    WHERE date = DATE '{day}' AND first_use_date = DATE '{day}') AS daily_npu
+FROM live"""
+
+
+@query("mart_campaign_kpi", _campaign_sql(CAMPAIGN_DAY))
 def mart_campaign_kpi(t):
     return marts.campaign_kpi(t.snapshot, _coin(t), t.first_use, calendar(t), CAMPAIGN_DAY)
 
 
-@query("mart_campaign_kpi_none", "SELECT DATE '1980-01-01' AS date, p_brand AS name, " + ", ".join(
-    f"CAST(0 AS BIGINT) AS {c}" for c in ("cum_au", "cum_pu", "cum_paid_pu", "cum_free_use", "cum_paid_use", "daily_npu"))
-    + " FROM part WHERE FALSE")
+@query("mart_campaign_kpi_none", _campaign_sql("1980-01-01"))
 def mart_campaign_kpi_none(t):
     return marts.campaign_kpi(t.snapshot, _coin(t), t.first_use, calendar(t), "1980-01-01")
 
@@ -228,7 +230,7 @@ def _type_rule():
 
 
 @query("mart_overview", _users_sql(None, False) + f"""
-, f AS (SELECT s.* EXCLUDE (platform), mu.device, mu.platform, mu.region,
+, f AS (SELECT s.*, CASE WHEN channel = 'A' THEN 'console' ELSE 'pc' END AS device, mu.region,
     CASE WHEN date = first_use_date THEN account_id END AS new_id,
     CASE WHEN lower(product_name) LIKE '%red%' THEN 'red' WHEN lower(product_name) LIKE '%blue%' THEN 'blue'
       WHEN product_id = '42' THEN 'key' WHEN event_type = 'ECONOMY' THEN 'seasonal' ELSE 'else' END AS product_type
@@ -241,7 +243,8 @@ SELECT device, platform, region, product_type, event_name, count(DISTINCT CASE W
   count(DISTINCT account_id) AS total_pu, count(DISTINCT new_id) AS npu, CAST(sum(free_use) AS BIGINT) AS free_used,
   CAST(sum(paid_use) AS BIGINT) AS paid_used, DATE '{DAY}' AS date FROM l GROUP BY 1, 2, 3, 4, 5""")
 def mart_overview(t):
-    return marts.overview(t.snapshot, t.regions, _coin(t), t.first_use, DAY, "monthly", "%O%", _type_rule(), "PROMO")
+    coin = _coin(t).withColumn("device", F.when(F.col("channel") == "A", "console").otherwise("pc"))
+    return marts.overview(t.snapshot, t.regions, coin, t.first_use, DAY, "monthly", "%O%", _type_rule(), "PROMO")
 
 
 INVENTORY = f"""

@@ -203,26 +203,30 @@ def token_purchases(log: DataFrame, pattern: str = "%token%") -> DataFrame:
 def workshop_actions(log: DataFrame, classes: Sequence[tuple[str, str]]) -> DataFrame:
     """Counts and users per action: crates by item, crafts by item class, all with a total.
 
-    One scan: every row counts under its own item (where its action has items) and under the total.
+    One scan: every row counts under its own item (where its action has items, null being one) and under the total.
     """
     item = F.when(F.col("action") == "open", F.col("item_id")).when(
         F.col("action") == "craft", label_like("item_id", classes, "else"))
     amount = F.when(F.col("action") == "open", F.col("open_amount")).otherwise(F.lit(1).cast("bigint"))
     rows = log.select("date", "action", "account_id", amount.alias("amount"), item.alias("item"))
-    labelled = rows.withColumn("item", F.explode(F.array_compact(F.array(F.col("item"), F.lit(TOTAL)))))
-    return people_and_sums(labelled, "account_id", ["date", "action", "item"], {"users": True}, {"count": "amount"})
+    out = people_and_sums(rows, "account_id", ["date", "action", "item"], {"users": True}, {"count": "amount"},
+                          levels=[["date", "action", "item"], ["date", "action"]], labels={"item": TOTAL})
+    return out.where((F.col("item") == TOTAL) | F.col("action").isin("open", "craft"))
 
 
 def overview(snapshot: DataFrame, regions: DataFrame, coin: DataFrame, first_use: DataFrame, day: str, period: str,
              event_types: str, type_rule: Column, regular: str, floor: str | None = None) -> DataFrame:
-    """Payers, buyers, new buyers and coins by product type and event, with ``total`` and ``regular`` rows."""
+    """Payers, buyers, new buyers and coins by product type and event, with ``total`` and ``regular`` rows.
+
+    Device and platform are those of the purchase, the region is the user's.
+    """
     users = mart_users(snapshot, regions, None)
     window = F.col("date").between(period_start(day, period, floor), as_date(day))
     facts = coin.where(window & F.col("event_type").like(event_types)).withColumn("product_type", type_rule)
-    per_user = facts.groupBy("account_id", "date", "product_type", "event_name", "event_type").agg(
+    per_user = facts.groupBy("account_id", "date", "device", "platform", "product_type", "event_name", "event_type").agg(
         F.max(F.col("paid_use") > 0).alias("paid"), F.sum("free_use").alias("free_used"), F.sum("paid_use").alias("paid_used"))
     flagged = joins.flag_new_buyer(per_user, first_use)
-    joined = flagged.join(users.select("account_id", "device", "platform", "region"), "account_id", "left")
+    joined = flagged.join(users.select("account_id", "region"), "account_id", "left")
     kinds = F.array_compact(F.array(
         F.struct(F.col("product_type").alias("t"), F.col("event_name").alias("e")),
         F.struct(F.lit(TOTAL).alias("t"), F.lit(TOTAL).alias("e")),

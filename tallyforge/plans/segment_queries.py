@@ -108,7 +108,7 @@ def exclusive_segment_totals(t):
 
 
 @query("segment_partition_check", SEG + """
-SELECT CAST(count(*) AS BIGINT) AS rows, count(DISTINCT account_id) AS users, CAST(0 AS BIGINT) AS in_two,
+SELECT CAST(count(*) AS BIGINT) AS rows, count(DISTINCT account_id) AS users, (SELECT count(*) FROM (SELECT account_id FROM segs GROUP BY 1 HAVING count(DISTINCT segment) > 1)) AS in_two,
   (SELECT count(DISTINCT account_id) FROM camp WHERE account_id NOT IN (SELECT account_id FROM segs)) AS left_out FROM segs""")
 def segment_partition_check(t):
     parts, campaign = _segments(t)

@@ -28,9 +28,10 @@ def test_last_version_ends_in_2038(frame):
 
 def test_either_key_join_prefers_the_id(frame):
     facts = frame(FACTS, (1, "x", "two", None, "2020-01-15"), (2, "x", "two", "offer.22", "2020-01-15"), (3, "x", "one", "21", "2020-01-15"),
-                  (4, "x", "one", "99", "2020-01-15"), (5, "y", "one", "11", "2020-01-15"), (6, "x", "none", None, "2020-01-15"))
+                  (4, "x", "one", "99", "2020-01-15"), (5, "y", "one", "11", "2020-01-15"), (6, "x", "none", None, "2020-01-15"),
+                  (7, "x", "11", "offerX", "2020-01-15"))  # an id of no known form does not fall back to the product, whose name is an offer's id
     got = joins.either_key_join(facts, offers(frame), "sales_id", "offer_id", ["platform"], "product_id")
-    assert rows(got, "id", "offer_id") == [(1, "21"), (2, "22"), (3, "21"), (4, None), (5, None), (6, None)]
+    assert rows(got, "id", "offer_id") == [(1, "21"), (2, "22"), (3, "21"), (4, None), (5, None), (6, None), (7, None)]
 
 
 def test_either_key_join_equals_the_or_form(frame):

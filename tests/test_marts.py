@@ -77,18 +77,22 @@ def test_point_sales_only_while_live(frame):
 
 
 def test_action_totals(frame):
-    log = frame("date date, action string, account_id string, item_id string, open_amount bigint", (DAY, "open", "a", "c1", 5), (DAY, "open", "a", "c2", 1),
+    log = frame("date date, action string, account_id string, item_id string, open_amount bigint", (DAY, "open", "a", "c1", 5), (DAY, "open", "a", "c2", 1), (DAY, "open", "b", None, 2),
                 (DAY, "craft", "a", "imprint.1", None), (DAY, "craft", "b", "x", None), (DAY, "disassemble", "a", "x", None))
     out = marts.workshop_actions(log, [("%imprint%", "imprint")])
     assert rows(out, "action", "item", "count", "users") == [
         ("craft", "else", 1, 1), ("craft", "imprint", 1, 1), ("craft", "total", 2, 2), ("disassemble", "total", 1, 1),
-        ("open", "c1", 5, 1), ("open", "c2", 1, 1), ("open", "total", 6, 1)]
+        ("open", "c1", 5, 1), ("open", "c2", 1, 1), ("open", "total", 8, 2), ("open", None, 2, 1)]
 
 
 def test_overview_levels(frame):
-    coin = frame("account_id string, event_type string, event_name string, product_id string, date date, free_use bigint, paid_use bigint",
-                 ("a", "season_shop", "s1", "k", DAY, 1, 2), ("a", "shop", "r", "z", DAY, 1, 0), ("z", "food", "f", "z", DAY, 9, 9))
+    coin = frame("account_id string, device string, platform string, event_type string, event_name string, product_id string, date date, free_use bigint, paid_use bigint",
+                 ("a", "tv", "x", "season_shop", "s1", "k", DAY, 1, 2), ("a", "tv", "x", "shop", "r", "z", DAY, 1, 0),
+                 ("z", "pc", "w", "food", "f", "z", DAY, 9, 9), ("q", "tv", "x", "shop", "r", "z", DAY, 0, 3))
     first = frame("account_id string, first_use_date date", ("a", DAY))
     out = marts.overview(people(frame)[0], people(frame)[1], coin, first, DAY, "daily", "%shop%", F.when(F.col("product_id") == "k", "key").otherwise("else"), "shop")
     assert rows(out, "product_type", "event_name", "paid_pu", "total_pu", "npu", "free_used", "paid_used") == [
-        ("else", "r", 0, 1, 1, 1, 0), ("key", "s1", 1, 1, 1, 1, 2), ("regular", "regular", 0, 1, 1, 1, 0), ("total", "total", 1, 1, 1, 2, 2)]
+        ("else", "r", 0, 1, 1, 1, 0), ("else", "r", 1, 1, 0, 0, 3), ("key", "s1", 1, 1, 1, 1, 2), ("regular", "regular", 0, 1, 1, 1, 0),
+        ("regular", "regular", 1, 1, 0, 0, 3), ("total", "total", 1, 1, 0, 0, 3), ("total", "total", 1, 1, 1, 2, 2)]
+    # a buyer outside the snapshot lacks a region, not the purchase's device and platform
+    assert set(rows(out, "device", "platform", "region")) == {("tv", "x", "EAST"), ("tv", "x", None)}
