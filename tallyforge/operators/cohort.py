@@ -105,6 +105,16 @@ def first_times(events: DataFrame, steps: Mapping[str, Column], key: str = "acco
     return events.groupBy(key).agg(*[F.min(F.when(c, F.col(time))).alias(n) for n, c in steps.items()])
 
 
+def did_without(firsts: DataFrame, did: Sequence[str], without: Sequence[str]) -> DataFrame:
+    """Users that took all steps of ``did`` and none of ``without``, with the time ``done`` of the last one taken."""
+    hit = F.lit(True)
+    for step in did:
+        hit = hit & F.col(step).isNotNull()
+    for step in without:
+        hit = hit & F.col(step).isNull()
+    return firsts.where(hit).withColumn("done", F.greatest(*did) if len(did) > 1 else F.col(did[0]))
+
+
 def funnel(firsts: DataFrame, steps: Sequence[str]) -> DataFrame:
     """One row per step: users that reached it and all steps before, and those that did so in order.
 

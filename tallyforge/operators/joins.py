@@ -156,10 +156,19 @@ def exclude(df: DataFrame, *others: DataFrame, key: str = "account_id") -> DataF
     return df
 
 
-def live_campaign(calendar: DataFrame, day: str | Column, first: str = "start_date", last: str = "end_date") -> DataFrame:
-    """The first calendar row (by start, then name) that covers the day, or no row."""
+def live_campaign(calendar: DataFrame, day: str | Column, first: str = "start_date", last: str = "end_date",
+                  device: str | None = None, more: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """The first calendar row (by start, then name) that covers the day, or no row.
+
+    ``device`` keeps that device's rows. ``more`` names further date ranges (such as sales or the opening of a tab); a
+    campaign is live in any of its ranges.
+    """
     day = as_date(day)
-    return calendar.where((F.col(first) <= day) & (day <= F.col(last))).orderBy(first, "name").limit(1)
+    live = (F.col(first) <= day) & (day <= F.col(last))
+    for a, b in more:
+        live = live | ((F.col(a) <= day) & (day <= F.col(b)))
+    rows = calendar if device is None else calendar.where(F.col("device") == device)
+    return rows.where(live).orderBy(first, "name").limit(1)
 
 
 def flag_new_buyer(purchases: DataFrame, ledger: DataFrame, key: str = "account_id", name: str = "is_new") -> DataFrame:

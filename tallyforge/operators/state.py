@@ -79,6 +79,14 @@ def gap_fill(grid: DataFrame, held: DataFrame, part: Sequence[str], order: str,
             .withColumn(col, F.last(col, ignorenulls=True).over(known)))
 
 
+def filled_from_first(grid: DataFrame, held: DataFrame, part: Sequence[str], order: str, col: str) -> DataFrame:
+    """``gap_fill`` of the grid ``from_first`` on, from one join with ``held``.
+
+    Before the first phase in which something is held, the last known value is unknown; those phases are dropped.
+    """
+    return gap_fill(grid, held, part, order, col).where(F.col(col).isNotNull())
+
+
 def explode_count(filled: DataFrame, per: Sequence[str], attrs: DataFrame, on: Sequence[str], by: Sequence[str],
                   col: str = "items") -> DataFrame:
     """Players per item within ``per``, then summed over the attributes joined by ``on``."""

@@ -181,6 +181,23 @@ def funnel_with_page_visit(t):
                       F.count_if(~F.col("bonus")).alias("no_bonus_vote"))
 
 
+@query("funnel_without_purchase", FIRSTS + """
+, g AS (SELECT account_id, greatest(signup, click) AS done FROM f WHERE signup IS NOT NULL AND click IS NOT NULL AND purchase IS NULL),
+m AS (SELECT account_id, account_id IN (SELECT account_id FROM votes WHERE game_id LIKE '%BONUS%') AS bonus,
+  EXISTS (SELECT 1 FROM clicks c WHERE c.account_id = g.account_id AND label = 'home' AND c.time > done) AS visited FROM g)
+SELECT count(*) AS users, count(CASE WHEN bonus THEN 1 END) AS bonus_voters, count(CASE WHEN visited THEN 1 END) AS visited_after,
+  count(CASE WHEN visited AND bonus THEN 1 END) AS visited_with_bonus, count(CASE WHEN visited AND NOT bonus THEN 1 END) AS visited_without_bonus
+FROM m""")
+def funnel_without_purchase(t):
+    """Signed up and clicked but did not buy: bonus voters among them, and visits of the page after both steps."""
+    left = cohort.did_without(_firsts(t), ["signup", "click"], ["purchase"]).select("account_id", "done")
+    pages = t.clicks.where("label = 'home'").groupBy("account_id").agg(F.max("time").alias("last_visit"))
+    marked = joins.in_cohort(left.join(pages, "account_id", "left"), t.votes.where("game_id LIKE '%BONUS%'"), flag="bonus")
+    visited = F.coalesce(F.col("last_visit") > F.col("done"), F.lit(False))
+    return marked.agg(F.count(F.lit(1)).alias("users"), F.count_if("bonus").alias("bonus_voters"), F.count_if(visited).alias("visited_after"),
+                      F.count_if(visited & F.col("bonus")).alias("visited_with_bonus"), F.count_if(visited & ~F.col("bonus")).alias("visited_without_bonus"))
+
+
 @query("threshold_takeup", """
 , rich AS (SELECT account_id FROM currency_log WHERE amount > 0 GROUP BY 1 HAVING sum(amount) >= 200000)
 SELECT product_id, count(DISTINCT account_id) AS pu, (SELECT count(*) FROM rich) AS users,

@@ -197,6 +197,34 @@ def live_campaign(t):
     return joins.live_campaign(calendar(t), DAY)
 
 
+DEVICE_CALENDAR = CALENDAR + """
+, device_calendar AS (SELECT 'Campaign ' || name AS name, CASE WHEN CAST(substr(name, 7) AS INTEGER) % 2 = 0 THEN 'pc' ELSE 'console' END AS device,
+  start_date, start_date + 20 AS end_date, end_date - 30 AS tab_start, end_date AS tab_end, name AS event_name FROM calendar)
+"""
+TAB = [("tab_start", "tab_end")]
+
+
+def device_calendar(t):
+    """The same campaigns by device, with an event name of their own and two ranges: sales, then the tab's opening."""
+    even = F.substring("event_name", 7, 10).cast("int") % 2 == 0
+    named = calendar(t).withColumnRenamed("name", "event_name")
+    return named.select(F.concat(F.lit("Campaign "), "event_name").alias("name"), F.when(even, "pc").otherwise("console").alias("device"), "start_date",
+                        F.date_add("start_date", 20).alias("end_date"), F.date_sub("end_date", 30).alias("tab_start"),
+                        F.col("end_date").alias("tab_end"), "event_name")
+
+
+def live_by_device_sql(day, device):
+    return f"""SELECT * FROM device_calendar WHERE device = '{device}' AND (DATE '{day}' BETWEEN start_date AND end_date
+  OR DATE '{day}' BETWEEN tab_start AND tab_end) ORDER BY start_date, name LIMIT 1"""
+
+
+@query("live_campaign_by_device", DEVICE_CALENDAR + f"SELECT 'pc' AS asked, * FROM ({live_by_device_sql(DAY, 'pc')}) "
+       f"UNION ALL SELECT 'console', * FROM ({live_by_device_sql(DAY, 'console')})")
+def live_campaign_by_device(t):
+    pc, console = [joins.live_campaign(device_calendar(t), DAY, device=d, more=TAB).withColumn("asked", F.lit(d)) for d in ("pc", "console")]
+    return pc.unionByName(console)
+
+
 @query("new_buyers", """
 SELECT date, count(DISTINCT account_id) AS pu, count(DISTINCT CASE WHEN date = first_use_date THEN account_id END) AS npu
 FROM purchases LEFT JOIN first_use USING (account_id) GROUP BY 1""")

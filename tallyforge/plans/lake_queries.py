@@ -9,7 +9,7 @@ from tallyforge.plans.registry import query
 from tallyforge.session import fresh_path
 from tallyforge.sinks import tables
 from tallyforge.sources import lake
-from tallyforge.sources.dims import read_csv
+from tallyforge.sources.dims import read_csv, read_descriptions
 
 # Fixed values of the registered scans.
 START, END = "2024-01-05", "2024-01-14"
@@ -122,3 +122,89 @@ def csv_round_trip(t):
     path = fresh_path(t.spark, "csv")
     tables.export_csv(people_and_sums(t.users, "account_id", ["region", "membership"], {"users": True}), path)
     return read_csv(t.spark, path, "region string, membership string, users bigint")
+
+
+@query("rerun_of_odd_keys", """
+SELECT event_type || ',+(é' AS kind, date, count(*) AS rows, CAST(sum(cents) AS BIGINT) AS cents FROM log
+WHERE event_type IN ('click', 'view') AND NOT (event_type = 'view' AND date = DATE '""" + START + """') GROUP BY 1, 2
+UNION ALL SELECT NULL, date, count(*), CAST(sum(cents) AS BIGINT) FROM log WHERE event_type = 'error' GROUP BY 2""")
+def rerun_of_odd_keys(t):
+    """Slices whose keys need escaping or are null: run again they replace themselves, run with nothing they end up empty."""
+    path = fresh_path(t.spark, "odd")
+    kind = F.when(F.col("event_type") != "error", F.concat("event_type", F.lit(",+(é")))
+    log = t.log.where("event_type IN ('click', 'view', 'error')").withColumn("kind", kind).drop("event_type")
+    tables.overwrite_partitions(log.withColumn("cents", F.col("cents") + 1).where(f"date = DATE '{START}'"), path, ["kind", "date"])
+    tables.overwrite_partitions(log.where(f"date <> DATE '{START}'"), path, ["kind", "date"])
+    for key in ("click,+(é", None):
+        day = log.where(F.col("kind").eqNullSafe(F.lit(key)) & (F.col("date") == F.lit(START).cast("date")))
+        for _ in range(2):
+            tables.overwrite_slice(day, path, {"kind": key, "date": START})
+    tables.overwrite_slice(log.where("false"), path, {"kind": "view,+(é", "date": START})
+    return lake.lake_table(t.spark, path).groupBy("kind", "date").agg(F.count(F.lit(1)).alias("rows"), F.sum("cents").alias("cents"))
+
+
+@query("missing_table_is_empty", "SELECT date, count(*) AS rows FROM log GROUP BY 1")
+def missing_table_is_empty(t):
+    """A table nobody has written yet adds no row to the one that is there."""
+    here = t.log.select("event_id", "date")
+    none = lake.lake_table(t.spark, fresh_path(t.spark, "unwritten"), here.schema, empty_if_missing=True)
+    return here.unionByName(none).groupBy("date").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("unreadable_files_reported", """
+SELECT CAST(date AS VARCHAR) AS date, count(*) AS rows, CAST(0 AS BIGINT) AS files_left_out FROM log GROUP BY 1
+UNION ALL SELECT '2030-01-01', 0, 1""")
+def unreadable_files_reported(t):
+    """A day whose file is damaged is skipped, and named."""
+    path, schema = fresh_path(t.spark, "damaged"), "event_id bigint, cents bigint, date date"
+    tables.append(t.log.select("event_id", "cents", "date"), path, ["date"])
+    t.spark.range(1).selectExpr("'not a data file' AS value").write.text(f"{path}/date=2030-01-01")
+    read = lake.lake_table(t.spark, path, schema, skip_unreadable=True).groupBy(F.col("date").cast("string").alias("date")).agg(F.count(F.lit(1)).alias("rows"))
+    left = lake.files_left_out(t.spark, path, schema).groupBy("date").agg(F.count(F.lit(1)).alias("files_left_out"))
+    return read.join(left, "date", "full_outer").fillna(0, subset=["rows", "files_left_out"])
+
+
+@query("nested_columns_by_name", """
+SELECT event_type, k, count(*) AS rows, CAST(sum(cents) AS BIGINT) AS cents FROM log GROUP BY 1, 2""")
+def nested_columns_by_name(t):
+    path = fresh_path(t.spark, "nested")
+    nested = F.struct(F.struct("event_type", "k").alias("what"), F.col("cents").alias("cents")).alias("common")
+    tables.append(t.log.select("date", nested), path, ["date"])
+    flat = lake.flatten(lake.lake_table(t.spark, path), event_type="common.what.event_type", k="common.what.k", cents="common.cents")
+    return flat.groupBy("event_type", "k").agg(F.count(F.lit(1)).alias("rows"), F.sum("cents").alias("cents"))
+
+
+@query("click_log_of_category", f"""
+SELECT date, action, count(*) AS clicks, count(DISTINCT account_id) AS users FROM clicks
+WHERE date BETWEEN DATE '{START}' AND DATE '{END}' AND label LIKE 'item.%' GROUP BY 1, 2""")
+def click_log_of_category(t):
+    """The click log as a lake table, one category of a day range."""
+    path = fresh_path(t.spark, "clicks")
+    tables.overwrite_partitions(t.clicks.withColumn("category", F.substring_index("label", ".", 1)), path, ["date"])
+    of_items = lake.days(lake.lake_table(t.spark, path), START, END).where("category = 'item'")
+    return people_and_sums(of_items, "account_id", ["date", "action"], {"users": True}, rows="clicks")
+
+
+@query("descriptions_read_and_repaired", "SELECT country_code AS id, region AS name FROM regions")
+def descriptions_read_and_repaired(t):
+    """Description documents with no-break spaces in place of blanks."""
+    path = fresh_path(t.spark, "descs")
+    entry = F.struct(F.translate("country_code", " ", "\u00a0").alias("id"), F.translate("region", " ", "\u2019").alias("name"))
+    docs = t.regions.groupBy(F.substring("country_code", 1, 1).alias("letter")).agg(F.collect_list(entry).alias("Descs"))
+    docs.select("Descs").repartition("Descs").write.option("maxRecordsPerFile", 1).json(path)
+    return read_descriptions(t.spark, path).select("id", "name")
+
+
+@query("calendar_rows_appended", """
+SELECT region AS name, count(*) AS n FROM regions GROUP BY 1 UNION ALL SELECT 'extra one', 1 UNION ALL SELECT 'extra two', 1""")
+def calendar_rows_appended(t):
+    path = fresh_path(t.spark, "calendar")
+    tables.rebuild(t.regions.groupBy(F.col("region").alias("name")).agg(F.count(F.lit(1)).alias("n")), path)
+    tables.append_rows(t.spark, [("extra one", 1), ("extra two", 1)], "name string, n bigint", path)
+    return lake.lake_table(t.spark, path)
+
+
+@query("stamped_result", "SELECT region, membership, count(*) AS users, 'daily' AS period, true AS stamped FROM users GROUP BY 1, 2")
+def stamped_result(t):
+    out = tables.stamp(people_and_sums(t.users, "account_id", ["region", "membership"], {"users": True}), period="daily")
+    return out.withColumn("stamped", F.col("reg_datetime").isNotNull()).drop("reg_datetime")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyforge.plans import marts
-from tallyforge.plans.enrich_queries import CALENDAR, calendar
+from tallyforge.plans.enrich_queries import CALENDAR, DEVICE_CALENDAR, TAB, calendar, device_calendar, live_by_device_sql
 from tallyforge.plans.registry import query
 
 # Fixed values of the registered marts.
@@ -51,14 +51,15 @@ _SUMS = """CAST(sum(unit_sold) AS BIGINT) AS unit_sold, CAST(sum(free_used) AS B
 _ON = "b.device = au.device AND b.platform = au.platform AND b.region = au.region AND b.membership = au.membership"
 _MERGED = ", ".join(f"coalesce(b.{c}, au.{c}) AS {c}" for c in ("device", "platform", "region", "membership"))
 
-SALES_MART = _users_sql("1998-01-01", False) + f"""
+def _sales_sql(start: str, day: str) -> str:
+    return _users_sql(start, False) + f"""
 , u AS (
   SELECT account_id, sales_id, product_id, product_name, 'coin' AS currency, sum(qty) AS unit_sold, sum(free_use) AS free_used,
     sum(paid_use) AS paid_used, NULL AS revenue FROM sales
-  WHERE channel <> 'R' AND date BETWEEN DATE '1998-01-01' AND DATE '{DAY}' GROUP BY 1, 2, 3, 4
+  WHERE channel <> 'R' AND date BETWEEN DATE '{start}' AND DATE '{day}' GROUP BY 1, 2, 3, 4
   UNION ALL
   SELECT account_id, sales_id, product_id, product_name, 'cash', sum(qty), NULL, NULL, sum(price) FROM sales
-  WHERE channel = 'R' AND date BETWEEN DATE '1998-01-01' AND DATE '{DAY}' GROUP BY 1, 2, 3, 4),
+  WHERE channel = 'R' AND date BETWEEN DATE '{start}' AND DATE '{day}' GROUP BY 1, 2, 3, 4),
 j AS (SELECT u.*, {_DIMS} FROM u LEFT JOIN mu USING (account_id)),
 b0 AS (
   SELECT {_DIMS}, currency, sales_id, product_id, product_name, count(DISTINCT account_id) AS pu, {_SUMS},
@@ -69,14 +70,20 @@ b0 AS (
   SELECT {_DIMS}, 'coin+cash', '0', 'total', '0', count(DISTINCT account_id), {_SUMS}, CAST(sum(revenue) AS BIGINT) FROM j GROUP BY 1, 2, 3, 4),
 b AS (SELECT * REPLACE (coalesce(membership, 'undefined') AS membership) FROM b0)
 SELECT {_MERGED}, currency, sales_id, product_id, product_name, pu, unit_sold, free_used, paid_used, revenue, au,
-  DATE '{DAY}' AS date FROM b FULL JOIN au ON {_ON}"""
+  DATE '{day}' AS date FROM b FULL JOIN au ON {_ON}"""
 
 
-@query("mart_sales_by_membership", SALES_MART)
+@query("mart_sales_by_membership", _sales_sql("1998-01-01", DAY))
 def mart_sales_by_membership(t):
     return marts.sales_by_membership(t.snapshot, t.regions, t.membership, _coin(t), _cash(t), DAY, "monthly")
 
 
+@query("mart_sales_weekly_since_launch", _sales_sql("1998-01-28", DAY))
+def mart_sales_weekly_since_launch(t):
+    """A week that reaches back to the launch day only."""
+    return marts.sales_by_membership(t.snapshot, t.regions, t.membership, _coin(t), _cash(t), DAY, "weekly", "1998-01-28")
+
+
 def _paid_sql(start: str, day: str, stamp: str) -> str:
     return _users_sql(start, False) + f"""
 , u AS (
@@ -133,6 +140,34 @@ def balance_by_expiry(t):
     return marts.balance_by_expiry(_snapshot(t), t.regions, t.membership, t.ledger, MEASURES)
 
 
+TEN = {"total_free_topup": "daily_free_topup + 1", "total_paid_topup": "daily_paid_topup + 2", "total_free_topup_refunds": "daily_free_use + 3",
+       "total_paid_topup_refunds": "daily_paid_use + 4", "total_free_use": "daily_free_use + 5", "total_paid_use": "daily_paid_use + 6",
+       "total_free_returns": "daily_free_topup + 7", "total_paid_returns": "daily_paid_topup + 8"}
+
+
+@query("balance_of_ten_measures", _users_sql(None, True) + f"""
+, e AS (SELECT *, (expiry_date - date) - 1 AS d, {", ".join(f"{v} AS {k}" for k, v in TEN.items())} FROM ledger_entries WHERE (expiry_date - date) - 1 >= 0),
+j AS (SELECT e.*, upper(device) AS device, region, membership, days_since FROM e
+  LEFT JOIN (SELECT * EXCLUDE (platform) FROM mu) USING (account_id)),
+w AS (SELECT *, 'all' AS active_window FROM j
+  UNION ALL SELECT j.*, name FROM j, (VALUES ('w-01', 6), ('w-02', 13), ('w-04', 27), ('w-08', 55), ('w-12', 83)) v(name, days)
+  WHERE days_since <= days AND region IS NOT NULL)
+SELECT date, coalesce(device, 'ALL') AS device, platform, coalesce(region, 'Undefined') AS region, membership, active_window,
+  {_BUCKET} AS days_to_expiry, count(DISTINCT account_id) AS users,
+  {", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in [*TEN, *MEASURES])},
+  count(DISTINCT CASE WHEN daily_free_topup <> 0 OR daily_paid_topup <> 0 THEN account_id END) AS topup_users,
+  count(DISTINCT CASE WHEN daily_free_use <> 0 OR daily_paid_use <> 0 THEN account_id END) AS use_users
+FROM w GROUP BY 1, 2, 3, 4, 5, 6, 7""")
+def balance_of_ten_measures(t):
+    def entry(e):
+        fields = {n: e[x] + int(k) for n, (x, k) in ((n, rule.split(" + ")) for n, rule in TEN.items())}
+        return F.struct(*[e[f].alias(f) for f in ("expiry_date", "daily_free_topup", "daily_paid_topup", "daily_free_use", "daily_paid_use", *MEASURES)],
+                        *[c.alias(n) for n, c in fields.items()])
+
+    ledger = t.ledger.withColumn("by_expiry", F.transform("by_expiry", entry))
+    return marts.balance_by_expiry(_snapshot(t), t.regions, t.membership, ledger, [*TEN, *MEASURES])
+
+
 @query("mart_coupon_balance", _users_sql(None, True) + f"""
 SELECT {_DIMS}, reason, reason_detail, CAST(sum(amount) AS BIGINT) AS balance
 FROM currency_log LEFT JOIN mu USING (account_id) WHERE currency = 'coupon.free' GROUP BY 1, 2, 3, 4, 5, 6""")
@@ -140,6 +175,32 @@ def mart_coupon_balance(t):
     return marts.coupon_balance(t.snapshot, t.regions, t.membership, t.currency_log, "coupon.free")
 
 
+LOG_DAY = "2024-01-10"
+
+
+@query("mart_coupon_balance_daily", _users_sql(None, True) + f"""
+SELECT {_DIMS}, reason, reason_detail, CAST(sum(amount) AS BIGINT) AS balance, DATE '{LOG_DAY}' AS date
+FROM currency_log LEFT JOIN mu USING (account_id) WHERE currency = 'coupon.free' AND date = DATE '{LOG_DAY}' GROUP BY 1, 2, 3, 4, 5, 6""")
+def mart_coupon_balance_daily(t):
+    return marts.coupon_balance(t.snapshot, t.regions, t.membership, t.currency_log, "coupon.free", LOG_DAY)
+
+
+@query("mart_campaign_kpi_by_device", DEVICE_CALENDAR + f"""
+, live AS ({live_by_device_sql(CAMPAIGN_DAY, "pc")}),
+c AS (SELECT sales.* FROM sales, live WHERE contains(sales.event_name, live.event_name) AND channel <> 'R'),
+cum AS (SELECT c.* FROM c, live WHERE date BETWEEN start_date AND DATE '{CAMPAIGN_DAY}')
+SELECT DATE '{CAMPAIGN_DAY}' AS date, name,
+  (SELECT count(DISTINCT account_id) FROM snapshot WHERE server_type = 'LIVE' AND last_login >= start_date) AS cum_au,
+  (SELECT count(DISTINCT account_id) FROM cum) AS cum_pu,
+  (SELECT count(DISTINCT account_id) FROM cum WHERE paid_use > 0) AS cum_paid_pu,
+  (SELECT CAST(sum(free_use) AS BIGINT) FROM cum) AS cum_free_use, (SELECT CAST(sum(paid_use) AS BIGINT) FROM cum) AS cum_paid_use,
+  (SELECT count(DISTINCT account_id) FROM c JOIN first_use USING (account_id)
+    WHERE date = DATE '{CAMPAIGN_DAY}' AND first_use_date = DATE '{CAMPAIGN_DAY}') AS daily_npu
+FROM live""")
+def mart_campaign_kpi_by_device(t):
+    return marts.campaign_kpi(t.snapshot, _coin(t), t.first_use, device_calendar(t), CAMPAIGN_DAY, "event_name", "pc", TAB)
+
+
 def _campaign_sql(day):
     return CALENDAR + f"""
 , live AS (SELECT * FROM calendar WHERE start_date <= DATE '{day}' AND DATE '{day}' <= end_date ORDER BY start_date, name LIMIT 1),
@@ -173,6 +234,19 @@ def mart_point_sales(t):
     return marts.point_sales(t.purchase_log, t.offers, calendar(t), CAMPAIGN_DAY, "point")
 
 
+@query("mart_point_sales_daily", f"""
+, o AS (SELECT DISTINCT product_id, coalesce(product_name, product_id) AS product_name FROM offers WHERE version = 2)
+SELECT p.product_id, event_name, CAST(sum(amount) AS BIGINT) AS unit_sold, CAST(sum(local_price * amount) AS BIGINT) AS points_used, o.product_name,
+  DATE '{LOG_DAY}' AS date
+FROM purchase_log p LEFT JOIN o ON p.product_id = o.product_id WHERE currency = 'point' AND date = DATE '{LOG_DAY}' GROUP BY 1, 2, 5""")
+def mart_point_sales_daily(t):
+    """Of the day, in a campaign whose tab is open then, with names of items sold for points only."""
+    items = t.offers.withColumn("currency", F.when(F.col("version") == 2, "point").otherwise("coin"))
+    calendar = t.regions.limit(1).selectExpr("'season' AS name", "'pc' AS device", "DATE '2024-01-01' AS start_date", "DATE '2024-01-05' AS end_date",
+                                             "DATE '2024-01-08' AS tab_start", "DATE '2024-01-12' AS tab_end")
+    return marts.point_sales(t.purchase_log, items, calendar, LOG_DAY, "point", True, "pc", TAB)
+
+
 @query("mart_currency_flow", """
 SELECT date, currency, reason, coalesce(reason_detail, '') AS reason_detail, CAST(sum(amount) AS BIGINT) AS amount
 FROM currency_log GROUP BY 1, 2, 3, 4""")
@@ -299,6 +373,16 @@ def top50_by_group(t):
     return marts.top_items(_equipped(t, None)[0])
 
 
+@query("top50_report", INVENTORY + f"""
+SELECT region, tier, category, sub_category, part, name, itemid, equip_count, DATE '1998-01-25' AS start_date, DATE '{DAY}' AS end_date,
+  'pc' AS device, split_part(itemid, '.', 1) AS item_prefix FROM (
+  SELECT *, row_number() OVER (PARTITION BY region, tier, category ORDER BY equip_count DESC, part, itemid) AS rn
+  FROM (SELECT region, tier, category, sub_category, part, name, itemid, count(*) AS equip_count FROM eq GROUP BY 1, 2, 3, 4, 5, 6, 7))
+WHERE rn <= 50""")
+def top50_report(t):
+    return marts.top_items_report(_equipped(t, None)[0], "1998-01-25", DAY, "pc")
+
+
 @query("inventory_flattened", """
 SELECT part, count(*) AS items, count(DISTINCT itemid) AS distinct_items FROM worn GROUP BY 1""")
 def inventory_flattened(t):

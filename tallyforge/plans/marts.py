@@ -137,22 +137,29 @@ def balance_by_expiry(snapshot: DataFrame, regions: DataFrame, membership: DataF
         F.count_if("topped_up").alias("topup_users"), F.count_if("used").alias("use_users"))
 
 
-def coupon_balance(snapshot: DataFrame, regions: DataFrame, membership: DataFrame, log: DataFrame, currency: str) -> DataFrame:
-    """Amount of one currency by segment, reason and detail."""
+def coupon_balance(snapshot: DataFrame, regions: DataFrame, membership: DataFrame, log: DataFrame, currency: str,
+                   day: str | None = None) -> DataFrame:
+    """Amount of one currency by segment, reason and detail; with ``day`` of that day, which is a column then."""
     users = mart_users(snapshot, regions, membership, default="undefined")
+    log = log if day is None else log.where(F.col("date") == as_date(day))
     per_user = log.where(F.col("currency") == currency).groupBy("account_id", "reason", "reason_detail").agg(
         F.sum("amount").alias("balance"))
-    return (per_user.join(users.select("account_id", *USER_DIMS), "account_id", "left")
-            .groupBy(*USER_DIMS, "reason", "reason_detail").agg(F.sum("balance").alias("balance")))
+    out = (per_user.join(users.select("account_id", *USER_DIMS), "account_id", "left")
+           .groupBy(*USER_DIMS, "reason", "reason_detail").agg(F.sum("balance").alias("balance")))
+    return out if day is None else out.withColumn("date", as_date(day))
 
 
-def campaign_kpi(snapshot: DataFrame, coin: DataFrame, ledger: DataFrame, calendar: DataFrame, day: str) -> DataFrame:
+def campaign_kpi(snapshot: DataFrame, coin: DataFrame, ledger: DataFrame, calendar: DataFrame, day: str,
+                 event: str = "name", device: str | None = None, more: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """One row for the campaign live on ``day``: cumulative users, buyers, payers and coins, new buyers of the day.
 
+    ``event`` is the calendar's column with the text that event names of the campaign contain; ``device`` and ``more``
+    are those of ``joins.live_campaign``.
+
     The campaign's name and start reach the scans as scalar subqueries; no live campaign gives no row.
     """
-    live = joins.live_campaign(calendar, day)
-    name, start = live.select("name").scalar(), live.select("start_date").scalar()
+    live = joins.live_campaign(calendar, day, device=device, more=more)
+    name, start = live.select(event).scalar(), live.select("start_date").scalar()
     of_campaign = coin.where(F.col("event_name").contains(name))
     au = snapshot.where((F.col("server_type") == "LIVE") & (F.col("last_login") >= start)).select(
         F.count_distinct("account_id").alias("au"))
@@ -169,13 +176,21 @@ def campaign_kpi(snapshot: DataFrame, coin: DataFrame, ledger: DataFrame, calend
              F.col("s.free_use").alias("cum_free_use"), F.col("s.paid_use").alias("cum_paid_use"), "daily_npu")
 
 
-def point_sales(log: DataFrame, items: DataFrame, calendar: DataFrame, day: str, currency: str) -> DataFrame:
-    """Units and points by event and product while a campaign is live; empty, with its schema, otherwise."""
-    is_live = F.coalesce(joins.live_campaign(calendar, day).select(F.lit(True).alias("live")).scalar(), F.lit(False))
+def point_sales(log: DataFrame, items: DataFrame, calendar: DataFrame, day: str, currency: str, of_day: bool = False,
+                device: str | None = None, more: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """Units and points by event and product while a campaign is live; empty, with its schema, otherwise.
+
+    With ``of_day`` only the day's purchases count, the day is a column, and names come from the currency's items only.
+    """
+    live = joins.live_campaign(calendar, day, device=device, more=more)
+    is_live = F.coalesce(live.select(F.lit(True).alias("live")).scalar(), F.lit(False))
+    if of_day:
+        log, items = log.where(F.col("date") == as_date(day)), items.where(F.col("currency") == currency)
     sold = log.where((F.col("currency") == currency) & is_live).groupBy("event_name", "product_id").agg(
         F.sum("amount").alias("unit_sold"), F.sum(F.col("local_price") * F.col("amount")).alias("points_used"))
     names = items.select("product_id", name_or_id("product_name", "product_id").alias("product_name")).distinct()
-    return sold.join(names, "product_id", "left")
+    out = sold.join(names, "product_id", "left")
+    return out.withColumn("date", as_date(day)) if of_day else out
 
 
 def currency_flow(log: DataFrame) -> DataFrame:
@@ -278,3 +293,10 @@ def top_items(equipped: DataFrame, n: int = 50) -> DataFrame:
         F.sum("rows").alias("equip_count"))
     return top_n(counted, ["region", "tier", "category"],
                  [F.desc("equip_count"), F.asc("part"), F.asc("itemid")], n, "row_number").drop("row_number")
+
+
+def top_items_report(equipped: DataFrame, start: str, end: str, device: str, n: int = 50) -> DataFrame:
+    """The same with the report's period and device, and the item's prefix."""
+    return top_items(equipped, n).withColumns({
+        "start_date": as_date(start), "end_date": as_date(end), "device": F.lit(device),
+        "item_prefix": F.substring_index("itemid", ".", 1)})

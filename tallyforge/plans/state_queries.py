@@ -7,23 +7,23 @@ from pyspark.sql import functions as F
 from tallyforge.operators import state
 from tallyforge.plans.registry import query
 
-# The grid covers the model's 30 days, one phase each.
-GRID = state.phases(15.0)
+# The grid covers the 31 days of a month in the model, one phase each.
+GRID = state.phases(15.5)
 PLAYER = ["session_id", "account_id"]
 GRID_SQL = ", ".join(str(p) for p in GRID)
 
 
 def _items(t):
-    """Item dimension, derived from the log: name, category, and one item kind that is left out."""
-    ids = t.phase_log.select("item_id").distinct()
+    """Item dimension: name, category, and one item kind that is left out."""
+    ids = t.table("part").selectExpr("'w' || CAST(p_size % 5 AS STRING) AS item_id").distinct()
     return ids.where("item_id <> 'w4'").select(
         "item_id", F.upper("item_id").alias("item_name"),
         F.when(F.col("item_id") < "w2", "rifle").otherwise("sniper").alias("category"))
 
 
 BASE = """
-, items AS (SELECT DISTINCT item_id, upper(item_id) AS item_name, CASE WHEN item_id < 'w2' THEN 'rifle' ELSE 'sniper' END AS category
-  FROM phase_log WHERE item_id <> 'w4'),
+, items AS (SELECT item_id, upper(item_id) AS item_name, CASE WHEN item_id < 'w2' THEN 'rifle' ELSE 'sniper' END AS category
+  FROM (SELECT DISTINCT 'w' || CAST(p_size % 5 AS VARCHAR) AS item_id FROM part) WHERE item_id <> 'w4'),
 ev AS (SELECT p.* FROM phase_log p JOIN items USING (item_id) WHERE kind IN ('equip', 'unequip')),
 cnt AS (SELECT session_id, account_id, phase, item_id, count(CASE WHEN kind = 'equip' THEN 1 END) AS equips,
   count(CASE WHEN kind = 'unequip' THEN 1 END) AS unequips FROM (SELECT DISTINCT session_id, account_id, phase, item_id, time, kind FROM ev) GROUP BY 1, 2, 3, 4),
@@ -138,5 +138,6 @@ SELECT region, membership, CAST(phase AS DOUBLE) AS phase, c.item_id, item_name,
 FROM c JOIN users ON session_id = users.account_id JOIN items ON c.item_id = items.item_id GROUP BY 1, 2, 3, 4, 5, 6""")
 def held_by_phase(t):
     attrs = t.users.select(F.col("account_id").alias("session_id"), "region", "membership")
-    counted = state.explode_count(_filled(t), ["session_id", "phase"], attrs, ["session_id"], ["region", "membership", "phase"])
+    filled = state.filled_from_first(_grid(t), _kept(t), PLAYER, "phase", "items")
+    counted = state.explode_count(filled, ["session_id", "phase"], attrs, ["session_id"], ["region", "membership", "phase"])
     return _plain(counted.join(_items(t), "item_id"))

@@ -24,7 +24,7 @@ def lake_table(spark: SparkSession, path: str, schema: T.StructType | str | None
 
     ``merge_schema`` joins the columns of all files, for facts that gained columns over
     time; a declared ``schema`` does the same without reading every footer. With
-    ``skip_unreadable`` damaged or vanished files are left out. ``empty_if_missing`` gives
+    ``skip_unreadable`` damaged or vanished files are left out; ``files_left_out`` names them. ``empty_if_missing`` gives
     an empty frame of ``schema`` where nothing has been written yet.
     """
     reader = (spark.read.option("mergeSchema", merge_schema).option("ignoreCorruptFiles", skip_unreadable)
@@ -39,6 +39,24 @@ def lake_table(spark: SparkSession, path: str, schema: T.StructType | str | None
         raise
 
 
+def files_left_out(spark: SparkSession, path: str, schema: T.StructType | str, day: str = "date") -> DataFrame:
+    """What ``skip_unreadable`` leaves out: partition day (as text) and file of every data file that gives no row."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.col("path").alias("file"))
+              .where(~F.regexp_extract("file", "([^/]*)$", 1).rlike("^[_.]")))
+    read = lake_table(spark, path, schema, skip_unreadable=True).select(F.col("_metadata.file_path").alias("file")).distinct()
+
+    def same(c):
+        return F.regexp_replace(F.url_decode(c), "^file:/+", "/")
+
+    out = listed.withColumn("__f", same("file")).join(read.select(same("file").alias("__f")), "__f", "left_anti")
+    return out.select(F.regexp_extract("file", f"/{day}=([^/]*)/", 1).alias(day), "file")
+
+
+def flatten(df: DataFrame, **columns: str) -> DataFrame:
+    """Columns picked from nested structs by dotted name, e.g. ``map="common.mapname"``; only these are read."""
+    return df.select(*[F.col(path).alias(name) for name, path in columns.items()])
+
+
 def days(df: DataFrame, start: str | Column, end: str | Column, day: str = "date", devices: Sequence[str] | str = "*",
          device: str = "device") -> DataFrame:
     """Rows of a day range, both ends included, for all devices (``*``) or the listed ones."""
