@@ -27,11 +27,6 @@ def period_start(day: Column | str | dt.date, period: str = "daily", floor: str
     return day
 
 
-def months_back(day: Column | str | dt.date, months: int = 1) -> Column:
-    """Same day of an earlier month, cut to that month's end."""
-    return F.add_months(as_date(day), -months)
-
-
 def week_bucket(day: Column | str, anchor: str | dt.date, width: int = 7) -> Column:
     """First day of the ``width``-day bucket, counted from ``anchor``, that holds ``day``."""
     day = F.col(day) if isinstance(day, str) else day

@@ -2,8 +2,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tallyforge import schemas
 from tallyforge.plans import marts
+from tests import schemas
 from tests.conftest import rows
 
 SNAP = "account_id string, device string, platform string, server_type string, country_os string, country_ip string, first_login date, last_login date, days_since int"
