@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import uuid
 from functools import lru_cache
 from itertools import chain
 
@@ -18,7 +19,8 @@ _SPACE = "▁"
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 #: Segmentations of chunks that a worker remembers; longer chunks than this many characters are segmented alone.
-_MEMORY, _LONG, _ROWS = 200_000, 40, 8192
+_MEMORY, _LONG, _ROWS = 500_000, 40, 8192
+_SLOT_BITS = 19
 
 
 def default_model() -> str:
@@ -33,6 +35,7 @@ class PieceTable:
     def __init__(self, path: str):
         import sentencepiece
 
+        self.made = uuid.uuid4().hex
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
         self.scores = [float(model.get_score(i)) for i in range(len(self.pieces))]
@@ -52,11 +55,19 @@ class PieceTable:
         alone = "".join(c for c in "\n\t\r" if not any(c in p and len(p) > 1 for p in self.normal))
         self.chunk = rf"{_SPACE}| *[^ {_SPACE}{alone}]+" + (f"|[{alone}]" if alone else "") + "| +"
         names = list(self.normal)
-        keys = np.array([self._hash(p) for p in names], dtype=_U)
+        keys = np.array([self._hash(p) for p in names], dtype=_U) * _BASE  # spread over the high bits
         order = np.argsort(keys)
-        self.keys, self.ids = keys[order], np.array([self.normal[p] for p in names], dtype=np.int32)[order]
+        self.ids = np.array([self.normal[p] for p in names], dtype=np.int32)[order]
+        self.keys = keys[order]
         if len(np.unique(self.keys)) != len(names):
             raise ValueError("two pieces have one hash")
+        # pieces by the high bits of their hash: where a slot's pieces begin, whether it has any, and the most in one slot
+        slots = (self.keys >> _U(64 - _SLOT_BITS)).astype(np.int64)
+        self.first = np.searchsorted(slots, np.arange(1 << _SLOT_BITS)).astype(np.int32)
+        held = np.bincount(slots, minlength=1 << _SLOT_BITS)
+        self.taken, self.most = held > 0, int(held.max())
+        self.keys = np.append(self.keys, np.zeros(self.most, dtype=_U))
+        self.ids = np.append(self.ids, np.full(self.most, -2, dtype=np.int32))
         self.by_id = np.array(self.scores)
 
     @staticmethod
@@ -113,42 +124,59 @@ class PieceTable:
     def _bytes(self, c: str) -> tuple[int, ...]:
         return tuple(self.bytes[b] for b in c.encode())
 
-    def best_many(self, chunks: list[str]) -> list[tuple[tuple[int, ...], float, float]]:
-        """(ids, score, gap to the second best) of each part: the Viterbi search over many parts at once."""
-        out: list = [None] * len(chunks)
-        by_size: dict[int, list[int]] = {}
-        for k, c in enumerate(chunks):
-            if c == _SPACE or len(c) > _LONG:
-                two = self.n_best(c, 2)
-                out[k] = (two[0][1], two[0][0], two[0][0] - two[1][0] if len(two) > 1 else float("inf"))
-            else:
-                by_size.setdefault(len(c), []).append(k)
-        for size, at in by_size.items():
-            for a in range(0, len(at), _ROWS):
-                rows = at[a:a + _ROWS]
-                for k, found in zip(rows, self._viterbi([chunks[k] for k in rows], size)):
-                    out[k] = found
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Ids of the pieces with these hashes, -2 where there is none."""
+        h = h * _BASE
+        slots = (h >> _U(64 - _SLOT_BITS)).astype(np.int64)
+        out = np.full(len(h), -2, dtype=np.int32)
+        at = np.flatnonzero(self.taken[slots])
+        if len(at):
+            key, place = h[at], self.first[slots[at]]
+            for k in range(self.most):
+                out[at] = np.where(self.keys[place + k] == key, self.ids[place + k], out[at])
         return out
 
-    def _viterbi(self, chunks: list[str], n: int):
+    def best_many(self, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The Viterbi search over many parts at once: (parts, in a new order; their ids one after the other; numbers of
+        ids; scores; gaps to the second best)."""
+        order: list[str] = []
+        out: list[list[np.ndarray]] = [[np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0)]]
+        by_size: dict[int, list[str]] = {}
+        for c in chunks:
+            by_size.setdefault(0 if c == _SPACE or len(c) > _LONG else len(c), []).append(c)
+        for c in by_size.pop(0, []):
+            two = self.n_best(c, 2)
+            order.append(c)
+            for o, v in zip(out, (two[0][1], [len(two[0][1])], [two[0][0]], [two[0][0] - two[1][0] if len(two) > 1 else np.inf])):
+                o.append(np.array(v, dtype=o[0].dtype))
+        for size, group in by_size.items():
+            for a in range(0, len(group), _ROWS):
+                order += group[a:a + _ROWS]
+                for o, v in zip(out, self._viterbi(group[a:a + _ROWS], size)):
+                    o.append(v)
+        return order, *[np.concatenate(o) for o in out]
+
+    def _viterbi(self, chunks: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         rows = len(chunks)
         chars = np.array(chunks, dtype=f"U{n}").view(np.uint32).reshape(rows, n)
-        chars = np.where(chars == 32, ord(_SPACE), chars).astype(_U) + _U(1)
+        chars = np.ascontiguousarray((np.where(chars == 32, ord(_SPACE), chars).astype(_U) + _U(1)).T)
         most = min(n, self.longest)
         ids = np.full((n, most + 1, rows), -2, dtype=np.int32)  # by start and length; -2: no piece
         for start in range(n):
             h = np.zeros(rows, dtype=_U)
             for size in range(1, min(most, n - start) + 1):
-                h = h * _BASE + chars[:, start + size - 1]
-                at = np.searchsorted(self.keys, h)
-                at[at == len(self.keys)] = 0
-                ids[start, size] = np.where(self.keys[at] == h, self.ids[at], -1 if size == 1 else -2)
+                h = h * _BASE + chars[start + size - 1]
+                ids[start, size] = self._find(h)
+            ids[start, 1] = np.where(ids[start, 1] == -2, -1, ids[start, 1])
+        by_id = np.append(self.by_id, (-np.inf, self.penalty))  # ids -2 and -1 index from the end
         one, two = np.full((n + 1, rows), -np.inf), np.full((n + 1, rows), -np.inf)
         one[0], back = 0.0, np.zeros((n + 1, rows), dtype=np.int64)
         for end in range(1, n + 1):
             for size in range(min(end, most), 0, -1):
                 i = ids[end - size, size]
-                score = np.where(i >= 0, self.by_id[i], self.penalty if size == 1 else -np.inf)
+                if size > 1 and (i == -2).all():
+                    continue
+                score = by_id[i]
                 first, second = one[end - size] + score, two[end - size] + score
                 better = first > one[end]
                 two[end] = np.where(better, np.maximum(one[end], second), np.maximum(two[end], first))
@@ -159,13 +187,17 @@ class PieceTable:
             size = back[at, row]
             path.append(np.where(live, ids[np.maximum(at - size, 0), size, row], -3))
             at = np.where(live, at - size, 0)
-        path = np.array(path[::-1], dtype=np.int32).T.tolist()
-        gap = (one[n] - two[n]).tolist()
-        for chunk, found, score, g in zip(chunks, path, one[n].tolist(), gap):
-            found = [i for i in found if i != -3]
-            if -1 in found:
-                found = self._with_bytes(chunk.replace(" ", _SPACE), found)
-            yield tuple(found), score, g
+        path = np.array(path[::-1], dtype=np.int32).T
+        used = path != -3
+        flat, sizes = path[used], used.sum(axis=1)
+        raw = np.flatnonzero((path == -1).any(axis=1))
+        if len(raw):  # characters without a piece become their bytes
+            parts = np.split(flat, np.cumsum(sizes)[:-1])
+            for k in raw.tolist():
+                parts[k] = np.array(self._with_bytes(chunks[k].replace(" ", _SPACE), parts[k].tolist()), dtype=np.int32)
+            flat, sizes = np.concatenate(parts), np.array([len(p) for p in parts])
+        with np.errstate(invalid="ignore"):
+            return flat, sizes, one[n], one[n] - two[n]
 
     def _with_bytes(self, part: str, found: list[int]) -> list[int]:
         out, at = [], 0
@@ -196,25 +228,43 @@ class Encoder:
     """A worker's segmentations, with a bounded memory of parts seen before."""
 
     def __init__(self, table: PieceTable, n: int):
-        self.table, self.n, self.known = table, n, {}
-        self.n_best = lru_cache(20_000)(lambda chunk: table.n_best(chunk, n))
+        self.table, self.n = table, n
+        self.n_best = lru_cache(50_000)(lambda chunk: table.n_best(chunk, n))
+        self._forget()
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], float, list]]:
-        parts = [self.table.split(t) for t in texts]
-        new = [c for c in set(chain.from_iterable(parts)) if c not in self.known]
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.scores, self.gaps = np.zeros(0), np.zeros(0)
+
+    def _learn(self, parts: set[str]) -> None:
+        new = [c for c in parts if c not in self.known]
         if len(self.known) + len(new) > _MEMORY:
-            self.known = {}
-            new = list(set(chain.from_iterable(parts)))
-        self.known.update(zip(new, self.table.best_many(new)))
+            self._forget()
+            new = list(parts)
+        if new:
+            order, flat, sizes, scores, gaps = self.table.best_many(new)
+            self.known.update(zip(order, range(len(self.known), len(self.known) + len(order))))
+            self.flat = np.concatenate([self.flat, flat])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+            self.scores, self.gaps = np.concatenate([self.scores, scores]), np.concatenate([self.gaps, gaps])
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, float, list]]:
+        """(ids, score, alternatives) of each text."""
+        parts = [self.table.split(t) for t in texts]
+        self._learn(set().union(*parts))
         return [self._one(p) for p in parts]
 
-    def _one(self, parts: list[str]) -> tuple[list[int], float, list]:
-        found = [self.known[c] for c in parts]
-        ids = list(chain.from_iterable([f[0] for f in found]))
-        score = sum([f[1] for f in found])
-        return ids, score, self._alternatives(parts, found, score)
+    def _one(self, parts: list[str]) -> tuple[np.ndarray, float, list]:
+        at = np.fromiter(map(self.known.__getitem__, parts), dtype=np.int64, count=len(parts))
+        begins, sizes = self.ends[at], self.ends[at + 1] - self.ends[at]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.flat[np.arange(total) + np.repeat(begins - ends + sizes, sizes)]
+        score = float(self.scores[at].sum())
+        return ids, score, self._alternatives(parts, self.gaps[at], ends - sizes, ends, ids, score)
 
-    def _alternatives(self, parts, found, score):
+    def _alternatives(self, parts, gaps, begins, ends, ids, score):
         """The next best segmentations of the whole text as (score, edits).
 
         Only the parts whose second best is nearest can differ in them: n - 1 single changes of these are never worse
@@ -222,7 +272,6 @@ class Encoder:
         """
         if self.n < 2 or not parts:
             return []
-        gaps = np.array([f[2] for f in found])
         k = min(self.n - 1, len(gaps))
         limit = np.partition(gaps, k - 1)[k - 1]
         near = sorted(np.flatnonzero(gaps <= limit).tolist(), key=lambda i: (gaps[i], i))[:k]
@@ -230,12 +279,25 @@ class Encoder:
         for i in near:
             if gaps[i] == float("inf"):
                 continue
-            at = sum([len(f[0]) for f in found[:i]])
-            options = [(0.0, None)] + [(found[i][1] - s, (at, len(found[i][0]), ids)) for s, ids in self.n_best(parts[i]) if ids != found[i][0]]
+            own = tuple(ids[begins[i]:ends[i]].tolist())
+            found = self.n_best(parts[i])
+            options = [(0.0, None)] + [(found[0][0] - s, (int(begins[i]), len(own), other)) for s, other in found if other != own]
             best = sorted([(a + b, (*e, x) if x else e) for a, e in best for b, x in options], key=lambda c: (c[0], c[1]))[:self.n]
         return [(score - d, sorted(e)) for d, e in best if e]
 
 
+_ENCODERS: dict[tuple, Encoder] = {}
+
+
+def _encoder(shared, n: int) -> Encoder:
+    """The Python worker's encoder for a broadcast table, kept from task to task."""
+    key = (shared.value.made, n)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(shared.value, n)
+    return _ENCODERS[key]
+
+
 _EDIT = pa.struct([("at", pa.int32()), ("drop", pa.int32()), ("ids", pa.list_(pa.int32()))])
 _ALT = pa.struct([("score", pa.float64()), ("edits", pa.list_(_EDIT))])
 ENCODED = "ids array<int>, score double, alternatives array<struct<score: double, edits: array<struct<at: int, drop: int, ids: array<int>>>>>"
@@ -255,18 +317,14 @@ def encode(docs: DataFrame, model: str | None = None, n: int = 3, id_col: str =
     independent: repeated rows repeat, ids of any value pass, other columns are ignored, an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(PieceTable(model or default_model()))
-    made: list[Encoder] = []  # a worker's own, from its first slice on
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(piece):
-        if not made:
-            made.append(Encoder(shared.value, n))
-        encoder = made[0]
         texts = piece.column("text").to_pylist()
-        out = iter(encoder.encode([t for t in texts if t is not None]))
+        out = iter(_encoder(shared, n).encode([t for t in texts if t is not None]))
         got = [(None, None, None) if t is None else next(out) for t in texts]
-        sizes = [0, *[len(g[0] or ()) for g in got]]
-        flat = pa.array(np.fromiter(chain.from_iterable(g[0] or () for g in got), dtype=np.int32, count=sum(sizes)))
+        sizes = [0, *[0 if g[0] is None else len(g[0]) for g in got]]
+        flat = pa.array(np.concatenate([np.zeros(0, np.int32), *[g[0] for g in got if g[0] is not None]]))
         ids = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), flat, mask=pa.array([g[0] is None for g in got]))
         alts = [None if g[2] is None else [{"score": s, "edits": [{"at": a, "drop": d, "ids": i} for a, d, i in e]} for s, e in g[2]] for g in got]
         return pa.RecordBatch.from_arrays([piece.column("doc_id"), ids, pa.array([g[1] for g in got], pa.float64()), pa.array(alts, pa.list_(_ALT))],
