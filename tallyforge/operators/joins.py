@@ -142,11 +142,11 @@ def in_cohort(df: DataFrame, cohort: DataFrame, key: str = "account_id", flag: s
             .withColumn(flag, F.coalesce(flag, F.lit(False))))
 
 
-def spread_join(facts: DataFrame, one: DataFrame, keys: Sequence[str], parts: int = 16) -> DataFrame:
-    """Inner join of facts with a frame of one row per key, a busy key's facts dealt to ``parts`` tasks."""
+def spread_join(facts: DataFrame, one: DataFrame, keys: Sequence[str], parts: int = 16, how: str = "inner") -> DataFrame:
+    """Join (inner or left) of facts with a frame of one row per key, a busy key's facts dealt to ``parts`` tasks."""
     dealt = facts.withColumn("__part", F.pmod(F.xxhash64(*facts.columns), F.lit(parts)))
     copies = one.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))))
-    return dealt.join(copies, [*keys, "__part"]).drop("__part")
+    return dealt.join(copies, [*keys, "__part"], how).drop("__part")
 
 
 def exclude(df: DataFrame, *others: DataFrame, key: str = "account_id") -> DataFrame:
