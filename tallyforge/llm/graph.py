@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import cut
+from tallyforge.operators.joins import spread_join
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -19,7 +20,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Alternates the large-star and small-star steps: every step replaces the edges of a node by edges to
     its smallest neighbour, until nothing changes. Edges stay distributed and no step has more of them
     than there were; only a count and a checksum reach the driver. A hub with a third of all edges is
-    folded by partial aggregates, and its join rows can be split by adaptive execution.
+    folded by partial aggregates, and its join rows are dealt to 8 tasks.
 
     Null ends and self loops are ignored; repeated edges change nothing; without edges the result is empty.
     """
@@ -29,10 +30,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while before[0]:
         both = ends.unionByName(ends.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = spread_join(both, low, ["u"], 8).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         stars = F.array(F.struct(F.col("u").alias("p"), F.col("m").alias("q")), F.struct(F.col("v").alias("p"), F.col("m").alias("q")))
-        small = large.join(low, "u").select(F.explode(stars).alias("e")).select(F.col("e.p").alias("u"), F.col("e.q").alias("v"))
+        small = spread_join(large, low, ["u"], 8).select(F.explode(stars).alias("e")).select(F.col("e.p").alias("u"), F.col("e.q").alias("v"))
         ends = cut(small.where("u <> v").distinct())
         after = _state(ends)
         if after == before:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tallyforge.llm import shingles
 from tallyforge.llm.common import cut, map_slices, slices
 from tallyforge.llm.graph import components
+from tallyforge.operators.joins import spread_join
 
 #: The frequency sketch counts all members in this many buckets (a power of two).
 SKETCH_BITS = 16
@@ -244,10 +245,10 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: s
 
     part = components(edges.unionByName(more))
     rooted = members.join(part.withColumnRenamed("node", "x"), "x", "left").select("doc_id", "n", "x", F.coalesce("component", "x").alias("root"))
-    low = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("low"))
-    return rooted.join(low, "root", "left").select(
+    shared = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("low"), F.count("*").alias("c")).where("c > 1")
+    return spread_join(rooted, shared.select("root", "low"), ["root"], how="left").select(
         "doc_id", F.col("n").cast("bigint").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"), F.col("x").alias("set_key"))
+        F.when(F.col("n") > 0, F.coalesce("low", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"), F.col("x").alias("set_key"))
 
 
 JACCARD_SQL = """
