@@ -9,6 +9,10 @@ from tallyforge.llm.common import cut
 from tallyforge.operators.joins import spread_join
 
 
+#: Edges that one part of an edge list holds between the rounds.
+EDGES_PER_PART = 200_000
+
+
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
     return row.n, row.h
@@ -34,7 +38,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         stars = F.array(F.struct(F.col("u").alias("p"), F.col("m").alias("q")), F.struct(F.col("v").alias("p"), F.col("m").alias("q")))
         small = spread_join(large, low, ["u"], 8).select(F.explode(stars).alias("e")).select(F.col("e.p").alias("u"), F.col("e.q").alias("v"))
-        ends = cut(small.where("u <> v").distinct())
+        # never more edges than before, so a size for the files is known
+        ends = cut(small.where("u <> v").distinct().coalesce(1 + before[0] // EDGES_PER_PART))
         after = _state(ends)
         if after == before:
             break
