@@ -138,3 +138,20 @@ def test_catalogue_tables(spark, frame, tmp_path):
         assert rows(dims.read_table(spark, "scratch", "t").select("id", "s.x")) == [(1, 5), (1, 5)]
     finally:
         spark.sql("DROP DATABASE scratch CASCADE")
+
+
+def test_files_left_out_are_named(spark, frame, table):
+    schema = "device string, date date, n bigint"
+    assert lake.files_left_out(spark, table, schema).collect() == []
+    spark.range(1).selectExpr("'junk' AS value").write.mode("append").text(f"{table}/device=pc/date=2020-01-09")
+    assert lake.lake_table(spark, table, schema, skip_unreadable=True).count() == 4
+    assert [r.date for r in lake.files_left_out(spark, table, schema).collect()] == ["2020-01-09"]
+
+
+def test_flatten_reads_only_the_named_fields(spark, tmp_path):
+    path = str(tmp_path / "nested")
+    spark.range(2).selectExpr("named_struct('a', id, 'b', named_struct('c', 'x', 'd', 1)) AS s").write.parquet(path)
+    out = lake.flatten(lake.lake_table(spark, path), n="s.a", c="s.b.c")
+    assert rows(out) == [(0, "x"), (1, "x")]
+    scan = out._jdf.queryExecution().executedPlan().toString()
+    assert "d:int" not in scan.split("ReadSchema")[1]

@@ -269,3 +269,59 @@ def test_gap_is_filled_and_the_unrecorded_are_absent(frame):
 
 def test_phase_grid_values():
     assert [float(p) for p in state.phases()][:3] == [0.1, 1.0, 1.5] and float(state.phases()[-1]) == 8.5 and len(state.phases()) == 17
+
+
+# -- rows summed per person before they meet attributes ------------------------
+def test_attributes_join_after_the_sum(spark, frame):
+    from tallyforge.operators.levels import people_and_sums
+
+    df = frame("account_id string, side string, amount bigint", *[("hot", "a", 1)] * 50, ("u", "a", 2), ("u", "b", 3), ("x", "a", 4), (None, "a", 5))
+    attrs = frame("account_id string, region string", ("hot", "E"), ("u", "W"), ("u", "E"))
+    got = people_and_sums(df, "account_id", ["side", "region"], {"users": True}, {"amount": "amount"}, rows="n", attrs=attrs)
+    assert rows(got, "side", "region", "users", "amount", "n") == [
+        ("a", "E", 2, 52, 51), ("a", "W", 1, 2, 1), ("a", None, 1, 9, 2), ("b", "E", 1, 3, 1), ("b", "W", 1, 3, 1)]
+    inner = people_and_sums(df, "account_id", ["region"], {"users": True}, attrs=attrs, how="inner")
+    assert rows(inner) == [("E", 2), ("W", 1)]
+    semi = people_and_sums(df, "account_id", ["side"], {"users": True}, attrs=attrs.select("account_id").distinct(), how="left_semi")
+    assert rows(semi) == [("a", 2), ("b", 1)]
+
+
+@pytest.mark.parametrize("name", ["sign_split_by_segment", "coupon_flow", "votes_by_day", "arppu_by_membership", "two_stage_kpi_by_day", "retained_users_buy"])
+def test_no_raw_fact_reaches_a_join_with_users(spark, name):
+    """Below each side of a join by account stands an aggregate or a table of one row per account."""
+    from tallyforge.plans import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    for i, line in enumerate(lines):
+        if "Join" in line and "account_id" in line:
+            first = next(x for x in lines[i + 1:] if not x.lstrip(" :+-").startswith(("Project", "Filter")))
+            assert "Aggregate" in first, (name, first)
+    assert depth
+
+
+def test_spread_join_equals_a_plain_one(frame):
+    from tallyforge.operators import joins
+
+    facts = frame("k string, n bigint", *[("hot", i) for i in range(40)], ("u", 1), ("v", 2), (None, 3))
+    one = frame("k string, x bigint", ("hot", 7), ("u", 8))
+    for how in ("inner", "left"):
+        assert rows(joins.spread_join(facts, one, ["k"], how=how), "k", "n", "x") == rows(facts.join(one, "k", how), "k", "n", "x")
+
+
+def test_did_without(frame):
+    firsts = frame("account_id string, a bigint, b bigint, c bigint", ("u", 1, 5, None), ("v", 1, 5, 9), ("w", 1, None, None))
+    assert rows(cohort.did_without(firsts, ["a", "b"], ["c"]), "account_id", "done") == [("u", 5)]
+
+
+def test_live_campaign_by_device_and_second_range(frame):
+    from tallyforge.operators import joins
+
+    calendar = frame("name string, device string, start_date date, end_date date, tab_start date, tab_end date",
+                     ("x", "pc", "2020-01-01", "2020-01-05", "2019-12-01", "2019-12-31"), ("y", "tv", "2020-01-01", "2020-01-09", None, None))
+    more = [("tab_start", "tab_end")]
+    assert rows(joins.live_campaign(calendar, "2019-12-15", device="pc", more=more), "name") == [("x",)]
+    assert rows(joins.live_campaign(calendar, "2019-12-15", device="pc")) == []
+    assert rows(joins.live_campaign(calendar, "2020-01-08", device="pc", more=more)) == []
+    assert rows(joins.live_campaign(calendar, "2020-01-08", device="tv", more=more), "name") == [("y",)]
