@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import label_below, label_like, name_or_id
@@ -58,14 +58,26 @@ def sales_by_membership(snapshot: DataFrame, regions: DataFrame, membership: Dat
     cashed = cash.where(window).groupBy("account_id", *PRODUCT_DIMS).agg(
         F.sum("unit_sold").alias("unit_sold"), F.sum("revenue").alias("revenue")
     ).withColumns({"free_used": none, "paid_used": none, "currency": F.lit("cash")})
-    by_user = coins.unionByName(cashed).join(users.select("account_id", *USER_DIMS), "account_id", "left")
     measures = ["unit_sold", "free_used", "paid_used", "revenue"]
-    sold = people_and_sums(
-        by_user, "account_id", [*USER_DIMS, "currency", *PRODUCT_DIMS], {"pu": True}, {m: m for m in measures},
+    # active users and sales from one pass: users without a sale come along, and are counted on the total rows
+    by_user = coins.unionByName(cashed).withColumn("sale", F.lit(1)).join(
+        users.select("account_id", *USER_DIMS).withColumn("is_user", F.lit(True)), "account_id", "full_outer")
+    sold = label_after(people_and_sums(
+        by_user, "account_id", [*USER_DIMS, "currency", *PRODUCT_DIMS], {"pu": "sale = 1", "au": "is_user"}, {"sales": "sale", **{m: m for m in measures}},
         levels=[[*USER_DIMS, "currency", *PRODUCT_DIMS], [*USER_DIMS, "currency"], USER_DIMS],
-        labels={"currency": "coin+cash", "sales_id": "0", "product_id": TOTAL, "product_name": "0"})
-    return (label_after(sold, "membership", "undefined").join(_active(users), USER_DIMS, "full_outer")
-            .withColumn("date", as_date(day)))
+        labels={"currency": "coin+cash", "sales_id": "0", "product_id": TOTAL, "product_name": "0"}), "membership", "undefined")
+    known = F.lit(True)
+    for dim in USER_DIMS:
+        known = known & F.col(dim).isNotNull()
+    is_total, has_sales = F.col("currency") == "coin+cash", F.coalesce(F.col("sales") > 0, F.lit(False))
+    active = F.nullif(F.max(F.when(is_total, F.col("au"))).over(Window.partitionBy(*USER_DIMS)), F.lit(0))
+    # a segment with an unknown dimension keeps sales and active users apart
+    kinds = F.array_compact(F.array(F.when(has_sales, "sales"), F.when(is_total & (F.col("au") > 0) & ~(has_sales & known), "users")))
+    rows = sold.withColumn("known", known).withColumn("active", active).withColumn("kind", F.explode(kinds))
+    of_sales = F.col("kind") == "sales"
+    return rows.select(
+        *USER_DIMS, *[F.when(of_sales, F.col(c)).alias(c) for c in ("currency", *PRODUCT_DIMS, "pu", *measures)],
+        F.when(~of_sales | F.col("known"), F.col("active")).alias("au"), as_date(day).alias("date"))
 
 
 def paid_by_product(snapshot: DataFrame, regions: DataFrame, membership: DataFrame, coin: DataFrame,
