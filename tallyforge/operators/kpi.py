@@ -59,7 +59,11 @@ def product_rank(purchases: DataFrame, product: str = "product_name", key: str =
 
 
 def rank_in_day(purchases: DataFrame, products: DataFrame, n: int | None = None) -> DataFrame:
-    """Products ranked by units within each day (ties by product id), with their names."""
+    """Products ranked by units within each day (ties by product id), with their names.
+
+    With ``n`` each task sends a day's first ``n`` only. Without it one task sorts all products sold on a day, at most
+    the catalogue.
+    """
     units = purchases.groupBy("date", "product_id").agg(F.sum("qty").alias("units"))
     ranked = top_n(units, ["date"], [F.desc("units"), F.asc("product_id")], n)
     return ranked.join(products.select("product_id", "product_name", "event_name").distinct(), "product_id")
