@@ -229,7 +229,7 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: s
     part = components(edges)
 
     # sets that are still apart, list by list and block by block
-    band = F.floor(F.log("n") / math.log(100 / percent)).cast("int") if percent < 100 else F.col("n")
+    band = F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("int") if percent < 100 else F.col("n")
     with_hub = known.select(F.col("a").alias("x"), F.col("b").alias("hub"), "shared")
     lists = cut(_open_lists(entries, part).withColumn("block", band).join(with_hub, "x", "left"))
     minor = lists.where("root <> major").withColumn("block", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)))
