@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """The same rows, held on the executors' disks for the steps that read them again.
+
+    The lineage stays: what a lost executor held is computed again from the input.
+    """
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import cut
-from tallyforge.operators.joins import spread_join
 
 
 #: Edges that one part of an edge list holds between the rounds.
@@ -28,7 +27,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Alternates the large-star and small-star steps: every step replaces the edges of a node by edges to
     its smallest neighbour, until only stars around the smallest nodes are left. Edges stay distributed and
     no step has more of them than there were; only a count and a flag reach the driver. A hub with a third
-    of all edges is folded by partial aggregates, and its join rows are dealt to 8 tasks.
+    of all edges is folded by partial aggregates before it is shuffled for its minimum; its edges, two numbers each, stream through one task.
 
     Null ends and self loops are ignored; repeated edges change nothing; without edges the result is empty.
     """
@@ -38,10 +37,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while not stars:
         both = ends.unionByName(ends.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = spread_join(both, low, ["u"], 8).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         pair = F.array(F.struct(F.col("u").alias("p"), F.col("m").alias("q")), F.struct(F.col("v").alias("p"), F.col("m").alias("q")))
-        small = spread_join(large, low, ["u"], 8).select(F.explode(pair).alias("e")).select(F.col("e.p").alias("u"), F.col("e.q").alias("v"))
+        small = large.join(low, "u").select(F.explode(pair).alias("e")).select(F.col("e.p").alias("u"), F.col("e.q").alias("v"))
         small = small.where("u <> v").distinct()
         # never more edges than before, so a size for the files is known
         ends = cut(small if count is None else small.coalesce(1 + count // EDGES_PER_PART))

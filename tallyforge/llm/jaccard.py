@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm import shingles
-from tallyforge.llm.common import cut, map_slices, slices
+from tallyforge.llm.common import cut, keep, map_slices, slices
 from tallyforge.llm.graph import components
 from tallyforge.operators.joins import spread_join
 
@@ -168,13 +168,13 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, p
     close = cut(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "doc_a", "doc_b", "odd_a", "odd_b")
                 .mapInArrow(near, "a long, b long, na int, nb int, doc_a long, doc_b long"))
     # a bit map of fixed size tells which documents may be wanted, so that only their sets are made and moved
-    bits = 1 << 23
+    bits = 1 << 21
 
     def bit(c):
         return F.pmod(F.xxhash64(c), F.lit(bits)).cast("int")
 
     wanted = close.select(F.explode(F.array("doc_a", "doc_b")).alias("doc")).select(bit("doc").alias("bit"))
-    # at most 2^17 rows
+    # at most 2^15 rows
     wanted = wanted.groupBy((F.col("bit") / 64).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, bit % 64)")).alias("mask"))
     asked = docs.withColumn("bit", bit("doc_id")).withColumn("word", (F.col("bit") / 64).cast("int"))
     asked = asked.join(F.broadcast(wanted), "word").where(F.expr("(shiftrightunsigned(mask, bit % 64) & 1L) = 1"))
@@ -213,10 +213,10 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: s
     columns are ignored. An empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    first = cut(_first_pass(rows, width))
+    first = keep(_first_pass(rows, width))
     members = first.where("n >= 0").select("doc_id", "n", "x", "odd")
-    nodes = cut(members.where("n > 0").groupBy("x").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("odd").alias("odd")))
-    entries = cut(_shared_entries(_postings(rows, _sketch(first), width, percent)))
+    nodes = keep(members.where("n > 0").groupBy("x").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("odd").alias("odd")))
+    entries = keep(_shared_entries(_postings(rows, _sketch(first), width, percent)))
 
     # every set against one hub: the set that stands first in most of its lists, so has least of its own
     hubs = entries.groupBy("token").agg(F.min(F.struct("pos", "x", "n")).alias("hub"), F.count("*").alias("c")).where("c > 1")
@@ -231,7 +231,7 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: s
     # sets that are still apart, list by list and block by block
     band = F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("int") if percent < 100 else F.col("n")
     with_hub = known.select(F.col("a").alias("x"), F.col("b").alias("hub"), "shared")
-    lists = cut(_open_lists(entries, part).withColumn("block", band).join(with_hub, "x", "left"))
+    lists = keep(_open_lists(entries, part).withColumn("block", band).join(with_hub, "x", "left"))
     minor = lists.where("root <> major").withColumn("block", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)))
     # of members shared with one hub and members beyond it, two sets have at most the smaller numbers in common
     common = F.least("l.shared", "r.shared") + F.least(F.col("l.n") - F.col("l.shared"), F.col("r.n") - F.col("r.shared"))
