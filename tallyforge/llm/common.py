@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from tallyforge.session import shared_folder
 
 #: Bytes of text that a Python worker handles at a time; one longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
+#: Rows of an Arrow batch, unless the session says otherwise than Spark's default; texts make wide rows.
+ARROW_ROWS = 2000
 #: The white space of the contracts: blank, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -46,7 +48,11 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Hands this package to the Python workers, once per application, so that they need no copy of their own."""
+    """Hands this package to the Python workers, once per application, so that they need no copy of their own, and
+    lowers the session's rows per Arrow batch from Spark's default to ``ARROW_ROWS``."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, ARROW_ROWS)
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -78,11 +84,11 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE_BYTES
             yield batch.slice(start)
 
 
-def map_slices(df: DataFrame, text: str, run: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_slices(df: DataFrame, text: str, run: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, most: int = SLICE_BYTES) -> DataFrame:
     """``run`` over text-bounded slices of ``df``'s partitions; memory does not depend on the partition's size."""
 
     def body(batches):
-        for piece in slices(batches, text):
+        for piece in slices(batches, text, most):
             out = run(piece)
             if out is not None and out.num_rows:
                 yield out

@@ -184,7 +184,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id
         return pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, pa.list_(span))],
                                           names=["doc_id", "lang_pred", "score", "spans"])
 
-    return map_slices(rows, "text", run, "doc_id long, lang_pred string, score double, spans array<struct<start: int, end: int, lang: string>>")
+    return map_slices(rows, "text", run, "doc_id long, lang_pred string, score double, spans array<struct<start: int, end: int, lang: string>>", 2 << 20)
 
 
 def languages(docs: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ _SPACE = "▁"
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 #: Segmentations of chunks that a worker remembers; longer chunks than this many characters are segmented alone.
-_MEMORY, _LONG, _ROWS = 500_000, 40, 8192
+_MEMORY, _LONG, _ROWS = 150_000, 40, 8192
 _SLOT_BITS = 19
 
 
@@ -330,7 +330,7 @@ def encode(docs: DataFrame, model: str | None = None, n: int = 3, id_col: str =
         return pa.RecordBatch.from_arrays([piece.column("doc_id"), ids, pa.array([g[1] for g in got], pa.float64()), pa.array(alts, pa.list_(_ALT))],
                                           names=["doc_id", "ids", "score", "alternatives"])
 
-    return map_slices(rows, "text", run, "doc_id long, " + ENCODED)
+    return map_slices(rows, "text", run, "doc_id long, " + ENCODED, 2 << 20)
 
 
 def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
