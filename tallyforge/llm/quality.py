@@ -15,8 +15,6 @@ WINDOW, STRIDE, DIMS, FILTERS, CHUNK = 16, 4, 4, 16, 256
 #: Bounds of the training sample: documents of each class, and chunks taken from each.
 SAMPLE_DOCS, SAMPLE_CHUNKS = 1000, 8
 _EPOCHS, _RATE, _BATCH = 30, 0.01, 64
-#: Classes are sampled evenly though good texts are far more frequent; an error on one of them counts twice.
-POSITIVE_WEIGHT = 2.0
 _CHUNK_BYTES = WINDOW + STRIDE * (CHUNK - 1)
 
 
@@ -96,7 +94,6 @@ class ByteConv:
         high, mean, n = np.array([p[5] for p in parts]), np.array([p[6] for p in parts]), len(parts)
         x = np.concatenate([high.mean(0), high.max(0), mean.mean(0), mean.max(0)])
         d = 1 / (1 + np.exp(-np.clip(x @ self.p["out"] + self.p["out_bias"][0], -30, 30))) - label
-        d *= POSITIVE_WEIGHT if label else 1.0
         grads["out"] += d * x
         grads["out_bias"] += d
         w = (d * self.p["out"]).reshape(4, FILTERS)
