@@ -198,6 +198,37 @@ def test_lines_against_plain_version(spark):
     assert got[103] == ("new", 1)
 
 
+def runs_by_pairs(docs, min_words):
+    """doc_id -> lines deleted, from the definition: every line against every earlier equal line, extended to both sides."""
+    flat = [(d, i, x) for d, t in sorted(docs) for i, x in enumerate(t.split("\n"))]
+    gone = {d: set() for d, _ in docs}
+    for p in range(len(flat)):
+        for q in range(p):
+            if flat[p][2] != flat[q][2] or (flat[p][1] and flat[q][1] and flat[p - 1][2] == flat[q - 1][2]):
+                continue
+            n = 1
+            while p + n < len(flat) and flat[p + n][1] and flat[q + n][1] and flat[p + n][2] == flat[q + n][2]:
+                n += 1
+            if sum(len(x[2].split()) for x in flat[p:p + n]) >= min_words:
+                gone[flat[p][0]].update(x[1] for x in flat[p:p + n])
+    return gone
+
+
+def test_lines_whole_runs_against_all_pairs(spark):
+    rng = random.Random(8)
+    pool = [" ".join(rng.choice("abcdefg") for _ in range(rng.choice([0, 0, 1, 2, 3, 6, 9]))) for _ in range(12)]
+    docs = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 25)))) for i in range(60)]
+    end = "\n".join(["w " * 60, "v " * 10])
+    docs += [(100, end), (101, end), (102, "\n\n" + docs[3][1] + "\n\n"), (103, "\n\n" + docs[3][1] + "\n\n"), (104, "x y z\n" * 30)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    for words in (8, 50):
+        gone = runs_by_pairs(docs, words)
+        want = {d: ("\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d]), len(gone[d])) for d, t in docs}
+        got = lines.drop_repeated_runs(df, words, whole_runs=True).select("row.doc_id", "text", "n_deleted").collect()
+        assert {r.doc_id: (r.text, r.n_deleted) for r in got} == want
+        assert want[101] == ("", 2)
+
+
 def segmentations(table, part):
     out = []
 
