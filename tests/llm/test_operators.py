@@ -229,6 +229,14 @@ def test_lines_whole_runs_against_all_pairs(spark):
         assert want[101] == ("", 2)
 
 
+def test_lines_windows_select_single_lines():
+    text = "\n".join(f"line {i} of six words {i}" for i in range(40)).encode()
+    found = lines.run_windows(text, 50)
+    assert len({(w[2], w[3]) for w in found}) == len({w[3] for w in found}) < len(found)  # a fingerprint has one place
+    many = lines.run_windows(b"\n" * 20_000 + text, 50, whole_runs=True)
+    assert len(many) > 20_000
+
+
 def segmentations(table, part):
     out = []
 
