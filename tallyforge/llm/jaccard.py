@@ -7,7 +7,8 @@ index lists. Two kinds of work are skipped without losing a link:
   sizes cannot pass are never read, and entries too far back are left out.
 * Answer level: every set is first compared with one hub. What a set shares with its hub bounds what it can
   share with any other member of that hub's circle, so answers of similar sets follow from each other; and sets
-  already known to be connected need no further comparison.
+  already known to be connected need no further comparison for the groups. ``jaccard_links``, which gives every
+  link, compares these too.
 """
 
 from __future__ import annotations
@@ -193,6 +194,38 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, p
     return cut(p.select("a", "b", "na", "nb", F.size(F.array_intersect("set_a", "set_b")).alias("shared")).distinct())
 
 
+def _start(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, ...]:
+    """(rows, members, nodes, entries, known): the sets, their index entries, and each set's pair with its hub."""
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    first = keep(_first_pass(rows, width))
+    members = first.where("n >= 0").select("doc_id", "n", "x", "odd")
+    nodes = keep(members.where("n > 0").groupBy("x").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("odd").alias("odd")))
+    entries = keep(_shared_entries(_postings(rows, _sketch(first), width, percent)))
+
+    # every set against one hub: the set that stands first in most of its lists, so has least of its own
+    hubs = entries.groupBy("token").agg(F.min(F.struct("pos", "x", "n")).alias("hub"), F.count("*").alias("c")).where("c > 1")
+    star = (entries.join(hubs, "token").where("x <> hub.x").select(F.struct("x", "n", "pos").alias("e"), "hub")
+            .where(_may_link("e", "hub", percent)).groupBy(F.col("e.x").alias("a"), F.col("hub.x").alias("b")).agg(F.count("*").alias("c"))
+            .groupBy("a").agg(F.max(F.struct("c", "b")).alias("best")).select("a", F.col("best.b").alias("b")))
+    known = _verified(star, nodes, rows, width, percent)
+    return rows, members, nodes, entries, known
+
+
+def _linked(percent: int):
+    return (100 + percent) * F.col("shared") >= percent * (F.col("na") + F.col("nb"))
+
+
+def _band(percent: int):
+    """Blocks by set size: sets of linked documents lie in one block or in two neighbours."""
+    return F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("int") if percent < 100 else F.col("n")
+
+
+def _ruled_out(percent: int):
+    """Of members shared with one hub and members beyond it, two sets have at most the smaller numbers in common."""
+    common = F.least("l.shared", "r.shared") + F.least(F.col("l.n") - F.col("l.shared"), F.col("r.n") - F.col("r.shared"))
+    return F.coalesce((F.col("l.hub") == F.col("r.hub")) & ((100 + percent) * common < percent * (F.col("l.n") + F.col("r.n"))), F.lit(False))
+
+
 def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, set_key.
 
@@ -212,33 +245,18 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: s
     component, as a null doc_id is where its whole component has none. Repeated rows repeat in the result. Other
     columns are ignored. An empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    first = keep(_first_pass(rows, width))
-    members = first.where("n >= 0").select("doc_id", "n", "x", "odd")
-    nodes = keep(members.where("n > 0").groupBy("x").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("odd").alias("odd")))
-    entries = keep(_shared_entries(_postings(rows, _sketch(first), width, percent)))
-
-    # every set against one hub: the set that stands first in most of its lists, so has least of its own
-    hubs = entries.groupBy("token").agg(F.min(F.struct("pos", "x", "n")).alias("hub"), F.count("*").alias("c")).where("c > 1")
-    star = (entries.join(hubs, "token").where("x <> hub.x").select(F.struct("x", "n", "pos").alias("e"), "hub")
-            .where(_may_link("e", "hub", percent)).groupBy(F.col("e.x").alias("a"), F.col("hub.x").alias("b")).agg(F.count("*").alias("c"))
-            .groupBy("a").agg(F.max(F.struct("c", "b")).alias("best")).select("a", F.col("best.b").alias("b")))
-    known = _verified(star, nodes, rows, width, percent)
-    linked = (100 + percent) * F.col("shared") >= percent * (F.col("na") + F.col("nb"))
+    rows, members, nodes, entries, known = _start(docs, width, percent, id_col, text_col)
+    linked = _linked(percent)
     edges = known.where(linked).select("a", "b")
     part = components(edges)
 
     # sets that are still apart, list by list and block by block
-    band = F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("int") if percent < 100 else F.col("n")
     with_hub = known.select(F.col("a").alias("x"), F.col("b").alias("hub"), "shared")
-    lists = keep(_open_lists(entries, part).withColumn("block", band).join(with_hub, "x", "left"))
+    lists = keep(_open_lists(entries, part).withColumn("block", _band(percent)).join(with_hub, "x", "left"))
     minor = lists.where("root <> major").withColumn("block", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)))
-    # of members shared with one hub and members beyond it, two sets have at most the smaller numbers in common
-    common = F.least("l.shared", "r.shared") + F.least(F.col("l.n") - F.col("l.shared"), F.col("r.n") - F.col("r.shared"))
-    ruled_out = (F.col("l.hub") == F.col("r.hub")) & ((100 + percent) * common < percent * (F.col("l.n") + F.col("r.n")))
     pairs = (minor.alias("l").join(lists.alias("r"), ["token", "block"])
              .where("l.root <> r.root AND (r.root = r.major OR l.x < r.x)").where(_may_link("l", "r", percent))
-             .where(~F.coalesce(ruled_out, F.lit(False)))
+             .where(~_ruled_out(percent))
              .select(F.least("l.x", "r.x").alias("a"), F.greatest("l.x", "r.x").alias("b")).distinct())
     tested = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = _verified(pairs.join(tested, ["a", "b"], "left_anti"), nodes, rows, width, percent).where(linked).select("a", "b")
@@ -251,6 +269,38 @@ def jaccard_groups(docs: DataFrame, width: int = 5, percent: int = 80, id_col: s
         F.when(F.col("n") > 0, F.coalesce("low", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"), F.col("x").alias("set_key"))
 
 
+def jaccard_links(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(links, membership): every link between different sets, and the documents that hold each set.
+
+    ``links`` has a row per linked pair of distinct sets: a, b (set keys, a < b), na, nb (their sizes) and shared (the
+    members in common, counted on the whole sets). ``membership`` has a row per input row: doc_id, n_shingles,
+    set_key, n_links, the last being the number of other rows whose sets link with the row's own, equal sets included.
+    A document's links follow from its set's; copies are never paired. Sets, links and odd rows are as in ``jaccard_groups``.
+
+    Here no pair is skipped for being connected already: all pairs that sizes, positions and what both sets share with
+    one hub leave open are compared. Work and result grow with the number of links, so with the square of a group of
+    different near copies.
+    """
+    rows, members, nodes, entries, known = _start(docs, width, percent, id_col, text_col)
+    with_hub = known.select(F.col("a").alias("x"), F.col("b").alias("hub"), "shared")
+    lists = keep(entries.withColumn("block", _band(percent)).join(with_hub, "x", "left"))
+    around = lists.withColumn("block", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)))
+    pairs = (around.alias("l").join(lists.alias("r"), ["token", "block"]).where("l.x <> r.x").where(_may_link("l", "r", percent))
+             .where(~_ruled_out(percent)).select(F.least("l.x", "r.x").alias("a"), F.greatest("l.x", "r.x").alias("b")).distinct())
+    swap = F.col("a") > F.col("b")
+    tested = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(swap, F.col("nb")).otherwise(F.col("na")).alias("na"),
+                          F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("nb"), "shared").distinct()
+    more = _verified(pairs.join(tested, ["a", "b"], "left_anti"), nodes, rows, width, percent)
+    links = keep(tested.unionByName(more).where(_linked(percent)))
+
+    copies = members.where("n > 0").groupBy("x").agg(F.count("*").alias("copies"))
+    ends = links.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(links.select(F.col("b").alias("x"), F.col("a").alias("y")))
+    others = ends.join(copies.select(F.col("x").alias("y"), "copies"), "y").groupBy("x").agg(F.sum("copies").alias("others"))
+    per_set = copies.join(others, "x", "left").select("x", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return links, spread_join(members.select("doc_id", "n", "x"), per_set, ["x"], how="left").select(
+        "doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.col("x").alias("set_key"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 JACCARD_SQL = """
 WITH RECURSIVE w AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -186,6 +186,37 @@ def test_jaccard_against_all_pairs(spark):
         assert got == jaccard_components(docs, percent=percent)
 
 
+def test_jaccard_links_against_all_pairs(spark):
+    rng = random.Random(9)
+    base = [[f"v{rng.randrange(400)}" for _ in range(60)] for _ in range(4)]
+    docs = []
+    for i in range(90):
+        words = list(base[i % 4])
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            words[rng.choice([0, 1, -1, -2, rng.randrange(60)])] = f"v{rng.randrange(400)}"
+        docs.append((i, " ".join(words)))
+    docs += [(500, None), (501, ""), (502, "a b"), (503, "A  b"), (502, "a b")]
+    sets = []
+    for _, t in docs:
+        w = (t or "").lower().split()
+        sets.append(frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset())
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for percent in (80, 60):
+        def link(a, b):
+            return len(a & b) > 0 and 100 * len(a & b) >= percent * len(a | b)
+
+        links, membership = jaccard.jaccard_links(df.repartition(5), percent=percent)
+        rows = membership.collect()
+        want = sorted((d, len(s), sum(link(s, o) for o in sets) - (len(s) > 0)) for (d, _), s in zip(docs, sets))
+        assert sorted((r.doc_id, r.n_shingles, r.n_links) for r in rows) == want
+        key = {r.doc_id: r.set_key for r in rows}
+        named = {key[d]: s for (d, _), s in zip(docs, sets) if s}
+        got = sorted(map(tuple, links.collect()))
+        assert got == sorted((a, b, len(named[a]), len(named[b]), len(named[a] & named[b])) for a in named for b in named if a < b and link(named[a], named[b]))
+        assert len(got) > len(named)  # links besides a tree of them
+    assert [x.collect() for x in jaccard.jaccard_links(df.limit(0))] == [[], []]
+
+
 def test_lines_against_plain_version(spark):
     rng = random.Random(6)
     pool = [" ".join(rng.choice("abcdefg") for _ in range(rng.randint(0, 6))) for _ in range(12)]
