@@ -62,19 +62,21 @@ class Renderer:
     beyond the previous one is the turn's span. Where an output does not continue the previous one, the template has
     rewritten history. A probe in place of a turn's text shows where in the span the text stands.
 
-    At most ``window`` messages are shown at once. When a conversation grows longer, its older half is dropped, and
-    the spans of the turns that stay (but the first) must come out as before; if not, the turn counts as rewriting
-    history too. So memory is bounded by ``window`` turns.
+    Every prefix is shown whole, unless the caller declares the template local by a ``window``: that the output for a
+    turn depends on nothing but the turn, and on whether it is the first one shown. Then at most ``window`` messages are
+    shown at once, and memory is bounded by ``window`` turns. When a conversation grows longer, its older half is dropped,
+    and the spans of the turns that stay (but the first) must come out as before; if not, the turn counts as rewriting
+    history too.
     """
 
-    def __init__(self, template: Template, window: int = 64):
-        self.template, self.window = template, max(2, window)
+    def __init__(self, template: Template, window: int | None = None):
+        self.template, self.window = template, None if window is None else max(2, window)
         self.shown: list[Message] = []
         self.before, self.length, self.spans = template([]), 0, []
 
     def add(self, message: Message) -> dict:
         rewrote = False
-        if len(self.shown) == self.window:
+        if self.window is not None and len(self.shown) == self.window:
             rewrote = self._slide()
         now = self.template([*self.shown, message])
         same = len(self.before) if now.startswith(self.before) else len(os.path.commonprefix([now, self.before]))
@@ -86,7 +88,8 @@ class Renderer:
         after = len(probe) - at - 1
         found = at >= 0 and probe.count(_PROBE) == 1 and piece[:at] == probe[:at] and (not after or piece.endswith(probe[at + 1:]))
         self.shown.append(message)
-        self.spans.append(piece)
+        if self.window is not None:
+            self.spans.append(piece)
         self.before, self.length = now, begin + len(piece)
         text = (begin + at, begin + len(piece) - after) if found and not rewrote else (None, None)
         return {"piece": piece, "begin": begin, "end": self.length, "text_begin": text[0], "text_end": text[1], "rewrites": rewrote}
@@ -102,7 +105,7 @@ class Renderer:
 _TURNS = "conv_id long, position long, role string, piece string, begin long, end long, text_begin long, text_end long, rewrites boolean"
 
 
-def format_turns(turns: DataFrame, template: Template = inst_template, window: int = 64, conv_col: str = "conv_id", turn_col: str = "turn",
+def format_turns(turns: DataFrame, template: Template = inst_template, window: int | None = None, conv_col: str = "conv_id", turn_col: str = "turn",
                  role_col: str = "role", text_col: str = "text") -> DataFrame:
     """A row per turn: conv_id, position (from 0), role, piece, begin, end, text_begin, text_end, rewrites.
 
@@ -113,7 +116,9 @@ def format_turns(turns: DataFrame, template: Template = inst_template, window: i
 
     Turns are ordered by turn, role and text, nulls first, so repeated turns keep a fixed order. Null text and null
     role count as empty. Rows without a conversation id form one conversation. Other columns are ignored. An empty
-    table gives no rows. A conversation is read as a stream in the memory of ``window`` turns, however long it is.
+    table gives no rows. The template is shown every prefix whole, in the memory of one conversation and in time that
+    grows with the square of its length. With a ``window``, which declares the template local (see ``Renderer``;
+    ``inst_template`` is), a conversation is read as a stream in the memory of ``window`` turns, however long it is.
     """
     rows = turns.select(F.col(conv_col).cast("bigint").alias("conv_id"), F.col(turn_col).cast("bigint").alias("turn"),
                         F.coalesce(role_col, F.lit("")).alias("role"), F.coalesce(text_col, F.lit("")).alias("text"))
@@ -137,6 +142,10 @@ def format_turns(turns: DataFrame, template: Template = inst_template, window: i
     return dealt.mapInArrow(body, _TURNS)
 
 
+#: Turns shown at once to ``inst_template``, which is local.
+INST_WINDOW = 64
+
+
 def conversation_digests(formatted: DataFrame) -> DataFrame:
     """A row per conversation, read back from ``format_turns`` with ``inst_template``: conv_id, n_turns, turns_sha256,
     loss_chars, loss_sha256, formatted_chars. The loss mask covers the texts of assistant turns."""

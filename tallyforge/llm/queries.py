@@ -57,7 +57,8 @@ def personal_data(spark, sf_dir):
 
 @query("op5_chat_format", chat.CHAT_SQL)
 def chat_format(spark, sf_dir):
-    return chat.conversation_digests(chat.format_turns(chat.with_control_case(table(spark, sf_dir, "conversations"))))
+    turns = chat.with_control_case(table(spark, sf_dir, "conversations"))
+    return chat.conversation_digests(chat.format_turns(turns, window=chat.INST_WINDOW))
 
 
 @query("op8_sentencepiece")

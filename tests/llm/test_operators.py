@@ -169,6 +169,26 @@ def test_chat_round_trip_windows_and_rewriting(spark):
     assert chat.format_turns(df.limit(0)).collect() == [] and chat.conversation_digests(chat.format_turns(df.limit(0))).collect() == []
 
 
+def numbered(messages):  # absolute turn numbers, and the system message again before each user turn
+    first = next((t for r, t in messages if r == "system"), "")
+    return "".join(f"{i}:{first if r == 'user' else ''}{t};" for i, (r, t) in enumerate(messages))
+
+
+def stripped(messages):  # drops the text of the first turn after 80 turns
+    return "".join("-" if len(messages) > 80 and i == 0 else t for i, (_, t) in enumerate(messages))
+
+
+def test_chat_shows_whole_prefixes(spark):
+    rows = [(1, t, "system" if t == 0 else "user" if t % 2 else "assistant", f"t{t}") for t in range(150)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = sorted(chat.format_turns(df, numbered).collect(), key=lambda r: r.position)
+    text = "".join(r.piece for r in out)
+    assert text == numbered([r[2:] for r in rows]) and not any(r.rewrites for r in out)
+    assert all(text[r.text_begin:r.text_end] == m[3] for r, m in zip(out, rows))
+    r = chat.Renderer(stripped)
+    assert [t for t in range(150) if r.add(("user", f"t{t}"))["rewrites"]] == [80]
+
+
 def test_jaccard_against_all_pairs(spark):
     rng = random.Random(4)
     vocab = [f"w{i}" for i in range(300)]
