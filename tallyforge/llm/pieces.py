@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import re
 import uuid
+from array import array
 from functools import lru_cache
 from itertools import chain
 
@@ -18,8 +19,8 @@ from tallyforge.llm.common import map_slices
 _SPACE = "▁"
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
-#: Segmentations of chunks that a worker remembers; longer chunks than this many characters are segmented alone.
-_MEMORY, _LONG, _ROWS = 150_000, 40, 8192
+#: Segmentations of chunks that a worker remembers, and their characters; longer chunks than this many characters are segmented alone.
+_MEMORY, _CHARS, _LONG, _ROWS = 150_000, 6_000_000, 40, 8192
 _SLOT_BITS = 19
 
 
@@ -103,10 +104,13 @@ class PieceTable:
 
         A-star from the end of the part backwards: a state's priority is the score of the pieces so far plus the
         forward Viterbi score of the rest, which is exact, so states come off the heap in the order of the whole
-        segmentations they lead to. Ties prefer the longer last piece.
+        segmentations they lead to. Ties prefer the longer last piece. As every state holds its path, parts of more
+        than ``_LONG`` characters go to ``_n_best_rows`` instead.
         """
         if chunk == _SPACE:
             return [(3 * self.penalty, self._bytes(chunk))]
+        if len(chunk) > _LONG:
+            return self._n_best_rows(chunk, n)
         part = chunk.replace(" ", _SPACE)
         best = self.forward(part)
         heap, out = [(-best[-1], (), len(part), 0.0, ())], []
@@ -121,6 +125,31 @@ class PieceTable:
                 heapq.heappush(heap, (-(s + best[at - size]), (*sizes, -size), at - size, s, (*ids, piece)))
         return out
 
+    def _n_best_rows(self, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+        """The same by a Viterbi search with ``n`` rows and back pointers, in time and memory linear in the part."""
+        part = chunk.replace(" ", _SPACE)
+        scores = array("d", [0.0]) * (n * (len(part) + 1))  # by position and rank
+        sizes, ids, ranks = (array("i", [0]) * len(scores) for _ in range(3))
+        held = array("i", [1]) + array("i", [0]) * len(part)
+        for end in range(1, len(part) + 1):
+            found = []
+            for size, i in self._edges(part, end):
+                own, at = self.scores[i] if i >= 0 else self.penalty, n * (end - size)
+                found += [(-(scores[at + rank] + own), -size, rank, i) for rank in range(held[end - size])]
+            found.sort()
+            held[end] = min(n, len(found))
+            for at, (score, size, rank, i) in enumerate(found[:n], n * end):
+                scores[at], sizes[at], ranks[at], ids[at] = -score, -size, rank, i
+        out = []
+        for rank in range(held[-1]):
+            score, end, path = scores[n * len(part) + rank], len(part), []
+            while end:
+                at = n * end + rank
+                path.append((ids[at],) if ids[at] >= 0 else self._bytes(part[end - 1]))
+                end, rank = end - sizes[at], ranks[at]
+            out.append((score, tuple(chain.from_iterable(path[::-1]))))
+        return out
+
     def _bytes(self, c: str) -> tuple[int, ...]:
         return tuple(self.bytes[b] for b in c.encode())
 
@@ -229,20 +258,23 @@ class Encoder:
 
     def __init__(self, table: PieceTable, n: int):
         self.table, self.n = table, n
-        self.n_best = lru_cache(50_000)(lambda chunk: table.n_best(chunk, n))
+        remembered = lru_cache(50_000)(lambda chunk: table.n_best(chunk, n))
+        self.n_best = lambda chunk: remembered(chunk) if len(chunk) <= _LONG else table.n_best(chunk, n)
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.chars = 0
         self.flat, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
         self.scores, self.gaps = np.zeros(0), np.zeros(0)
 
     def _learn(self, parts: set[str]) -> None:
         new = [c for c in parts if c not in self.known]
-        if len(self.known) + len(new) > _MEMORY:
+        if len(self.known) + len(new) > _MEMORY or self.chars + sum(map(len, new)) > _CHARS:
             self._forget()
             new = list(parts)
         if new:
+            self.chars += sum(map(len, new))
             order, flat, sizes, scores, gaps = self.table.best_many(new)
             self.known.update(zip(order, range(len(self.known), len(self.known) + len(order))))
             self.flat = np.concatenate([self.flat, flat])
@@ -311,7 +343,8 @@ def encode(docs: DataFrame, model: str | None = None, n: int = 3, id_col: str =
     written as their bytes, as is the space mark itself, so ``decode`` returns every text exactly.
 
     Words are segmented once per worker and remembered in a bounded table; the alternatives come from the A-star search
-    over the few words in which they can differ. The model's pieces (of fixed number) are broadcast from the driver.
+    over the few words in which they can differ, or, in a word of more than 40 characters, from a Viterbi search with ``n``
+    rows, whose memory is linear in the word. The model's pieces (of fixed number) are broadcast from the driver.
 
     Null text gives null ids, score and alternatives; an empty text gives no piece, score 0 and no alternative. Rows are
     independent: repeated rows repeat, ids of any value pass, other columns are ignored, an empty table gives no rows.

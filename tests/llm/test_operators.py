@@ -317,6 +317,27 @@ def test_pieces_n_best_against_all_segmentations():
         assert table.n_best((" " + text).split(" ")[-1] or "x", 1)
 
 
+def test_pieces_long_parts_in_linear_memory(monkeypatch):
+    import base64
+    import tracemalloc
+
+    table, rng = pieces.PieceTable(pieces.default_model()), random.Random(7)
+    for part in ["".join(rng.choice("theingaoné") for _ in range(rng.randint(1, 60))) for _ in range(80)] + ["word" * 20, "a" * 60]:
+        rows = table._n_best_rows(part, 4)
+        with monkeypatch.context() as m:
+            m.setattr(pieces, "_LONG", 1000)
+            assert rows == table.n_best(part, 4)
+    encoder = pieces.Encoder(table, 3)
+    text = base64.b64encode(rng.randbytes(4500)).decode()
+    tracemalloc.start()
+    ids, score, more = encoder.encode([text])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20 and table.decode(ids) == text
+    assert len(more) == 2 and score >= more[0][0] >= more[1][0]
+    assert all(table.decode(pieces.with_edits(list(ids), e)) == text for _, e in more)
+
+
 def test_pieces_round_trip(spark, odd):
     texts = ["", " ", "  x ", "a▁b  c\n\td", "😀 日本語\r\n", "\x00z", "word" * 500, LONG, None]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
