@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import chat, exact, jaccard, language, lines, mixing, near_vectors, pieces, pii, quality
+from tallyforge.llm import byte_bpe, chat, exact, jaccard, language, lines, mixing, near_vectors, pieces, pii, quality
 from tallyforge.llm.common import ship, table
 
 QUERIES, ORACLES = {}, {}
@@ -77,3 +77,8 @@ def quality_classifier(spark, sf_dir):
 @query("op10_language")
 def language_id(spark, sf_dir):
     return language.languages(table(spark, sf_dir, "documents"))
+
+
+@query("op11_byte_bpe")
+def byte_level_bpe(spark, sf_dir):
+    return byte_bpe.token_digests(byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"))))
