@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import byte_bpe, chat, exact, jaccard, language, lines, mixing, near_vectors, pieces, pii, prefix_trie, quality
+from tallyforge.llm import byte_bpe, chat, exact, jaccard, language, lines, mixing, near_vectors, pieces, pii, prefix_trie, quality, repair
 from tallyforge.llm.common import ship, table
 
 QUERIES, ORACLES = {}, {}
@@ -84,6 +84,12 @@ def byte_level_bpe(spark, sf_dir):
     return byte_bpe.token_digests(byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"))))
 
 
+@query("op12_conversation_repair", repair.REPAIR_SQL)
+def conversation_repair(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    return repair.repair_report(turns, repair.damaged(turns))
+
+
 @query("op13_prefix_trie", prefix_trie.TRIE_SQL)
 def conversation_trie(spark, sf_dir):
     return prefix_trie.prefix_trie(prefix_trie.rebuilt_keys(prefix_trie.conversation_keys(table(spark, sf_dir, "conversations"))))
