@@ -151,7 +151,7 @@ def test_repaired_turns(spark):
     # the copy must go, and without the truncated turn (4) it is cheaper than with it and a turn between (3 + 3)
     assert sorted(map(tuple, out.collect())) == [(1, 0, "user", "Hi.", "K"), (1, 1, "assistant", "No.", "K")]
     lone = df.where("conv_id = 1 AND turn > 1")  # two assistant turns: one is made the user's
-    assert sorted(map(tuple, repair.repaired_turns(lone, repair.find_repairs(lone)).collect())) == [(1, 0, "user", "", "I"), (1, 1, "assistant", "No.", "K")]
+    assert sorted(map(tuple, repair.repaired_turns(lone, repair.find_repairs(lone)).collect())) == [(1, 0, "user", "Yes", "R"), (1, 1, "assistant", "No.", "K")]
 
 
 def test_damage_matches_sql(spark, tmp_path):
