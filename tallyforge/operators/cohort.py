@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import ratio, total_use
 from tallyforge.functions.periods import as_date
-from tallyforge.operators.joins import flag_new_buyer, in_cohort, spread_join
+from tallyforge.operators.joins import flag_new_buyer, in_cohort
+from tallyforge.operators.skew import split_join
 from tallyforge.operators.levels import people_and_sums
 
 
@@ -58,7 +59,7 @@ def b_after_a(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("account_id",),
     several tasks.
     """
     first = a.groupBy(*keys).agg(F.min(a_time or time).alias("__first_a"))
-    return spread_join(b, first, keys).where(F.col(time) > F.col("__first_a")).drop("__first_a")
+    return split_join(b, first, keys).where(F.col(time) > F.col("__first_a")).drop("__first_a")
 
 
 def with_side(df: DataFrame, cut: str, time: str = "time", name: str = "is_after") -> DataFrame:

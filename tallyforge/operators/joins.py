@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import resolve_country, strip_prefix
 from tallyforge.functions.periods import as_date
+from tallyforge.operators.skew import interval_join, split_join
 
 OPEN_END = "2038-01-19 00:00:00"  # fixed value: end of a product's last price version
 
@@ -73,47 +74,40 @@ def version_ranges(dim: DataFrame, keys: Sequence[str], start: str = "start_time
     return dim.withColumns({"valid_from": F.when(many, F.col(start)), "valid_to": F.when(many, next_start)})
 
 
-def _in_range(time: str) -> Column:
-    return F.col("valid_from").isNull() | ((F.col(time) >= F.col("valid_from")) & (F.col(time) < F.col("valid_to")))
-
-
 def scd2_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], time: str = "time",
-              start: str = "start_time") -> DataFrame:
+              start: str = "start_time", slice_it: bool | None = None) -> DataFrame:
     """Facts with the price version valid at their time; unmatched facts stay.
 
-    The keys are the join, the time range only filters within them.
+    A price list too large to broadcast is joined by product and slice of time, see ``interval_join``.
     """
     ranged = version_ranges(dim, keys, start)
-    ranged = ranged.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in ranged.columns if c not in keys])
-    on = [F.col(k) == F.col(f"__{k}") for k in keys]
-    joined = facts.join(ranged, [*on, _in_range(time)], "left")
-    return joined.drop(*[f"__{k}" for k in keys], "valid_from", "valid_to")
+    names = [f"__{k}" for k in keys]
+    ranged = ranged.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], *[c for c in ranged.columns if c not in keys])
+    return interval_join(facts, ranged, list(keys), names, time, slice_it=slice_it).drop(*names, "valid_from", "valid_to")
 
 
-def either_key_join(facts: DataFrame, dim: DataFrame, fact_id: str, dim_id: str, keys: Sequence[str],
-                    item: str, time: str = "time", start: str = "start_time", prefix: str = "offer") -> DataFrame:
+def either_key_join(facts: DataFrame, dim: DataFrame, fact_id: str, dim_id: str, keys: Sequence[str], item: str, time: str = "time",
+                    start: str = "start_time", prefix: str = "offer", slice_it: bool | None = None) -> DataFrame:
     """By sales id where the fact has one, else by product and time (``scd2_join`` rules).
 
     The two rules become one equi join: each dimension row appears once under its own id
     and once under its product, and a fact carries whichever key applies. Facts are read
-    once, and every row of a platform hashes by that key and not by the platform alone.
+    once, and every row of a platform hashes by that key and not by the platform alone; with a price list too
+    large to broadcast a heavy product or id is spread by slices of time as well.
     """
     ranged = version_ranges(dim, [*keys, item], start)
     attrs = [c for c in dim.columns if c not in (*keys, item)]
-    shared = [F.col(k).alias(f"__{k}") for k in keys]
-    by_id = ranged.select(*shared, F.lit(True).alias("__by_id"), F.col(dim_id).alias("__key"),
-                          F.lit(None).cast("timestamp_ntz").alias("valid_from"),
-                          F.lit(None).cast("timestamp_ntz").alias("valid_to"), *attrs)
-    by_item = ranged.select(*shared, F.lit(False).alias("__by_id"), F.col(item).alias("__key"),
-                            "valid_from", "valid_to", *attrs)
+    names = [f"__{k}" for k in keys]
+    shared = [F.col(k).alias(n) for k, n in zip(keys, names)]
+    any_time = F.lit(None).cast(dim.schema[start].dataType)
+    by_id = ranged.select(*shared, F.lit(True).alias("__by_id"), F.col(dim_id).alias("__key_of"), any_time.alias("valid_from"), any_time.alias("valid_to"), *attrs)
+    by_item = ranged.select(*shared, F.lit(False).alias("__by_id"), F.col(item).alias("__key_of"), "valid_from", "valid_to", *attrs)
     keyed = facts.withColumns({
         "__has_id": F.col(fact_id).isNotNull(),
         # an id without the expected form matches nothing, and not a product by chance
         "__fact_key": F.when(F.col(fact_id).isNotNull(), strip_prefix(fact_id, prefix)).otherwise(F.col(item))})
-    on = [F.col(k) == F.col(f"__{k}") for k in keys]
-    on += [F.col("__has_id") == F.col("__by_id"), F.col("__fact_key") == F.col("__key"), _in_range(time)]
-    helpers = ["__has_id", "__fact_key", "__by_id", "__key", "valid_from", "valid_to", *[f"__{k}" for k in keys]]
-    return keyed.join(by_id.unionByName(by_item), on, "left").drop(*helpers)
+    joined = interval_join(keyed, by_id.unionByName(by_item), [*keys, "__has_id", "__fact_key"], [*names, "__by_id", "__key_of"], time, slice_it=slice_it)
+    return joined.drop("__has_id", "__fact_key", "__by_id", "__key_of", "valid_from", "valid_to", *names)
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], exclude: Sequence[str] = (),
@@ -134,12 +128,11 @@ def with_revenue(df: DataFrame, units: str, price: str, name: str = "revenue") -
 
 
 def in_cohort(df: DataFrame, cohort: DataFrame, key: str = "account_id", flag: str | None = None) -> DataFrame:
-    """Rows of the cohort's users; with ``flag`` all rows, marked true or false."""
+    """Rows of the cohort's users; with ``flag`` all rows, marked true or false. Busy users' rows are split, see ``split_join``."""
     members = cohort.select(key).distinct()
     if flag is None:
-        return df.join(members, key, "left_semi")
-    return (df.join(members.withColumn(flag, F.lit(True)), key, "left")
-            .withColumn(flag, F.coalesce(flag, F.lit(False))))
+        return split_join(df, members, [key], "left_semi")
+    return split_join(df, members.withColumn(flag, F.lit(True)), [key], "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def spread_join(facts: DataFrame, one: DataFrame, keys: Sequence[str], parts: int = 16, how: str = "inner") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyforge.functions.columns import label_in, label_like, ratio, sign, total_use
 from tallyforge.functions.periods import as_date, week_bucket
 from tallyforge.operators.levels import people_and_sums, top_n
+from tallyforge.operators.skew import split_join
 
 
 def _people() -> dict[str, Column | bool | str]:
@@ -224,7 +225,7 @@ def vote_kpi(votes: DataFrame, by: Sequence[str], key: str = "account_id", attrs
 
 def same_day_join(facts: DataFrame, snapshots: DataFrame, attrs: Sequence[str], key: str = "account_id") -> DataFrame:
     """Facts with the user's attributes as of the fact's own day; days without a snapshot keep null."""
-    return facts.join(snapshots.select(key, "date", *attrs).distinct(), [key, "date"], "left")
+    return split_join(facts, snapshots.select(key, "date", *attrs).distinct(), [key, "date"], "left")
 
 
 def labelled(df: DataFrame, rules: Mapping[str, Sequence[tuple[str, str]]], column: str) -> DataFrame:

@@ -75,16 +75,26 @@ def _offer_summary(joined, *by):
                                    F.sum("price").alias("price"), F.sum("list_revenue").alias("list_revenue"))
 
 
-@query("scd2_price_join", RANGED + f"""
+SCD2_SQL = RANGED + f"""
 SELECT p.platform, p.product_id, offer_id, version, {_OFFER_SUMMARY}
 FROM purchases p LEFT JOIN ranged r ON p.platform = r.platform AND p.product_id = r.product_id
-  AND (versions = 1 OR (time >= start_time AND time < next_start)) GROUP BY 1, 2, 3, 4""")
+  AND (versions = 1 OR (time >= start_time AND time < next_start)) GROUP BY 1, 2, 3, 4"""
+
+
+@query("scd2_price_join", SCD2_SQL)
 def scd2_price_join(t):
     joined = joins.scd2_join(t.purchases, t.offers, ["platform", "product_id"])
     return _offer_summary(joined, "platform", "product_id", "offer_id", "version")
 
 
-@query("either_key_join", RANGED + f"""
+@query("scd2_price_join_sliced", SCD2_SQL)
+def scd2_price_join_sliced(t):
+    """As with a price list too large to broadcast."""
+    joined = joins.scd2_join(t.purchases, t.offers, ["platform", "product_id"], slice_it=True)
+    return _offer_summary(joined, "platform", "product_id", "offer_id", "version")
+
+
+EITHER_SQL = RANGED + f"""
 , keyed AS (SELECT *, CASE WHEN sales_id LIKE 'offer%' THEN split_part(sales_id, '.', 2) ELSE sales_id END AS sid FROM purchases),
 joined AS (
   SELECT k.*, offer_id, version, list_price, event_name FROM keyed k LEFT JOIN ranged r ON k.platform = r.platform AND k.sid = r.offer_id
@@ -92,9 +102,22 @@ joined AS (
   UNION ALL
   SELECT k.*, offer_id, version, list_price, event_name FROM keyed k LEFT JOIN ranged r ON k.platform = r.platform AND k.product_id = r.product_id
     AND (versions = 1 OR (time >= start_time AND time < next_start)) WHERE k.sid IS NULL)
-SELECT platform, event_name, offer_id, version, sid IS NOT NULL AS has_id, {_OFFER_SUMMARY} FROM joined GROUP BY 1, 2, 3, 4, 5""")
+SELECT platform, event_name, offer_id, version, sid IS NOT NULL AS has_id, {_OFFER_SUMMARY} FROM joined GROUP BY 1, 2, 3, 4, 5"""
+
+
+@query("either_key_join", EITHER_SQL)
 def either_key_join(t):
-    joined = joins.either_key_join(t.purchases, t.offers, "sales_id", "offer_id", ["platform"], "product_id")
+    return _by_either_key(t, None)
+
+
+@query("either_key_join_sliced", EITHER_SQL)
+def either_key_join_sliced(t):
+    """As with a price list too large to broadcast."""
+    return _by_either_key(t, True)
+
+
+def _by_either_key(t, slice_it):
+    joined = joins.either_key_join(t.purchases, t.offers, "sales_id", "offer_id", ["platform"], "product_id", slice_it=slice_it)
     joined = joined.withColumn("has_id", F.col("sales_id").isNotNull())
     return _offer_summary(joined, "platform", "event_name", "offer_id", "version", "has_id")
 
