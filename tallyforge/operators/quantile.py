@@ -1,53 +1,137 @@
-"""Exact percentiles without collecting the values anywhere.
+"""Exact percentiles without collecting or sorting the values.
 
-Spark's ``percentile`` keeps every distinct value in one aggregation buffer. Here the
-order statistics are found by narrowing a 16-bit digit at a time over the value
-histogram. Coarser histograms are summed from finer ones, so only the last step reads
-the values, and every step looks at 65,536 counts per wanted rank at most, whatever
-the number of rows.
+Spark's ``percentile`` keeps every distinct value in one aggregation buffer. Here a mergeable quantile
+sketch of fixed size gives a narrow bracket around each wanted value. One more pass counts the rows
+between the brackets and keeps only the values inside them, which decides every rank exactly. Where a
+rank lies outside its bracket after all, the bracket is widened to where it lies and the pass repeated.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import math
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_DIGIT = 16
-_LOWEST = -(1 << 63)
+from tallyforge.stages import staged
 
+#: Size of the sketch, some 80 KB for any number of values.
+SKETCH = 4096
+#: Values inside the brackets of which the ranks are counted in one sorted run; brackets that hold more are narrowed first.
+MOST_INSIDE = 4_000_000
+_LOWEST, _HIGHEST = -(1 << 63), (1 << 63) - 1
 
-def exact_percentiles(df: DataFrame, column: str, probs: Mapping[str, float]) -> DataFrame:
+Bracket = tuple[int, int]
+
+
+def _long(value: int) -> Column:
+    return F.lit(value).cast("bigint") if value != _LOWEST else F.expr("-9223372036854775808L")
+
+
+def _inside(bracket: Bracket) -> Column:
+    return F.col("value").between(_long(bracket[0]), _long(bracket[1]))
+
+
+def _sketched(values: DataFrame, bracket: Bracket, shares: Sequence[tuple[float, float]], size: int) -> tuple[int, int, list[Bracket]]:
+    """Rows below the bracket and inside it, and for each range of shares of the inside its bracket by the sketch; one pass, one row."""
+    inside = F.when(_inside(bracket), F.col("value"))
+    made = values.agg(F.count_if(F.col("value") < _long(bracket[0])).alias("below"), F.count(inside).alias("n"),
+                      F.kll_sketch_agg_bigint(inside, size).alias("sketch"))
+    at = [F.when(F.col("n") > 0, F.kll_sketch_get_quantile_bigint("sketch", F.lit(min(max(s, 0.0), 1.0)))).alias(f"q{i}{j}")
+          for i, pair in enumerate(shares) for j, s in enumerate(pair)]
+    row = made.select("below", "n", *at).first()
+    brackets = [(bracket[0] if a <= 0 else row[f"q{i}0"], bracket[1] if b >= 1 else row[f"q{i}1"]) for i, (a, b) in enumerate(shares)]
+    return row["below"], row["n"], brackets
+
+
+def _joined(brackets: Sequence[Bracket]) -> list[Bracket]:
+    """The brackets in order, overlapping ones as one."""
+    out: list[Bracket] = []
+    for low, high in sorted(brackets):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    return out
+
+
+def _ranked(values: DataFrame, brackets: Sequence[Bracket], ranks: Sequence[int]) -> dict[int, tuple[int, int | None]]:
+    """For each rank its region (odd: inside a bracket) and, inside one, its value.
+
+    Every row outside the brackets is only counted with its region, and regions follow each other in order of value, so a
+    running count over regions and inside values is the rank.
+    """
+    region, value = F.lit(2 * len(brackets)), F.lit(None).cast("bigint")
+    for i, (low, high) in reversed(list(enumerate(brackets))):
+        region = F.when(F.col("value") < _long(low), 2 * i).when(F.col("value") <= _long(high), 2 * i + 1).otherwise(region)
+        value = F.when(_inside((low, high)), F.col("value")).otherwise(value)
+    counts = values.select(region.alias("region"), value.alias("value")).groupBy("region", "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.orderBy("region", "value").rowsBetween(Window.unboundedPreceding, 0))  # at most MOST_INSIDE rows and the regions
+    placed = counts.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("n"))
+    hit = F.lit(False)
+    for k in ranks:
+        hit = hit | ((F.col("before") <= k) & (F.col("upto") > k))
+    rows = placed.where(hit).collect()  # no more rows than ranks
+    return {k: next((r.region, r.value) for r in rows if r.before <= k < r.upto) for k in ranks}
+
+
+def exact_values(values: DataFrame, ranks_of, sketch: int = SKETCH, margin: float | None = None, most: int = MOST_INSIDE) -> tuple[int, dict[int, int]]:
+    """The number of rows of ``values`` (value, no nulls) and the value at each rank (from 0) that ``ranks_of(number)`` names.
+
+    ``margin`` is the half width of a first bracket as a share of all rows, by default several times the sketch's error.
+    """
+    margin = 10 / sketch ** 0.9 if margin is None else margin
+    whole = (_LOWEST, _HIGHEST)
+    n = values.count()
+    ranks = sorted(set(ranks_of(n))) if n else []
+    if not ranks:
+        return n, {}
+
+    def around(below: int, inside: int) -> list[tuple[float, float]]:
+        return [((k - below) / inside - margin, (k - below) / inside + margin) for k in ranks]
+
+    brackets = dict(zip(ranks, _sketched(values, whole, around(0, n), sketch)[2]))
+    expected = 2 * margin * n
+    while expected > most and margin < 0.25:  # narrow each bracket by a sketch of its inside
+        for k in ranks:
+            below, inside, _ = _sketched(values, brackets[k], [], sketch)
+            if below <= k < below + inside:
+                share = (k - below) / inside
+                brackets[k] = _sketched(values, brackets[k], [(share - margin, share + margin)], sketch)[2][0]
+        expected *= 2 * margin
+    found: dict[int, int] = {}
+    width = dict.fromkeys(ranks, max(margin, 1e-6))
+    while len(found) < len(ranks):
+        joined = _joined(list(brackets.values()))
+        for k, (region, value) in _ranked(values, joined, ranks).items():
+            if region % 2:
+                found[k] = value
+            else:  # the rank lies between two brackets, so there is where to look, with a wider one
+                gap = (joined[region // 2 - 1][1] + 1 if region else _LOWEST, joined[region // 2][0] - 1 if region < 2 * len(joined) else _HIGHEST)
+                below, inside, _ = _sketched(values, gap, [], sketch)
+                share, width[k] = (k - below) / inside, 8 * width[k]
+                brackets[k] = _sketched(values, gap, [(share - width[k], share + width[k])], sketch)[2][0]
+    return n, found
+
+
+def exact_percentiles(df: DataFrame, column: str, probs: Mapping[str, float], sketch: int = SKETCH, margin: float | None = None) -> DataFrame:
     """One row with a double per entry of ``probs``, linearly interpolated between ranks.
 
-    ``column`` may hold any integers of 64 bits; nulls are ignored, and without values every percentile is null.
+    ``column`` may hold any integers of 64 bits; nulls are ignored, and without values every percentile is null. The values
+    are written to the shared folder once and read by three small jobs at the time of the call (their number, the sketch, the
+    ranks); the result holds the found numbers and depends on no table any more.
     """
-    # with the sign bit turned over, values order as unsigned numbers
-    level = (df.where(f"`{column}` IS NOT NULL").select(F.col(column).cast("bigint").bitwiseXOR(F.lit(_LOWEST)).alias("value"))
-             .groupBy("value").agg(F.count(F.lit(1)).alias("n")))
-    levels = [level]
-    for _ in range(3):
-        level = level.groupBy(F.shiftrightunsigned("value", _DIGIT).alias("value")).agg(F.sum("n").alias("n"))
-        levels.append(level)
-    # the ranks below and above each wanted position, and how far between them it lies
-    targets = ", ".join(
-        f"named_struct('name', '{name}', 'side', '{side}', 'k', CAST({rank}({p!r}D * (total - 1)) AS BIGINT), "
-        f"'share', {p!r}D * (total - 1) - floor({p!r}D * (total - 1)))"
-        for name, p in probs.items() for side, rank in (("lo", "floor"), ("hi", "ceil")))
-    found = levels[-1].agg(F.sum("n").alias("total")).selectExpr(f"inline(array({targets}))").withColumn("prefix", F.lit(0).cast("bigint"))
-    running = Window.partitionBy("name", "side").orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)
-    for step, level in enumerate(reversed(levels)):
-        # the first step has one prefix for all: Java shifts by 64 bits as by 0
-        prefix = F.lit(0).cast("bigint") if step == 0 else F.shiftrightunsigned("value", _DIGIT)
-        counts = level.select(prefix.alias("prefix"), F.col("value").alias("digit"), "n")
-        inside = counts.join(F.broadcast(found), "prefix")  # two rows per entry of probs
-        found = (inside.withColumn("below", F.sum("n").over(running) - F.col("n")).where("k >= below AND k < below + n")
-                 .select("name", "side", (F.col("k") - F.col("below")).alias("k"), "share", F.col("digit").alias("prefix")))
-    value = f"CAST(max(prefix ^ {_LOWEST + 1}L ^ 1L) FILTER (WHERE name = '{{}}' AND side = '{{}}') AS DOUBLE)"
-    return found.agg(*[F.expr(
-        f"{value.format(n, 'lo')} + ({value.format(n, 'hi')} - {value.format(n, 'lo')}) * max(share) FILTER (WHERE name = '{n}' AND side = 'lo') AS {n}"
-    ) for n in probs])
+    values = staged(df.where(F.col(column).isNotNull()).select(F.col(column).cast("bigint").alias("value")), "values")
+    n, found = exact_values(values, lambda n: [f(p * (n - 1)) for p in probs.values() for f in (math.floor, math.ceil)], sketch, margin)
+
+    def at(p: float) -> float | None:
+        if not n:
+            return None
+        low, high = float(found[math.floor(p * (n - 1))]), float(found[math.ceil(p * (n - 1))])
+        return low + (high - low) * (p * (n - 1) - math.floor(p * (n - 1)))
+
+    return df.sparkSession.range(1).select(*[F.lit(at(p)).cast("double").alias(name) for name, p in probs.items()])
 
 
 def percentile_tiers(df: DataFrame, column: str, probs: Mapping[str, float], cuts: DataFrame | None = None,

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import ratio, total_use
+from tallyforge.stages import staged
 
 
 def _digest(*parts: Column) -> Column:
@@ -33,11 +34,12 @@ def positions(df: DataFrame, key: str, time: str, tie: Sequence[str] = (), name:
 
     Rows are numbered within each minute of a user, and the rows before that minute are added from counts
     per minute. So a very active user is spread over as many tasks as they have active minutes, and only the
-    counts of the minutes come together.
+    counts of the minutes come together. The last row of a minute has its count, so both read one shuffle.
     """
     rows = df.withColumn("__minute", F.date_trunc("minute", F.col(time)))
-    inside = rows.withColumn(name, F.row_number().over(Window.partitionBy(key, "__minute").orderBy(time, *tie)))
-    counts = rows.groupBy(key, "__minute").agg(F.count(F.lit(1)).alias("__n"))
+    minute = Window.partitionBy(key, "__minute")
+    inside = rows.withColumn(name, F.row_number().over(minute.orderBy(time, *tie)))
+    counts = inside.groupBy(key, "__minute").agg(F.max(name).alias("__n"))
     before = Window.partitionBy(key).orderBy("__minute").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(F.col(key).alias("__key"), F.col("__minute").alias("__from"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     on = F.col(key).eqNullSafe(F.col("__key")) & F.col("__minute").eqNullSafe(F.col("__from"))
@@ -45,8 +47,11 @@ def positions(df: DataFrame, key: str, time: str, tie: Sequence[str] = (), name:
 
 
 def baskets(df: DataFrame, key: str = "account_id", item: str = "product_name") -> DataFrame:
-    """Sets of items that users hold, one row per set and item: smallest user, users, items (of the set), item."""
-    pairs = df.where(F.col(item).isNotNull()).select(key, item).distinct()
+    """Sets of items that users hold, one row per set and item: smallest user, users, items (of the set), item.
+
+    The users' items are written to the shared folder once, for the groups and for their items.
+    """
+    pairs = staged(df.where(F.col(item).isNotNull()).select(key, item).distinct(), "baskets")
     return _groups(pairs, key, "items", F.col(item)).join(pairs, key).select(key, "users", "items", item)
 
 
@@ -58,9 +63,10 @@ def path_items(df: DataFrame, key: str, time: str, tie: Sequence[str], item: str
 def purchase_path(df: DataFrame, key: str = "account_id", time: str = "time", tie: Sequence[str] = ("transaction_id", "product_id"),
                   item: str = "product_name") -> DataFrame:
     """Orders in which users got their items, one row per path and position: smallest user, users, steps (of the path),
-    position, item. Rows of one instant are ordered by ``tie``; rows without an item are no step."""
+    position, item. Rows of one instant are ordered by ``tie``; rows without an item are no step. All users' steps are written to
+    the shared folder once, for the groups and for their items."""
     rows = df.where(F.col(item).isNotNull()).select(*dict.fromkeys([key, time, *tie, item]))
-    steps = path_items(rows, key, time, tie, item)
+    steps = staged(path_items(rows, key, time, tie, item), "paths")
     return _groups(steps, key, "steps", F.col("position"), F.col(item)).join(steps, key).select(key, "users", "steps", "position", item)
 
 

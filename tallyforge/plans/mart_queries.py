@@ -338,18 +338,14 @@ eq AS (SELECT account_id, part, itemid, category, sub_category, name, tier, coal
 """
 
 
-def _equipped(t, cuts):
+def _inventory(t):
     cash = _cash(t).where(F.col("date").between(CASH_START, DAY))
-    cuts = cuts if cuts is not None else marts.spend_cuts(cash)
-    users = marts.spender_users(t.snapshot, t.regions, cash, "1998-01-25", cuts)
-    return marts.equipped_items(t.inventory, t.parts, t.part_names, users, "1998-01-25"), cuts
+    return marts.InventoryReports(t.snapshot, t.regions, cash, t.inventory, t.parts, t.part_names, "1998-01-25")
 
 
 @query("mart_spender_tiers", INVENTORY + "SELECT region, tier, count(*) AS users FROM us GROUP BY 1, 2")
 def mart_spender_tiers(t):
-    cash = _cash(t).where(F.col("date").between(CASH_START, DAY))
-    users = marts.spender_users(t.snapshot, t.regions, cash, "1998-01-25")
-    return users.groupBy("region", "tier").agg(F.count(F.lit(1)).alias("users"))
+    return _inventory(t).users().groupBy("region", "tier").agg(F.count(F.lit(1)).alias("users"))
 
 
 @query("mart_item_users", INVENTORY + """
@@ -359,9 +355,7 @@ SELECT * FROM (
   UNION ALL SELECT region, tier, category, 'total', count(DISTINCT account_id) FROM eq GROUP BY 1, 2, 3
   UNION ALL SELECT region, tier, 'total', 'total', count(DISTINCT account_id) FROM eq GROUP BY 1, 2), c""")
 def mart_item_users(t):
-    equipped, cuts = _equipped(t, None)
-    out = marts.item_users(equipped, cuts)
-    return out.withColumns({p: F.round(p, 2) for p in marts.SPEND_PERCENTILES})
+    return _inventory(t).item_users().withColumns({p: F.round(p, 2) for p in marts.SPEND_PERCENTILES})
 
 
 @query("top50_by_group", INVENTORY + """
@@ -370,17 +364,33 @@ SELECT region, tier, category, sub_category, part, name, itemid, equip_count FRO
   FROM (SELECT region, tier, category, sub_category, part, name, itemid, count(*) AS equip_count FROM eq GROUP BY 1, 2, 3, 4, 5, 6, 7))
 WHERE rn <= 50""")
 def top50_by_group(t):
-    return marts.top_items(_equipped(t, None)[0])
+    return _inventory(t).top_items()
 
 
 @query("top50_report", INVENTORY + f"""
 SELECT region, tier, category, sub_category, part, name, itemid, equip_count, DATE '1998-01-25' AS start_date, DATE '{DAY}' AS end_date,
-  'pc' AS device, split_part(itemid, '.', 1) AS item_prefix FROM (
+  'pc' AS device, 'itemdesc.' || itemid AS item_id FROM (
   SELECT *, row_number() OVER (PARTITION BY region, tier, category ORDER BY equip_count DESC, part, itemid) AS rn
   FROM (SELECT region, tier, category, sub_category, part, name, itemid, count(*) AS equip_count FROM eq GROUP BY 1, 2, 3, 4, 5, 6, 7))
 WHERE rn <= 50""")
 def top50_report(t):
-    return marts.top_items_report(_equipped(t, None)[0], "1998-01-25", DAY, "pc")
+    return _inventory(t).top_items_report(DAY, "pc")
+
+
+@query("inventory_reports", INVENTORY + """
+, us_n AS (SELECT 'users' AS report, region, tier, count(*) AS n FROM us GROUP BY 2, 3),
+parts_n AS (SELECT 'equipped' AS report, region, tier, count(*) AS n FROM (SELECT DISTINCT region, tier, account_id, part, itemid FROM eq) GROUP BY 2, 3),
+top_n AS (SELECT 'top' AS report, region, tier, count(*) AS n FROM (
+  SELECT *, row_number() OVER (PARTITION BY region, tier, category ORDER BY equip_count DESC, part, itemid) AS rn
+  FROM (SELECT region, tier, category, sub_category, part, name, itemid, count(*) AS equip_count FROM eq GROUP BY 1, 2, 3, 4, 5, 6, 7))
+  WHERE rn <= 50 GROUP BY 2, 3)
+SELECT * FROM us_n UNION ALL SELECT * FROM parts_n UNION ALL SELECT * FROM top_n""")
+def inventory_reports(t):
+    """Rows of all three results by region and tier, from one plan object whose stages are made once."""
+    reports = _inventory(t)
+    results = {"users": reports.users(), "equipped": reports.equipped.select("region", "tier", "account_id", "part", "itemid").distinct(), "top": reports.top_items()}
+    counted = [df.groupBy("region", "tier").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("report"), "region", "tier", "n") for name, df in results.items()]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
 
 
 @query("inventory_flattened", """

@@ -8,6 +8,7 @@ row per user and group before they meet the user table, so no join carries raw f
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from tallyforge.functions.periods import as_date, period_start
 from tallyforge.operators import joins
 from tallyforge.operators.levels import label_after, people_and_sums, top_n
 from tallyforge.operators.quantile import exact_percentiles, percentile_tiers
+from tallyforge.stages import Stages
 
 # Fixed values the marts are defined by.
 USER_DIMS = ["device", "platform", "region", "membership"]
@@ -25,6 +27,7 @@ TOTAL = "total"
 ACTIVE_WINDOWS = {"w-01": 6, "w-02": 13, "w-04": 27, "w-08": 55, "w-12": 83}
 EXPIRY_EDGES = [(1, "0"), (7, "[1-7)"), (30, "[7-30)"), (90, "[30-90)"), (180, "[90-180)")]
 EXPIRY_ABOVE = "[180-inf)"
+ITEM_PREFIX = "itemdesc."
 SPEND_PERCENTILES = {"p20": 0.20, "p50": 0.50, "p80": 0.80, "p95": 0.95}
 
 
@@ -266,9 +269,12 @@ def overview(snapshot: DataFrame, regions: DataFrame, coin: DataFrame, first_use
     ).withColumn("date", as_date(day))
 
 
-def spender_users(snapshot: DataFrame, regions: DataFrame, cash: DataFrame, start: str, cuts: DataFrame | None = None) -> DataFrame:
-    """Active users with region and spender tier; users without spend form a tier of their own."""
-    spend = cash.groupBy("account_id").agg(F.sum("revenue").alias("spend"))
+def spend_per_user(cash: DataFrame) -> DataFrame:
+    return cash.groupBy("account_id").agg(F.sum("revenue").alias("spend"))
+
+
+def spender_users(snapshot: DataFrame, regions: DataFrame, spend: DataFrame, start: str, cuts: DataFrame | None = None) -> DataFrame:
+    """Active users with region and spender tier; users without ``spend`` (account_id, spend) form a tier of their own."""
     tiers = percentile_tiers(spend, "spend", SPEND_PERCENTILES, cuts, "tier")
     users = joins.with_region(joins.with_country(
         snapshot.where((F.col("server_type") == "LIVE") & (F.col("last_login") >= as_date(start)))), regions)
@@ -276,10 +282,6 @@ def spender_users(snapshot: DataFrame, regions: DataFrame, cash: DataFrame, star
             .withColumn("tier", F.coalesce("tier", F.lit("non_pu"))).distinct())
 
 
-def spend_cuts(cash: DataFrame) -> DataFrame:
-    return exact_percentiles(cash.groupBy("account_id").agg(F.sum("revenue").alias("spend")), "spend", SPEND_PERCENTILES)
-
-
 def equipped_items(inventory: DataFrame, parts: DataFrame, names: DataFrame, users: DataFrame, start: str) -> DataFrame:
     """Items worn by users whose inventory changed since ``start``: one row per user, part and item, with a count."""
     worn = (inventory.where(F.col("date_updated") >= as_date(start))
@@ -308,7 +310,44 @@ def top_items(equipped: DataFrame, n: int = 50) -> DataFrame:
 
 
 def top_items_report(equipped: DataFrame, start: str, end: str, device: str, n: int = 50) -> DataFrame:
-    """The same with the report's period and device, and the item's prefix."""
+    """The same with the report's period and device, and the item's full id."""
     return top_items(equipped, n).withColumns({
         "start_date": as_date(start), "end_date": as_date(end), "device": F.lit(device),
-        "item_prefix": F.substring_index("itemid", ".", 1)})
+        "item_id": F.concat(F.lit(ITEM_PREFIX), F.col("itemid"))})
+
+
+class InventoryReports:
+    """All results of the weekly inventory: users by tier, users by part, most equipped items.
+
+    The spend per user and the equipped items are stages: each is computed once, by the first result that needs it, and
+    read from the shared folder by all of them. The percentiles are found once on the stage.
+    """
+
+    def __init__(self, snapshot: DataFrame, regions: DataFrame, cash: DataFrame, inventory: DataFrame, parts: DataFrame, names: DataFrame, start: str):
+        self.snapshot, self.regions, self.cash, self.start = snapshot, regions, cash, start
+        self.inventory, self.parts, self.names = inventory, parts, names
+        self.stages = Stages()
+
+    @cached_property
+    def spend(self) -> DataFrame:
+        return self.stages.once("spend", lambda: spend_per_user(self.cash))
+
+    @cached_property
+    def cuts(self) -> DataFrame:
+        return exact_percentiles(self.spend, "spend", SPEND_PERCENTILES)
+
+    def users(self) -> DataFrame:
+        return spender_users(self.snapshot, self.regions, self.spend, self.start, self.cuts)
+
+    @cached_property
+    def equipped(self) -> DataFrame:
+        return self.stages.once("equipped", lambda: equipped_items(self.inventory, self.parts, self.names, self.users(), self.start))
+
+    def item_users(self) -> DataFrame:
+        return item_users(self.equipped, self.cuts)
+
+    def top_items(self, n: int = 50) -> DataFrame:
+        return top_items(self.equipped, n)
+
+    def top_items_report(self, end: str, device: str, n: int = 50) -> DataFrame:
+        return top_items_report(self.equipped, self.start, end, device, n)

@@ -123,8 +123,8 @@ m1 AS (SELECT *, 'M-1' AS segment FROM free WHERE account_id NOT IN (SELECT acco
 """
 
 
-def _free(t):
-    segs = _segments(t)[0]
+def _free(t, segs=None):
+    segs = _segments(t)[0] if segs is None else segs
     return segment.free_segment(
         {"free_pass": t.pass_status.where("status = 'active'"),
          "event_crate": t.workshop_log.where("action = 'open' AND item_id = 'part.7'")},
@@ -161,8 +161,9 @@ SELECT account_id, segment, total_use, level_ups, coalesce(owner_group, 'N') AS
 FROM stacked FULL JOIN grp USING (account_id) LEFT JOIN levels USING (account_id) LEFT JOIN main USING (account_id)""")
 def combined_profiles(t):
     levels = t.pass_status.groupBy("account_id").agg(F.max("level").alias("max_level"))
+    segs = t.stage("segments", lambda: _segments(t)[0].select("account_id", "segment", "total_use", "level_ups", "has_pass"))
     return segment.combine_profiles(
-        [_segments(t)[0].select("account_id", "segment", "total_use", "level_ups"), _free(t).select("account_id", "segment").distinct()],
+        [segs.drop("has_pass"), _free(t, segs).select("account_id", "segment").distinct()],
         segment.owner_groups(owned(t), SHORT), [levels], segment.main_category(t.sales, "event_type"))
 
 

@@ -8,11 +8,14 @@ are exact integers in any engine and any order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.stages import Stages
+
 # Fixed values of the mapping, shared by the Spark frames and the SQL text.
 TODAY = "1998-01-01"          # reporting day of the ledger and snapshots
 FIRST_START = "1996-01-01"    # start of every product's first price version
@@ -27,12 +30,17 @@ class Model:
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
+        self._stages = Stages()
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
         return self._tables[name]
 
+    def stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A common stage of this model's queries, computed once."""
+        return self._stages.once(name, build)
+
     def _joined(self, left: str, right: str, left_key: str, right_key: str) -> DataFrame:
         return self.table(left).join(self.table(right), F.expr(f"{left_key} = {right_key}"))
 

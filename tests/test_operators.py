@@ -36,6 +36,42 @@ def test_percentiles_of_any_64_bits(spark, values):
     assert list(got) == [float(v[0]), pytest.approx(middle), float(v[-1])]
 
 
+@pytest.mark.parametrize("sketch, margin, most", [(8, 0.0, 4_000_000), (8, 0.001, 4_000_000), (16, 0.02, 5), (4096, None, 4_000_000)])
+def test_percentiles_of_values_that_fool_the_sketch(spark, sketch, margin, most):
+    """Too small a sketch or bracket, nearly all values alike, gaps, and brackets that hold too much at first."""
+    from tallyforge.operators.quantile import exact_values
+
+    shapes = {"powers": "shiftleft(1L, CAST(id % 62 AS INT))"} if margin == 0.001 else {"alike": "CASE WHEN id % 997 = 0 THEN id * id ELSE 5 END", "gap": "CASE WHEN id < 1499 THEN id - 4000000000000 ELSE id * 4000000000 END"}
+    for shape in shapes.values():
+        values = spark.range(3000, numPartitions=6).selectExpr(f"{shape} AS value")
+        want = sorted(r.value for r in values.collect())
+        ranks = [0, 1, 599, 600, 1498, 1499, 1500, 2849, 2999]
+        n, found = exact_values(values, lambda n: ranks, sketch, margin, most)
+        assert n == 3000 and found == {k: want[k] for k in ranks}, shape
+
+
+def test_percentile_passes_are_small(spark):
+    """The ranks' pass groups by region and inside value only, in one aggregate and one run over its result."""
+    from tallyforge.operators import quantile
+
+    df = spark.range(10_000).selectExpr("id * 7 AS v")
+    plans = []
+    real = quantile._ranked
+
+    def watched(values, brackets, ranks):
+        assert len(brackets) <= 2 and values.columns == ["value"] and values.where("value between -1 and 1").count() == 1
+        plans.append(values._jdf.queryExecution().executedPlan().toString())
+        return real(values, brackets, ranks)
+
+    quantile._ranked = watched
+    try:
+        out = exact_percentiles(df, "v", {"a": 0.25, "b": 0.9})
+    finally:
+        quantile._ranked = real
+    assert list(out.first()) == pytest.approx([17498.25, 62993.7]) and len(plans) == 1 and "Exchange" not in plans[0]
+    assert "Scan parquet" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_percentiles_of_nothing(spark):
     assert list(exact_percentiles(spark.createDataFrame([(None,)], "v bigint"), "v", {"a": 0.5}).first()) == [None]
 
