@@ -76,22 +76,22 @@ def _ranked(values: DataFrame, brackets: Sequence[Bracket], ranks: Sequence[int]
     return {k: next((r.region, r.value) for r in rows if r.before <= k < r.upto) for k in ranks}
 
 
-def exact_values(values: DataFrame, ranks_of, sketch: int = SKETCH, margin: float | None = None, most: int = MOST_INSIDE) -> tuple[int, dict[int, int]]:
-    """The number of rows of ``values`` (value, no nulls) and the value at each rank (from 0) that ``ranks_of(number)`` names.
+def _ranks(p: float, n: int) -> tuple[int, int]:
+    """The ranks (from 0) below and above a share of ``n`` rows."""
+    return math.floor(p * (n - 1)), math.ceil(p * (n - 1))
+
+
+def exact_values(values: DataFrame, probs: Sequence[float], sketch: int = SKETCH, margin: float | None = None, most: int = MOST_INSIDE) -> tuple[int, dict[int, int]]:
+    """The number of rows of ``values`` (value, no nulls) and the values at the ranks below and above each share.
 
     ``margin`` is the half width of a first bracket as a share of all rows, by default several times the sketch's error.
     """
     margin = 10 / sketch ** 0.9 if margin is None else margin
-    whole = (_LOWEST, _HIGHEST)
-    n = values.count()
-    ranks = sorted(set(ranks_of(n))) if n else []
-    if not ranks:
-        return n, {}
-
-    def around(below: int, inside: int) -> list[tuple[float, float]]:
-        return [((k - below) / inside - margin, (k - below) / inside + margin) for k in ranks]
-
-    brackets = dict(zip(ranks, _sketched(values, whole, around(0, n), sketch)[2]))
+    _, n, first = _sketched(values, (_LOWEST, _HIGHEST), [(p - margin, p + margin) for p in probs], sketch)
+    if not n:
+        return 0, {}
+    brackets = {k: bracket for p, bracket in zip(probs, first) for k in _ranks(p, n)}
+    ranks = sorted(brackets)
     expected = 2 * margin * n
     while expected > most and margin < 0.25:  # narrow each bracket by a sketch of its inside
         for k in ranks:
@@ -115,20 +115,20 @@ def exact_values(values: DataFrame, ranks_of, sketch: int = SKETCH, margin: floa
     return n, found
 
 
-def exact_percentiles(df: DataFrame, column: str, probs: Mapping[str, float], sketch: int = SKETCH, margin: float | None = None) -> DataFrame:
+def exact_percentiles(df: DataFrame, column: str, probs: Mapping[str, float], sketch: int = SKETCH, margin: float | None = None, stage: bool = True) -> DataFrame:
     """One row with a double per entry of ``probs``, linearly interpolated between ranks.
 
     ``column`` may hold any integers of 64 bits; nulls are ignored, and without values every percentile is null. The values
-    are written to the shared folder once and read by three small jobs at the time of the call (their number, the sketch, the
-    ranks); the result holds the found numbers and depends on no table any more.
+    are written to the shared folder once (unless ``stage`` is false, for a frame that is a stage already) and read by two small
+    jobs at the time of the call, for the sketch and for the ranks; the result holds the found numbers and reads no table.
     """
-    values = staged(df.where(F.col(column).isNotNull()).select(F.col(column).cast("bigint").alias("value")), "values")
-    n, found = exact_values(values, lambda n: [f(p * (n - 1)) for p in probs.values() for f in (math.floor, math.ceil)], sketch, margin)
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("bigint").alias("value"))
+    n, found = exact_values(staged(values, "values") if stage else values, list(probs.values()), sketch, margin)
 
     def at(p: float) -> float | None:
         if not n:
             return None
-        low, high = float(found[math.floor(p * (n - 1))]), float(found[math.ceil(p * (n - 1))])
+        low, high = (float(found[k]) for k in _ranks(p, n))
         return low + (high - low) * (p * (n - 1) - math.floor(p * (n - 1)))
 
     return df.sparkSession.range(1).select(*[F.lit(at(p)).cast("double").alias(name) for name, p in probs.items()])

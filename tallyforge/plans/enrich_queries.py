@@ -281,5 +281,6 @@ SELECT CASE WHEN spend <= p20 THEN '<=20' WHEN spend <= p50 THEN '<=50' WHEN spe
   ELSE '>95' END AS tier, count(*) AS users, CAST(sum(spend) AS BIGINT) AS spend FROM spend, cuts GROUP BY 1""")
 def tiers(t):
     spend = t.stage("spend", lambda: t.purchases.groupBy("account_id").agg(F.sum("price").alias("spend")))
-    return percentile_tiers(spend, "spend", TIERS).groupBy("tier").agg(
+    cuts = exact_percentiles(spend, "spend", TIERS, stage=False)
+    return percentile_tiers(spend, "spend", TIERS, cuts).groupBy("tier").agg(
         F.count(F.lit(1)).alias("users"), F.sum("spend").alias("spend"))

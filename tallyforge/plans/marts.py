@@ -334,7 +334,7 @@ class InventoryReports:
 
     @cached_property
     def cuts(self) -> DataFrame:
-        return exact_percentiles(self.spend, "spend", SPEND_PERCENTILES)
+        return exact_percentiles(self.spend, "spend", SPEND_PERCENTILES, stage=False)
 
     def users(self) -> DataFrame:
         return spender_users(self.snapshot, self.regions, self.spend, self.start, self.cuts)
