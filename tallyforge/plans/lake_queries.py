@@ -8,6 +8,7 @@ from tallyforge.operators.levels import people_and_sums
 from tallyforge.plans.registry import query
 from tallyforge.session import fresh_path
 from tallyforge.sinks import tables
+from tallyforge.sinks.versioned import VersionedTable
 from tallyforge.sources import lake
 from tallyforge.sources.dims import read_csv, read_descriptions
 
@@ -57,6 +58,30 @@ def missing_days(t):
     return lake.missing_days(gappy, START, "2024-02-03", by=["event_type"])
 
 
+@query("missing_days_listed", f"""
+, l AS (SELECT * FROM log WHERE NOT (event_type = 'error' AND date = DATE '{START}')),
+d AS (SELECT CAST(x AS DATE) AS date FROM unnest(generate_series(TIMESTAMP '{START}', TIMESTAMP '2024-02-03', INTERVAL 1 DAY)) u(x))
+SELECT event_type, date FROM (SELECT DISTINCT event_type FROM l) g, d
+WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.event_type = g.event_type AND l.date = d.date)""")
+def missing_days_listed(t):
+    """The same from a lake table's folders alone."""
+    path = fresh_path(t.spark, "gappy")
+    tables.overwrite_partitions(t.log.where(f"NOT (event_type = 'error' AND date = DATE '{START}')"), path, ["event_type", "date"])
+    return lake.missing_listed_days(t.spark, path, ["event_type", "date"], START, "2024-02-03", by=["event_type"])
+
+
+NULL_IDS_SQL = """
+SELECT date, count(*) AS rows FROM purchases WHERE date >= DATE '1995-01-01' AND sales_id IS NULL GROUP BY 1"""
+
+
+@query("null_report_in_pass", NULL_IDS_SQL)
+def null_report_in_pass(t):
+    """The null report of the rows that another job writes, taken in that job."""
+    rows, seen = lake.null_report(t.purchases, "sales_id", "1995-01-01")
+    tables.rebuild(rows, fresh_path(t.spark, "gated"))
+    return lake.days_with_nulls(t.spark, seen)
+
+
 @query("null_sales_ids", """
 SELECT date, count(*) AS rows FROM purchases WHERE date >= DATE '2000-01-01' AND sales_id IS NULL GROUP BY 1""")
 def null_sales_ids(t):
@@ -107,6 +132,23 @@ def rerun_with_empty_day(t):
     return _by_day(lake.lake_table(t.spark, path))
 
 
+@query("rerun_by_switch", f"""
+, l AS (SELECT * FROM log WHERE NOT (event_type = 'view' AND date = DATE '{START}'))
+SELECT event_type AS kind, date, count(*) AS rows, CAST(sum(cents) AS BIGINT) AS cents FROM l WHERE event_type <> 'error' GROUP BY 1, 2
+UNION ALL SELECT NULL, date, count(*), CAST(sum(cents) AS BIGINT) FROM l WHERE event_type = 'error' GROUP BY 2""")
+def rerun_by_switch(t):
+    """Wrong days replaced at once, then one slice again and one by nothing, each by a switch of manifests; old runs are removed."""
+    log = t.log.withColumn("kind", F.when(F.col("event_type") != "error", F.col("event_type"))).select("event_id", "cents", "kind", "date")
+    table = VersionedTable(t.spark, fresh_path(t.spark, "switched"), log.schema, ["kind", "date"])
+    redo = F.col("date").between(START, END)
+    table.replace(log.withColumn("cents", F.when(redo, F.col("cents") + 1).otherwise(F.col("cents"))))
+    table.replace(log.where(redo))
+    table.replace_slice(log.where(f"kind IS NULL AND date = DATE '{END}'"), {"kind": None, "date": END})
+    table.replace_slice(log.where("false"), {"kind": "view", "date": START})
+    table.remove_old()
+    return table.read().groupBy("kind", "date").agg(F.count(F.lit(1)).alias("rows"), F.sum("cents").alias("cents"))
+
+
 @query("append_then_rebuild", "SELECT date, 2 * count(*) AS rows FROM log GROUP BY 1")
 def append_then_rebuild(t):
     """Appending twice doubles the rows; a rebuild starts over."""

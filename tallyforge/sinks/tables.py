@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyforge.sources import folders
+
 
 def _even(df: DataFrame, *keys: str) -> DataFrame:
     """Output files of even size: small partitions are merged, large ones split, whatever their key."""
@@ -26,29 +28,26 @@ def overwrite_slice(df: DataFrame, path: str, keys: Mapping[str, object]) -> Non
 
     ``keys`` are the partition columns in the table's order, such as device and date, or
     device and end_date for a period table. Any text and null may be a key. The partition
-    is replaced when the job commits; an empty run clears it after it has succeeded.
+    is replaced when the job commits; the job itself counts its rows, and an empty run clears the
+    partition's folder after it has succeeded. Where readers must never see a step in between, see
+    ``versioned.VersionedTable``.
     """
-    values = {k: F.lit(None if v is None else str(v)).cast("string") for k, v in keys.items()}
-    rows = df.drop(*keys).withColumns(values)
-    before = _files(df.sparkSession, path, rows.schema, values)
+    text = {k: None if v is None else str(v) for k, v in keys.items()}
+    counted = Observation("slice")
+    rows = df.drop(*keys).withColumns({k: F.lit(v).cast("string") for k, v in text.items()}).observe(counted, F.count(F.lit(1)).alias("n"))
     overwrite_partitions(rows, path, list(keys))
-    if before and _files(df.sparkSession, path, rows.schema, values) == before:  # the run had no row
-        for folder in {f.rsplit("/", 1)[0] for f in before}:
-            where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.sparkSession._jvm.java.net.URI(folder))
-            where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+    if not _observed_rows(counted):
+        wanted = [v or None for v in text.values()]
+        for folder, values in list(folders.partitions(df.sparkSession, path, list(keys))):
+            if values == wanted:
+                folders.delete(df.sparkSession, f"{path.rstrip('/')}/{folder}")
 
 
-def _files(spark: SparkSession, path: str, schema: T.StructType, values: Mapping[str, Column]) -> set[str]:
-    """The files of one partition, as Spark finds them; every write gives them new names."""
+def _observed_rows(counted: Observation) -> int:
     try:
-        table = spark.read.schema(schema).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return set()
-        raise
-    for k, v in values.items():
-        table = table.where(F.col(k).eqNullSafe(v))
-    return {r.file_path for r in table.select("_metadata.file_path").distinct().collect()}
+        return counted.get["n"]
+    except Py4JJavaError:  # a plan that Spark knows to be empty beforehand runs without its metrics
+        return 0
 
 
 def append(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:

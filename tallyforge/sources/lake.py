@@ -11,11 +11,12 @@ import warnings
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyforge.functions.periods import as_date
+from tallyforge.sources import folders
 
 
 def lake_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None, merge_schema: bool = False,
@@ -39,19 +40,51 @@ def lake_table(spark: SparkSession, path: str, schema: T.StructType | str | None
         raise
 
 
+#: A parquet file without rows is no larger than its footer; only files up to this size are looked at whole.
+EMPTY_FILE_BYTES = 16 << 20
+
+
 def files_left_out(spark: SparkSession, path: str, schema: T.StructType | str, day: str = "date") -> DataFrame:
-    """What ``skip_unreadable`` leaves out: partition day (as text) and file of every data file that gives no row."""
-    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.col("path").alias("file"))
+    """What ``skip_unreadable`` leaves out: partition day (as text) and file of every data file that cannot be read.
+
+    The listed files are compared with the files that give rows, for which Spark reads no column and so nothing but footers. Of the few
+    that give none, small ones are opened by the tasks to tell a valid file without rows from a damaged one.
+    """
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.col("path").alias("file"), "length")
               .where(~F.regexp_extract("file", "([^/]*)$", 1).rlike("^[_.]")))
     read = lake_table(spark, path, schema, skip_unreadable=True).select(F.col("_metadata.file_path").alias("file")).distinct()
 
     def same(c):
         return F.regexp_replace(F.url_decode(c), "^file:/+", "/")
 
-    out = listed.withColumn("__f", same("file")).join(read.select(same("file").alias("__f")), "__f", "left_anti")
+    silent = listed.withColumn("__f", same("file")).join(read.select(same("file").alias("__f")), "__f", "left_anti").select("file", "__f")
+    small = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where(F.col("length") <= EMPTY_FILE_BYTES)
+             .withColumn("__f", same("path")).join(F.broadcast(silent.select("__f")) if _few(silent) else silent.select("__f"), "__f", "left_semi"))
+    valid = small.select("__f", "content").mapInArrow(_valid_files, "__f string")
+    out = silent.join(valid, "__f", "left_anti")
     return out.select(F.regexp_extract("file", f"/{day}=([^/]*)/", 1).alias(day), "file")
 
 
+def _few(df: DataFrame, most: int = 1000) -> bool:
+    return df.limit(most + 1).count() <= most
+
+
+def _valid_files(batches):
+    """Names of the files whose footers can be read."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for batch in batches:
+        good = []
+        for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            try:
+                pq.read_metadata(pa.BufferReader(content.as_buffer()))
+                good.append(name)
+            except (pa.ArrowException, OSError):
+                pass
+        yield pa.RecordBatch.from_arrays([pa.array(good, pa.string())], names=["__f"])
+
+
 def flatten(df: DataFrame, **columns: str) -> DataFrame:
     """Columns picked from nested structs by dotted name, e.g. ``map="common.mapname"``; only these are read."""
     return df.select(*[F.col(path).alias(name) for name, path in columns.items()])
@@ -101,6 +134,18 @@ def missing_days(df: DataFrame, start: str, end: str, day: str = "date", by: Seq
     return wanted.join(found, [*by, day], "left_anti")
 
 
+def listed_partitions(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The partitions of a table (columns ``keys`` as text) that hold a data file, from the folders' names; no data file is opened."""
+    found = [tuple(values) for _, values in folders.partitions(spark, path, keys)]
+    return spark.createDataFrame(found, T.StructType([T.StructField(k, T.StringType()) for k in keys]))
+
+
+def missing_listed_days(spark: SparkSession, path: str, keys: Sequence[str], start: str, end: str, day: str = "date", by: Sequence[str] = ()) -> DataFrame:
+    """``missing_days`` of a table in a folder, from the listing of its partitions ``keys`` (which include the day) alone."""
+    found = listed_partitions(spark, path, keys).withColumn(day, F.col(day).cast("date"))
+    return missing_days(found, start, end, day, by)
+
+
 def with_day_policy(df: DataFrame, start: str, end: str, policy: str = "warn", day: str = "date") -> DataFrame:
     """The day range under a missing-day policy.
 
@@ -134,3 +179,24 @@ def require_key(df: DataFrame, key: str, since: str, day: str = "date") -> DataF
     bad = (F.col(day) >= as_date(since)) & F.col(key).isNull()
     fail = F.raise_error(F.concat(F.lit(f"null {key} on "), F.col(day).cast("string")))
     return df.withColumn(key, F.when(bad, fail.cast(df.schema[key].dataType)).otherwise(F.col(key)))
+
+
+def null_report(df: DataFrame, key: str, since: str, day: str = "date", most_days: int = 10_000) -> tuple[DataFrame, Observation]:
+    """``df`` and the number of its rows and of null keys per day on or after a cut-off day, taken while ``df`` is used.
+
+    The first action over the frame fills the observation; there is no pass of its own. ``days_with_nulls`` reads it. The
+    counts per day come from a mergeable summary, which is exact up to ``most_days`` days with nulls.
+    """
+    bad = (F.col(day) >= as_date(since)) & F.col(key).isNull()
+    observation = Observation(f"null {key}")
+    tracked = 1 << (4 * most_days // 3).bit_length()
+    days_seen = f"approx_top_k(CASE WHEN `{day}` >= DATE '{since}' AND `{key}` IS NULL THEN `{day}` END, {most_days}, {max(tracked, most_days)})"
+    return df.observe(observation, F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("nulls"), F.expr(days_seen).alias("days")), observation
+
+
+def days_with_nulls(spark: SparkSession, observation: Observation, day: str = "date") -> DataFrame:
+    """(day, rows): the rows without a key per day, as observed by a job that has run."""
+    seen = [(r["item"], r["count"]) for r in observation.get["days"] if r["item"] is not None]
+    if sum(n for _, n in seen) != observation.get["nulls"]:
+        raise ValueError("more days with null keys than the summary can name")
+    return spark.createDataFrame(seen, T.StructType([T.StructField(day, T.DateType()), T.StructField("rows", T.LongType())]))
