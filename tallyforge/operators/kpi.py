@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import label_in, label_like, ratio, sign, total_use
 from tallyforge.functions.periods import as_date, week_bucket
-from tallyforge.operators.levels import people_and_sums, top_n
+from tallyforge.operators.levels import people_and_sums, rank_all, top_n
 from tallyforge.operators.skew import split_join
 
 
@@ -62,11 +62,11 @@ def product_rank(purchases: DataFrame, product: str = "product_name", key: str =
 def rank_in_day(purchases: DataFrame, products: DataFrame, n: int | None = None) -> DataFrame:
     """Products ranked by units within each day (ties by product id), with their names.
 
-    With ``n`` each task sends a day's first ``n`` only. Without it one task sorts all products sold on a day, at most
-    the catalogue.
+    With ``n`` each task sends a day's first ``n`` only. Without it a day's products are ranked over several tasks.
     """
     units = purchases.groupBy("date", "product_id").agg(F.sum("qty").alias("units"))
-    ranked = top_n(units, ["date"], [F.desc("units"), F.asc("product_id")], n)
+    order = [F.desc("units"), F.asc("product_id")]
+    ranked = rank_all(units, ["date"], order) if n is None else top_n(units, ["date"], order, n)
     return ranked.join(products.select("product_id", "product_name", "event_name").distinct(), "product_id")
 
 

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyforge.stages import staged
+
 _PICK = "__level"
 
 
@@ -93,7 +95,23 @@ def top_n(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int | No
     The limit is applied before the shuffle as well (Spark's window group limit),
     so a large group sends ``n`` rows per task and not all of them.
     """
-    from pyspark.sql import Window
-
     ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
     return ranked if n is None else ranked.where(F.col(name) <= n)
+
+
+def rank_all(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "rank", parts: int | None = None) -> DataFrame:
+    """``top_n`` without a limit for groups of any size: the same row numbers, and no window over a whole group.
+
+    The rows are range-partitioned by group and order, so a group that holds a third of all rows lies sorted over many tasks, and written
+    to the shared folder with their place, once. A row's number is its place in its part of the group plus the sizes of
+    the parts before; only those sizes, one per group and part, come together. ``order`` should leave no ties; rows that tie
+    wholly are numbered in any order. ``parts`` is the number of ranges, by default the session's number of shuffle partitions.
+    """
+    ranges = ([parts] if parts else []) + [F.col(c) for c in by] + list(order)
+    placed = staged(df.repartitionByRange(*ranges).sortWithinPartitions(*ranges[1 if parts else 0:]).withColumn("__at", F.monotonically_increasing_id()), "ranked")
+    placed = placed.withColumn("__part", F.shiftright("__at", 33))  # the task's number stands in the upper bits
+    sizes = placed.groupBy(*by, "__part").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("__part").alias("__of"), (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first") + 1).alias("__shift"))
+    on = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by] + [F.col("__part") == F.col("__of")]
+    return placed.join(offsets, on).select(*df.columns, (F.col("__at") + F.col("__shift")).cast("int").alias(name))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.columns import label_upto, ratio, total_use
 from tallyforge.operators.joins import exclude
-from tallyforge.operators.levels import people_and_sums, top_n
+from tallyforge.operators.levels import people_and_sums, rank_all, top_n
 
 # Spend tiers (upper edges included) and the label above the last edge.
 SPEND_EDGES = [(2000, "A"), (10000, "B"), (20000, "C"), (40000, "D")]
@@ -133,7 +133,8 @@ def rank_in_segment(segments: DataFrame, taken: DataFrame, by: Sequence[str], it
     per_user = taken.groupBy(key, item).agg(F.count(F.lit(1)).alias("takes"))
     counted = (per_user.join(segments.select(key, *by), key).groupBy(*by, item)
                .agg(F.sum("takes").alias("takes"), F.count(key).alias("users")))
-    return top_n(counted, by, [F.desc("takes"), F.asc(item)], n)
+    order = [F.desc("takes"), F.asc(item)]
+    return rank_all(counted, by, order) if n is None else top_n(counted, by, order, n)
 
 
 def override_both(owners: DataFrame, models: Sequence[str], label: str = "both", key: str = "account_id") -> DataFrame:

@@ -79,12 +79,37 @@ def gap_fill(grid: DataFrame, held: DataFrame, part: Sequence[str], order: str,
             .withColumn(col, F.last(col, ignorenulls=True).over(known)))
 
 
-def filled_from_first(grid: DataFrame, held: DataFrame, part: Sequence[str], order: str, col: str) -> DataFrame:
-    """``gap_fill`` of the grid ``from_first`` on, from one join with ``held``.
+def player_phases(log: DataFrame, items: DataFrame, grid: Sequence[Decimal], player: Sequence[str], cap: int = 2, time: str = "time") -> DataFrame:
+    """What each player holds in every phase from the first with an item to the player's end: player, end_phase, first_phase, phase, items.
 
-    Before the first phase in which something is held, the last known value is unknown; those phases are dropped.
+    The same as the steps above one after the other, from one read of the log and one shuffle by player. Events (deaths among
+    them) are counted per player, phase and item first; the counts, at most grid x catalogue per player, then lie with their player, where
+    running sums, sets, the look back and the fill need no further shuffle and no join. The grid is a constant array.
     """
-    return gap_fill(grid, held, part, order, col).where(F.col(col).isNotNull())
+    known = items.select("item_id", F.lit(True).alias("__known"))
+    death = F.col("kind") == "death"
+    tagged = log.where(F.col("kind").isin("equip", "unequip", "death")).join(known, "item_id", "left").where(death | F.col("__known"))
+    once = tagged.select(*player, "phase", F.when(~death, F.col("item_id")).alias("item_id"), F.when(~death, F.col(time)).alias(time), "kind").distinct()
+    counted = once.groupBy(*player, "phase", "item_id").agg(
+        (F.count_if(F.col("kind") == "equip") - F.count_if(F.col("kind") == "unequip")).alias("diff"), F.max(death).alias("died"))
+    rows = running_sum(counted.repartition(*player), [*player, "item_id"], "phase", ["diff"])
+    of_item = F.col("item_id").isNotNull()
+    held = rows.groupBy(*player, "phase").agg(
+        F.sort_array(F.collect_set(F.when(of_item & (F.col("diff") == 1), F.col("item_id")))).alias("held"),
+        F.sort_array(F.collect_set(F.when(of_item & (F.col("diff") == 0), F.col("item_id")))).alias("released"),
+        F.max(of_item).alias("logged"), F.max("died").alias("died"))
+    before = F.lag("held").over(Window.partitionBy(*player, "logged").orderBy("phase"))  # the last logged phase, deaths aside
+    kept = F.coalesce(F.array_except(before, F.col("released")), F.array().cast("array<string>"))
+    carried = F.array_sort(F.when(F.size("held") == cap, F.col("held")).otherwise(F.array_distinct(F.concat("held", kept))))
+    step = F.when(F.col("logged") & (F.size("items") > 0), F.struct("phase", "items"))
+    folded = held.withColumn("items", carried).groupBy(*player).agg(
+        F.sort_array(F.collect_list(step)).alias("steps"), F.max(F.when(F.col("died"), F.col("phase"))).alias("end_phase"))
+    all_phases = F.array(*[F.lit(str(p)).cast(PHASE) for p in grid])
+    first = F.col("steps")[0]["phase"]
+    lasting = folded.where((F.size("steps") > 0) & F.col("end_phase").isNotNull()).withColumn("first_phase", first)
+    spread = lasting.withColumn("phase", F.explode(F.filter(all_phases, lambda p: (p >= F.col("first_phase")) & (p <= F.col("end_phase")))))
+    latest = F.element_at(F.filter("steps", lambda s: s["phase"] <= F.col("phase")), -1)["items"]
+    return spread.select(*player, "end_phase", "phase", "first_phase", latest.alias("items"))
 
 
 def explode_count(filled: DataFrame, per: Sequence[str], attrs: DataFrame, on: Sequence[str], by: Sequence[str],

@@ -131,6 +131,12 @@ def gap_fill(t):
     return _plain(_filled(t))
 
 
+@query("player_phases", _sql("filled", "phase", "end_phase", "first_phase"))
+def player_phases(t):
+    """The whole chain as one fold per player."""
+    return _plain(state.player_phases(t.phase_log, _items(t), GRID, PLAYER))
+
+
 @query("held_by_phase", BASE + """
 , x AS (SELECT session_id, phase, unnest(items) AS item_id FROM filled),
 c AS (SELECT session_id, phase, item_id, count(*) AS players FROM x GROUP BY 1, 2, 3)
@@ -138,6 +144,6 @@ SELECT region, membership, CAST(phase AS DOUBLE) AS phase, c.item_id, item_name,
 FROM c JOIN users ON session_id = users.account_id JOIN items ON c.item_id = items.item_id GROUP BY 1, 2, 3, 4, 5, 6""")
 def held_by_phase(t):
     attrs = t.users.select(F.col("account_id").alias("session_id"), "region", "membership")
-    filled = state.filled_from_first(_grid(t), _kept(t), PLAYER, "phase", "items")
+    filled = state.player_phases(t.phase_log, _items(t), GRID, PLAYER)
     counted = state.explode_count(filled, ["session_id", "phase"], attrs, ["session_id"], ["region", "membership", "phase"])
     return _plain(counted.join(_items(t), "item_id"))

@@ -361,3 +361,43 @@ def test_live_campaign_by_device_and_second_range(frame):
     assert rows(joins.live_campaign(calendar, "2019-12-15", device="pc")) == []
     assert rows(joins.live_campaign(calendar, "2020-01-08", device="pc", more=more)) == []
     assert rows(joins.live_campaign(calendar, "2020-01-08", device="tv", more=more), "name") == [("y",)]
+
+
+def test_rank_all_equals_a_window(spark):
+    from pyspark.sql import Window
+
+    from tallyforge.operators.levels import rank_all
+
+    rows_in = [("hot", i * 7919 % 1000, i) for i in range(900)] + [(None, 5, i) for i in range(40)] + [(f"g{i % 9}", i, i) for i in range(60)]
+    df = spark.createDataFrame(rows_in, "g string, v bigint, id bigint").repartition(5)
+    order = [F.desc("v"), F.asc("id")]
+    got = rank_all(df, ["g"], order, parts=7)
+    want = df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+    assert got.dtypes == want.dtypes and rows(got) == rows(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window") and all("__part" in line for line in plan.splitlines() if "Window [" in line or "Window(" in line)
+    assert rank_all(df.limit(0), ["g"], order).collect() == []
+
+
+def test_a_hot_group_is_ranked_by_several_tasks(spark):
+    df = spark.range(20_000).selectExpr("'hot' AS g", "id * 7919 % 20011 AS v")
+    dealt = df.repartitionByRange(8, F.col("g"), F.desc("v")).groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) == 8 and max(r["count"] for r in dealt) < 20_000 / 3
+
+
+def test_player_phases_reads_the_log_once(frame):
+    from tallyforge.operators import state
+
+    import re
+
+    log = frame("s string, a string, time timestamp_ntz, phase string, item_id string, kind string",
+                ("s", "a", "2020-01-01 00:00:01", "1.0", "x", "equip"), ("s", "a", "2020-01-01 00:00:01", "1.0", "x", "equip"),
+                ("s", "a", "2020-01-01 00:00:02", "1.5", "y", "equip"), ("s", "a", "2020-01-01 00:00:03", "2.5", "x", "unequip"),
+                ("s", "a", "2020-01-01 00:00:04", "3.0", None, "death"), ("s", "a", "2020-01-01 00:00:04", "0.1", "odd", "equip"),
+                ("s", "none", "2020-01-01", "1.0", "x", "equip"), ("s", "late", "2020-01-01", "1.0", "q", "death"), ("s", "late", "2020-01-01", "2.0", "x", "equip")).withColumn("phase", F.col("phase").cast(state.PHASE))
+    items = frame("item_id string", ("x",), ("y",))
+    out = state.player_phases(log, items, state.phases(4.0), ["s", "a"])
+    assert rows(out, "a", "phase", "items") == [("a", 1.0, ["x"]), ("a", 1.5, ["x", "y"]), ("a", 2.0, ["x", "y"]), ("a", 2.5, ["y"]), ("a", 3.0, ["y"])]
+    assert rows(state.player_phases(log.limit(0), items, state.phases(4.0), ["s", "a"])) == []
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"hashpartitioning\(s#\d+, a#\d+, \d+\)", plan)) == 1 and plan.count("kind#") and "SortMergeJoin [s#" not in plan
