@@ -20,64 +20,59 @@ MIN_WORDS = 50
 _PRIME, _BASE = (1 << 127) - 1, 0x5851F42D4C957F2D14057B7EF767814F
 
 
-def run_windows(text: bytes, min_words: int, whole_runs: bool = False) -> list[tuple[int, int, int, int, bytes]]:
-    """(start, end, at, fingerprint, digest) of every window of ``text``.
-
-    A window starts at a line with a word and ends at the first line with which it has ``min_words`` words. With
-    ``whole_runs`` windows start at lines without a word too, and each line also ends one: from the last line with
-    which it has ``min_words`` words. A window's fingerprint is the least hash of its lines, the first of which is
-    line ``at``: wherever the window stands, the same line is selected. Time and memory are linear in the lines.
+def run_windows(text: bytes, min_words: int) -> list[tuple[int, int, int, int, bytes]]:
+    """(start, end, at, fingerprint, digest) of every window of ``text`` and of its extensions.
+
+    A window starts at a line with a word and ends at the first line with which it has ``min_words`` words. Its fingerprint is
+    the least hash of its lines, the first of which is line ``at``: wherever the window stands, the same line is selected.
+    A window is extended to the right by each further line before the next window's end, and to the left by each line
+    without words before it; an extension keeps its window's fingerprint. Beyond those lines the neighbouring window takes over, so
+    every run of ``min_words`` words or more is the union of windows and extensions that lie in it. Time and memory are
+    linear in the lines.
     """
     lines = text.split(b"\n")
     counts = [len(line.split()) for line in lines]
-    forward, backward, end, held = [], [], 0, 0
+    windows, end, held = [], 0, 0
     for start, own in enumerate(counts):
         while end < len(lines) and held < min_words:
             held += counts[end]
             end += 1
         if held < min_words:
             break
-        if own or whole_runs:
-            forward.append((start, end - 1))
+        if own:
+            windows.append((start, end - 1))
         held -= own
-    if not forward:
+    if not windows:
         return []
-    if whole_runs:
-        start = held = 0
-        for end, own in enumerate(counts):
-            held += own
-            while held - counts[start] >= min_words:
-                held -= counts[start]
-                start += 1
-            if held >= min_words:
-                backward.append((start, end))
     hashes = [xxhash.xxh3_128_intdigest(line) for line in lines]
-    sums, powers = [0], [1]  # a window's digest is a polynomial of its lines' hashes
+    sums, powers = [0], [1]  # a span's digest is a polynomial of its lines' hashes
     for h in hashes:
         sums.append((sums[-1] * _BASE + h + 1) % _PRIME)
         powers.append(powers[-1] * _BASE % _PRIME)
-    out = {}
-    for spans in (forward, backward):
-        least, reach = deque(), 0
-        for a, b in spans:
-            while reach <= b:
-                while least and hashes[least[-1]] > hashes[reach]:
-                    least.pop()
-                least.append(reach)
-                reach += 1
-            while least[0] < a:
-                least.popleft()
-            gram = (sums[b + 1] - sums[a] * powers[b + 1 - a]) % _PRIME
-            out[a, b] = (a, b, least[0], (hashes[least[0]] >> 64) - (1 << 63), gram.to_bytes(16, "big"))
-    return list(out.values())
-
-
-def _windows(docs: DataFrame, min_words: int, whole_runs: bool) -> DataFrame:
+    out, least, reach = [], deque(), 0
+    for (a, b), (_, stop) in zip(windows, [*windows[1:], (0, len(lines))]):
+        while reach <= b:
+            while least and hashes[least[-1]] > hashes[reach]:
+                least.pop()
+            least.append(reach)
+            reach += 1
+        while least[0] < a:
+            least.popleft()
+        blank = a
+        while blank and not counts[blank - 1]:
+            blank -= 1
+        for i, j in [(a, b), *((a, t) for t in range(b + 1, stop)), *((h, b) for h in range(blank, a))]:
+            gram = (sums[j + 1] - sums[i] * powers[j + 1 - i]) % _PRIME
+            out.append((i, j, least[0], (hashes[least[0]] >> 64) - (1 << 63), gram.to_bytes(16, "big")))
+    return out
+
+
+def _windows(docs: DataFrame, min_words: int) -> DataFrame:
     def run(piece):
         data, offsets = shingles.utf8(piece.column("text"))
         raw, at, cols = data.tobytes(), offsets.tolist(), ([], [], [], [], [], [])
         for i in range(piece.num_rows):
-            for window in run_windows(raw[at[i]:at[i + 1]], min_words, whole_runs):
+            for window in run_windows(raw[at[i]:at[i + 1]], min_words):
                 for col, value in zip(cols, (i, *window)):
                     col.append(value)
         rows = pa.array(cols[0], pa.int32())
@@ -103,23 +98,18 @@ def _mask(starts: pd.Series, ends: pd.Series) -> pd.Series:
     return pd.Series([one(a, b) for a, b in zip(starts, ends)])
 
 
-def drop_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", whole_runs: bool = False) -> DataFrame:
+def drop_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: row (all input columns as a struct), text, n_lines, n_deleted.
 
-    With ``whole_runs`` a line is deleted when it lies in a run of whole lines that holds at least ``min_words`` words
-    and stands at an earlier place too, earlier by (doc_id, line). Without it, as ``LINES_SQL`` defines the registered
-    query, a line is deleted when it lies in a window (from a line with a word to the first line that makes
-    ``min_words`` words) that stands earlier: the end of a repeated run stays when no window ends there, and so do
-    blank lines before it. Every deleted line has an equal one that stays.
-
-    A repeated run is the union of its windows. With ``whole_runs`` a line of a run lies in the window that starts
-    at the run's first line, or else ends a window inside the run; so the windows to both sides give the longest
-    matching run, and no pair of places is ever extended alone.
+    A line is deleted when it lies in a run of whole lines that holds at least ``min_words`` words and stands at an earlier
+    place too, earlier by (doc_id, line). Every deleted line has an equal one that stays.
 
-    Each window selects its line of least hash as fingerprint, so equal windows anywhere select equal lines.
-    Fingerprints whose selected line is a single place are dropped. The windows around the others are joined by their
-    127-bit digests with their earliest place. A frequent line costs work in proportion to its places: the earliest
-    place is a partial aggregate, and the joins deal a key's rows to 16 tasks.
+    Each window selects its line of least hash as fingerprint, so equal windows anywhere select equal lines. Fingerprints whose
+    selected line is a single place are dropped. Around the others the places are joined: windows by their 127-bit digests with
+    the earliest place of the same window, and so are their extensions line by line to both sides, each of which may have an
+    earliest place of its own. The union of what matches is each longest repeated run. No two places are ever compared pair by
+    pair, so a frequent line costs work in proportion to its places: the earliest place is a partial aggregate, and the
+    joins deal a key's rows to 16 tasks.
 
     Lines end at a line feed and are compared as they are. Null text stays null, with no line; an empty text has
     one empty line. Rows that agree in id and text are one document, so none of them is the later one; a null id
@@ -128,16 +118,16 @@ def drop_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str
     """
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"),
                        F.xxhash64(F.col(id_col).cast("bigint"), F.col(text_col)).alias("h"))
-    windows = keep(_windows(rows.select("doc_id", "h", "text"), min_words, whole_runs))
+    windows = keep(_windows(rows.select("doc_id", "h", "text"), min_words))
     document = (F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("h").alias("h"))
     place, selected = F.struct(*document, F.col("start").alias("start")), F.struct(*document, F.col("at").alias("at"))
     marks = windows.groupBy("mark").agg(F.min(selected).alias("low"), F.max(selected).alias("high")).where("low <> high").select("mark")
     near = spread_join(windows, marks, ["mark"]).select("doc_id", "h", "start", "end", "gram", place.alias("place"))
     first = near.groupBy("gram").agg(F.min("place").alias("first"), F.count("*").alias("places")).where("places > 1")
     later = spread_join(near, first, ["gram"]).where("place <> first")
-    runs = later.groupBy("h").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
-    masks = runs.select(F.col("h").alias("key"), _mask("starts", "ends").alias("mask"))  # lists no longer than a document
-    joined = rows.join(masks, rows["h"] == masks["key"], "left").select("row", "text", "mask")
+    runs = later.groupBy("doc_id", "h").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
+    masks = runs.select(F.col("doc_id").alias("id"), F.col("h").alias("key"), _mask("starts", "ends").alias("mask"))  # lists no longer than a document
+    joined = rows.join(masks, (rows["h"] == masks["key"]) & rows["doc_id"].eqNullSafe(masks["id"]), "left").select("row", "text", "mask")
     kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.coalesce(F.get(F.col("mask"), i), F.lit(False)))
     return joined.select(
         "row", F.when(F.col("mask").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
@@ -151,7 +141,9 @@ r AS (SELECT doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM t),
 w AS (SELECT doc_id, i, l, len(regexp_extract_all(l, '[^ \\t\\n\\x0b\\f\\r]+')) AS n FROM r),
 c AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS c FROM w),
 m AS (SELECT doc_id, c, min(i) AS j FROM c GROUP BY doc_id, c),
-g AS (SELECT a.doc_id, a.i, b.j FROM c a ASOF JOIN m b ON a.doc_id = b.doc_id AND a.c - a.n + {MIN_WORDS} <= b.c WHERE a.n > 0),
+b AS (SELECT doc_id, c - n AS p, max(i) AS i FROM c GROUP BY doc_id, c - n),
+g AS (SELECT a.doc_id, a.i, m.j FROM c a ASOF JOIN m ON a.doc_id = m.doc_id AND a.c - a.n + {MIN_WORDS} <= m.c
+      UNION SELECT a.doc_id, b.i, a.i FROM c a ASOF JOIN b ON a.doc_id = b.doc_id AND a.c - {MIN_WORDS} >= b.p),
 x AS (SELECT g.doc_id, g.i, g.j, string_agg(c.l, chr(10) ORDER BY c.i) AS gram FROM g JOIN c ON g.doc_id = c.doc_id AND c.i BETWEEN g.i AND g.j GROUP BY ALL),
 y AS (SELECT *, row_number() OVER (PARTITION BY gram ORDER BY doc_id, i) AS place FROM x),
 z AS (SELECT DISTINCT c.doc_id, c.i FROM y JOIN c ON y.doc_id = c.doc_id AND c.i BETWEEN y.i AND y.j WHERE place > 1),

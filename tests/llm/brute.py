@@ -28,20 +28,29 @@ def jaccard_components(docs, width=5, percent=80):
 
 
 def repeated_runs(docs, min_words):
-    """doc_id -> (text that stays, number of lines deleted)."""
-    seen, gone = set(), defaultdict(set)
+    """doc_id -> (text that stays, number of lines deleted): every line of a run of min_words words or more that stands earlier too.
+
+    Such a run is made of the shortest runs with that many words that begin, or end, at each of its lines.
+    """
+    seen, spans, gone = {}, [], defaultdict(set)
     for d, t in sorted(docs, key=lambda r: r[0]):
         lines = t.split("\n")
-        for i, line in enumerate(lines):
-            if not line.encode().split():
-                continue
-            held = 0
-            for j in range(i, len(lines)):
-                held += len(lines[j].encode().split())
-                if held >= min_words:
-                    run = tuple(lines[i:j + 1])
-                    if run in seen:
-                        gone[d].update(range(i, j + 1))
-                    seen.add(run)
-                    break
+        words = [len(x.encode().split()) for x in lines]
+        found = set()
+        for step, at in ((1, range(len(lines))), (-1, range(len(lines)))):
+            for i in at:
+                held, j = 0, i
+                while 0 <= j < len(lines):
+                    held += words[j]
+                    if held >= min_words:
+                        found.add((min(i, j), max(i, j)))
+                        break
+                    j += step
+        for i, j in sorted(found):
+            run = tuple(lines[i:j + 1])
+            spans.append((d, i, j, run))
+            seen[run] = min(seen.get(run, (d, i)), (d, i))
+    for d, i, j, run in spans:
+        if seen[run] < (d, i):
+            gone[d].update(range(i, j + 1))
     return {d: ("\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d]), len(gone[d])) for d, t in docs}

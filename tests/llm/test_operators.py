@@ -275,17 +275,30 @@ def test_lines_whole_runs_against_all_pairs(spark):
     for words in (8, 50):
         gone = runs_by_pairs(docs, words)
         want = {d: ("\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d]), len(gone[d])) for d, t in docs}
-        got = lines.drop_repeated_runs(df, words, whole_runs=True).select("row.doc_id", "text", "n_deleted").collect()
+        got = lines.drop_repeated_runs(df, words).select("row.doc_id", "text", "n_deleted").collect()
         assert {r.doc_id: (r.text, r.n_deleted) for r in got} == want
-        assert want[101] == ("", 2)
+        assert want[101] == ("", 2) and want == repeated_runs(docs, words)
 
 
 def test_lines_windows_select_single_lines():
     text = "\n".join(f"line {i} of six words {i}" for i in range(40)).encode()
     found = lines.run_windows(text, 50)
     assert len({(w[2], w[3]) for w in found}) == len({w[3] for w in found}) < len(found)  # a fingerprint has one place
-    many = lines.run_windows(b"\n" * 20_000 + text, 50, whole_runs=True)
-    assert len(many) > 20_000
+    many = lines.run_windows(b"\n" * 20_000 + text, 50)
+    assert len(many) == len(found) + 20_000 and {w[1] for w in many if w[0] < 20_000} == {20_000 + found[0][1]}
+
+
+def test_lines_extensions_are_few_and_cover_every_run():
+    """Windows and extensions inside a run cover it, whatever the run; there are at most two spans a line."""
+    rng = random.Random(3)
+    for _ in range(300):
+        words = [rng.choice([0, 0, 1, 2, 3, 9, 20]) for _ in range(rng.randint(1, 30))]
+        spans = [w[:2] for w in lines.run_windows("\n".join("x " * n for n in words).encode(), 10)]
+        assert len(set(spans)) == len(spans) <= 2 * len(words) and all(sum(words[a:b + 1]) >= 10 for a, b in spans)
+        for i in range(len(words)):
+            for j in range(i, len(words)):
+                if sum(words[i:j + 1]) >= 10:
+                    assert {x for a, b in spans if i <= a and b <= j for x in range(a, b + 1)} == set(range(i, j + 1))
 
 
 def segmentations(table, part):
