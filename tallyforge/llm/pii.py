@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 import unicodedata
@@ -24,7 +25,13 @@ _LOOKALIKES = {
 }
 _HIDDEN = "​‌‍⁠﻿­"
 _DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
-_AT, _DOT = r"(?:at|arroba|arobase)", r"(?:dot|punto|punkt|point)"
+_AT_WORDS, _DOT_WORDS = ("at", "arroba", "arobase"), ("dot", "punto", "punkt", "point")
+# Last labels after which a plain "at" is read as an address, and words before "at" that are no mailbox.
+_TOP_LABELS = frozenset("com org net edu gov int mil info biz io co dev app ai eu uk de fr es it nl be ch se no fi dk pl pt br mx us ca au in jp cn ru example test".split())
+_NO_MAILBOX = frozenset("""a also am an and are available back be been but by can found go he her here him hosted i is it less live lives located look looked
+looking lives me mail more not now off on only online open or out over page pages posted published reach read see seen she site so start still stop than that
+the them then there they this those to today up us visit was we were what when where which who will with work works you""".split())
+_AT, _DOT = f"(?:{'|'.join(_AT_WORDS)})", f"(?:{'|'.join(_DOT_WORDS)})"
 
 _LETTERS = "".join(_LOOKALIKES) + _HIDDEN
 #: Also compatibility forms: letters in circles, full width, bold and so on.
@@ -32,13 +39,18 @@ _STRANGE = re.compile(f"[{re.escape(_LETTERS)}ª²³¹º⁰-₟℀-⅏①-⓿！
 _WORD = "|".join(_DIGIT_WORDS)
 _SPELLED = re.compile(rf"(?<![^\W_])(?:plus[\s-]+)?(?:{_WORD})(?:[\s,-]+(?:{_DOT}[\s,-]+)?(?:{_WORD}))+(?![^\W_])", re.I)
 _SPELLED_ONE = re.compile(rf"(?<![^\W_])(?:plus|{_DOT}|{_WORD})(?![^\W_])", re.I)
+#: A single digit word where numerals stand on both sides, or a dot word and then a numeral.
+_BESIDE = "|".join(rf"(?<=[0-9] {d} )" for d in _DOT_WORDS)
+_SPELLED_ALONE = re.compile(rf"(?:(?<=[0-9][ .-])|{_BESIDE})(?:{_WORD})(?=[ .-][0-9]| {_DOT} [0-9])", re.I)
 _IN_DIGITS = re.compile(r"(?<=[0-9])[OolI|](?=[0-9]|\.[0-9])|(?<=[0-9][ .-])[OolI|](?=[0-9])")
-_BRACKETED = re.compile(rf"\s*[\[({{<]\s*(?:({_AT}|@)|({_DOT}|\.))\s*[\])}}>]\s*", re.I)
+_BRACKETED = re.compile(rf"[\[({{<]\s*(?:({_AT}|@)|({_DOT}|\.))\s*[\])}}>]", re.I)
 _PART = r"[A-Za-z0-9][A-Za-z0-9-]*"
-_BARE = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?:\s+{_DOT}\s+[A-Za-z0-9._%+-]+)*\s+{_AT}\s+{_PART}(?:\s+{_DOT}\s+{_PART})+"
-                   rf"|@{_PART}(?:\.{_PART})*(?:\s+{_DOT}\s+{_PART})+|(?<![0-9])[0-9]{{1,3}}(?:\s+{_DOT}\s+[0-9]{{1,3}}){{3}}(?![0-9])", re.I)
-_BARE_WORD = re.compile(rf"\s+(?:({_AT})|({_DOT}))\s+", re.I)
-_HINT = re.compile(rf"\b{_DOT}\b|[\[({{<]\s*(?:{_AT}|@|\.)\s*[\])}}>]", re.I)
+_TOKEN = re.compile(r"\S+")
+_DOMAIN_PIECE = re.compile(rf"({_PART}(?:\.{_PART})*+)([^\w\s@]*)")
+_OPEN_DOMAIN = re.compile(rf"@{_PART}(?:\.{_PART})*\Z")
+_NUMBERS = r"[0-9]{1,3}(?:\.[0-9]{1,3}){0,2}"
+_NUMBERS_LEFT, _NUMBERS_RIGHT = re.compile(rf"(?<![0-9.])({_NUMBERS})\Z"), re.compile(rf"({_NUMBERS})(?![0-9])([^\w\s]*)")
+_HINT = re.compile(rf"\b{_DOT}\b|[\[({{<]\s*(?:{_AT}|@|\.)\s*[\])}}>]|(?<!\S)@(?!\S)|(?<!\S){_AT}\s+{_PART}\.[A-Za-z0-9]", re.I)
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -123,6 +135,9 @@ def _digits(m: Mapped) -> None:
         for word in _SPELLED_ONE.finditer(m.text, run.start(), run.end()):
             edits.append((at, word.end(), "+" if word.group().lower() == "plus" else _DIGIT_WORDS.get(word.group().lower(), ".")))
             at = word.end()
+    if edits:
+        m.rewrite(edits)
+    edits = [(*f.span(), _DIGIT_WORDS[f.group().lower()]) for f in _SPELLED_ALONE.finditer(m.text)]
     if edits:
         m.rewrite(edits)
     edits = [(*f.span(), "0" if f.group() in "Oo" else "1") for f in _IN_DIGITS.finditer(m.text)]
@@ -130,37 +145,119 @@ def _digits(m: Mapped) -> None:
         m.rewrite(edits)
 
 
-def _at_dot(m: Mapped) -> None:
-    edits = [(*f.span(), "@" if f.group(1) else ".") for f in _BRACKETED.finditer(m.text)]
-    if edits:
-        m.rewrite(edits)
-    edits = []
-    for run in _BARE.finditer(m.text):
-        edits += [(*f.span(), "@" if f.group(1) else ".") for f in _BARE_WORD.finditer(m.text, run.start(), run.end())]
+def _brackets(m: Mapped) -> None:
+    edits, done = [], 0
+    for f in _BRACKETED.finditer(m.text):
+        start, end = f.span()
+        while start > done and m.text[start - 1].isspace():
+            start -= 1
+        while end < len(m.text) and m.text[end].isspace():
+            end += 1
+        edits.append((start, end, "@" if f.group(1) else "."))
+        done = end
     if edits:
         m.rewrite(edits)
 
 
+def _bare_words(m: Mapped) -> None:
+    """Writes out "at" and "dot" that stand as words of their own: one pass over the tokens from left to right.
+
+    An address is a chain of local parts, "at", and a chain of domain parts with a dot, written or plain; without any
+    written dot its last label must be well known and its local part no common word. Each chain ends before the last address.
+    """
+    text = m.text
+    spans = [t.span() for t in _TOKEN.finditer(text)]
+    words = [text[a:b] for a, b in spans]
+    kinds = ["" if len(w) > 8 else "@" if w == "@" else "at" if w.lower() in _AT_WORDS else "dot" if w.lower() in _DOT_WORDS else "" for w in words]
+    marks, done = {}, -1
+
+    def domain(j: int) -> tuple[int, int, str]:
+        """The last token of the domain parts from token ``j`` on, their dots, the last label; -1 if there is none."""
+        dots, last, label = 0, -1, ""
+        while j < len(words):
+            piece = None if kinds[j] else _DOMAIN_PIECE.fullmatch(words[j])
+            if piece is None:
+                break
+            dots += piece.group(1).count(".") + (last >= 0)
+            last, label = j, piece.group(1).rpartition(".")[2]
+            if piece.group(2) or j + 1 >= len(words) or kinds[j + 1] != "dot":
+                break
+            j += 2
+        return last, dots, label
+
+    def local(k: int) -> tuple[int, str]:
+        """The first token of the local parts that end with token ``k``, and the part beside the "at"."""
+        first, beside = -1, ""
+        while k > done:
+            w = words[k]
+            at = len(w)
+            while at and w[at - 1] in _LOCAL:
+                at -= 1
+            if kinds[k] or at == len(w):
+                break
+            first, beside = k, beside or w[at:]
+            if at or k - 2 <= done or kinds[k - 1] != "dot":
+                break
+            k -= 2
+        return first, beside
+
+    for i, kind in enumerate(kinds):
+        if not kind or i <= done or i == 0:
+            continue
+        if kind == "dot":
+            if _OPEN_DOMAIN.search(words[i - 1]):
+                last = domain(i + 1)[0]
+                if last >= 0:
+                    marks.update((x, ".") for x in range(i, last, 2))
+                    done = last
+                continue
+            left = _NUMBERS_LEFT.search(words[i - 1][-12:]) if i - 1 > done else None
+            n, j = left.group(1).count(".") + 1 if left else 9, i
+            while n < 4 and j + 1 < len(words) and kinds[j] == "dot" and (right := _NUMBERS_RIGHT.fullmatch(words[j + 1])):
+                n, j = n + right.group(1).count(".") + 1, j + 2
+                if right.group(2):
+                    break
+            if n == 4 and j > i:
+                marks.update((x, ".") for x in range(i, j, 2))
+                done = j - 1
+            continue
+        last, dots, label = domain(i + 1)
+        if last < 0 or not dots:
+            continue
+        first, beside = local(i - 1)
+        written = last > i + 1 or first < i - 1 or kind == "@"
+        if first < 0 or not written and (label.lower() not in _TOP_LABELS or beside.lower() in _NO_MAILBOX):
+            continue
+        marks.update((x, ".") for x in range(first + 1, i, 2))
+        marks[i] = "@"
+        marks.update((x, ".") for x in range(i + 2, last, 2))
+        done = last
+    if marks:
+        m.rewrite([(spans[i - 1][1], spans[i + 1][0], new) for i, new in sorted(marks.items())])
+
+
 def hidden_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Spans that show only after rewriting and touch no base span of their kind.
+    """Spans that show only after rewriting and lie in no base span of their kind; one may reach over a base span that is a part of it.
 
-    The transducers run in turn: look-alike and hidden characters, spelled digits and letters among digits, then
-    written-out "at" and "dot". Each keeps the source span of every character it writes.
+    The transducers run in turn: look-alike and hidden characters, spelled digits and letters among digits, bracketed and
+    then bare "at" and "dot". Each keeps the source span of every character it writes, and takes time in proportion to the text.
     """
     odd = not text.isascii() and _STRANGE.search(text)
-    if not (odd or _HINT.search(text) or _SPELLED.search(text) or _IN_DIGITS.search(text)):
+    if not (odd or _HINT.search(text) or _SPELLED.search(text) or _SPELLED_ALONE.search(text) or _IN_DIGITS.search(text)):
         return []
     m = Mapped(text)
-    for step in (_homoglyphs, _digits, _at_dot):
+    for step in (_homoglyphs, _digits, _brackets, _bare_words):
         step(m)
     if m.text == text:
         return []
-    taken, out = {k: [s for s in base if s[0] == k] for k in KINDS}, []
+    known, out, done = {k: [s[1:] for s in base if s[0] == k] for k in KINDS}, [], dict.fromkeys(KINDS, 0)
     for kind, a, b in base_spans(m.text):
         start, end = m.starts[a], m.ends[b - 1]
-        if text[start:end] != m.text[a:b] and not any(s < end and start < e for _, s, e in taken[kind]):
+        at = bisect.bisect_right(known[kind], start, key=lambda s: s[0]) - 1
+        inside = at >= 0 and end <= known[kind][at][1]
+        if text[start:end] != m.text[a:b] and not inside and start >= done[kind]:
             out.append((kind, start, end))
-            taken[kind].append((kind, start, end))
+            done[kind] = end
     return out
 
 

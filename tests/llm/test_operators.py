@@ -127,6 +127,10 @@ def test_pii_base_equals_plain_patterns():
     ("mail john.doe at example dot com now", "email", "john.doe at example dot com"), ("x (at) mail [dot] org!", "email", "x (at) mail [dot] org"),
     ("to jоhn@exаmple.com ok", "email", "jоhn@exаmple.com"), ("call plus one two one two five five five zero one!", "phone", "plus one two one two five five five zero one"),
     ("at one nine two dot one six eight dot zero dot one", "ip", "one nine two dot one six eight dot zero dot one"),
+    ("write john at example.com today", "email", "john at example.com"), ("to john @ example.com.", "email", "john @ example.com"),
+    ("(john at mail.example dot com)", "email", "john at mail.example dot com"), ("tel +1 555 one 23 45 67", "phone", "+1 555 one 23 45 67"),
+    ("ip 192.168.one.1 ok", "ip", "192.168.one.1"), ("ip 192 dot 168 dot one dot 1, ok", "ip", "192 dot 168 dot one dot 1"), ("jоhn@example.com", "email", "jоhn@example.com"),
+    ("a.b [at] c-d [dot] e [dot] org", "email", "a.b [at] c-d [dot] e [dot] org"), ("x@mail dot org", "email", "x@mail dot org"),
     ("no ４１１１ １１１１ １１１１ １１１１", "card", "４１１１ １１１１ １１１１ １１１１"), ("4111 1111 l111 1111", "card", "4111 1111 l111 1111"), ("go 1O.0.0.1", "ip", "1O.0.0.1"),
 ])
 def test_pii_disguises(text, kind, part):
@@ -134,13 +138,51 @@ def test_pii_disguises(text, kind, part):
 
 
 def test_pii_leaves_prose_alone(spark):
-    for text in ("Look at the dot. One, two, three.", "We met at home at one", "a@b.co is at c.co", "é at ñ dot", "v1.2.3 at 10"):
+    for text in ("Look at the dot. One, two, three.", "We met at home at one", "a@b.co is at c.co", "é at ñ dot", "v1.2.3 at 10", "Read it at example.com.",
+                 "version 1 dot 2", "the point at which a dot ends", "at dot at dot", "dot com at", "@ dot @", "see @ home", "10 dot 20 dot 30"):
         assert pii.hidden_spans(text, pii.base_spans(text)) == []
     df = spark.createDataFrame([(1, "😀 a@b.co x (at) y (dot) org"), (2, None)], "doc_id long, text string")
     got = by_id(pii.find_pii(df), "doc_id", "spans", "n_email", "n_hidden")
     assert got == {1: ("email:2:8,email:9:27", 1, 1), 2: ("", 0, 0)}
 
 
+def disguised(rng, plain):
+    """One way to hide an address, a number or the like, of which all parts stay in order."""
+    swap = {"a": "а", "e": "е", "o": "о", "p": "р", "c": "с"}
+    name = {v: k for k, v in pii._DIGIT_WORDS.items() if k != "oh"}
+    if "@" in plain:
+        local, _, domain = plain.partition("@")
+        at, dot = rng.choice([(" at ", " dot "), (" [at] ", " [dot] "), ("(at)", "(dot)"), (" {at} ", "{dot}"), (" AT ", " DOT ")])
+        return rng.choice([local.replace(".", dot) + at + domain.replace(".", dot), local + at + domain.replace(".", dot), "".join(swap.get(c, c) for c in plain),
+                           local + at + domain, local + "@" + domain.replace(".", " dot ")])
+    return rng.choice(["".join(chr(ord(c) + 0xFEE0) if c.isdigit() else c for c in plain), " ".join({"+": "plus", ".": "dot"}.get(c) or name.get(c, "") for c in plain if c not in " -").strip()])
+
+
+def test_pii_finds_what_was_hidden():
+    rng = random.Random(11)
+    for _ in range(600):
+        part = lambda n: "".join(rng.choice("acepoxyz") for _ in range(n))
+        kind, plain = rng.choice([("email", f"{part(4)}.{part(3)}@{part(5)}.com"), ("email", f"{part(6)}@{part(3)}.{part(4)}.org"),
+                                  ("ip", ".".join(str(rng.randrange(10, 256)) for _ in range(4))), ("phone", f"+{rng.randrange(10**10, 10**11)}")])
+        hidden = disguised(rng, plain)
+        text = f"words before: {hidden} , and words after"
+        spans = {(k, text[a:b]) for k, a, b in pii.hidden_spans(text, pii.base_spans(text))}
+        assert (kind, hidden) in spans or hidden == plain, (text, spans)
+
+
+@pytest.mark.parametrize("text", ["x dot y " + "a dot " * 170_000, " " * 1_000_000 + "[dot] com", "a" + " " * 1_000_000 + "dot b", "john at mail dot com, " * 48_000, "[ " * 500_000 + "at ]",
+                                  "one " * 250_000, "at " * 330_000, "1 dot " * 170_000, "a.b-c" * 200_000 + " at x dot org", "a at " + "b." * 400_000 + " dot @", "jоhn@example.com " * 60_000])
+def test_pii_takes_time_in_proportion(text):
+    import time
+
+    def took(t):
+        start = time.process_time()
+        pii.hidden_spans(t, pii.base_spans(t))
+        return time.process_time() - start
+
+    assert took(text) < 20  # a megabyte takes seconds
+
+
 def test_chat_round_trip_windows_and_rewriting(spark):
     rng = random.Random(1)
     bits = ["</s>", "[INST] ", "\\", "<<SYS>>\n", " [/INST]", "a", "\n", "", "\\<", ">>\n", "é"]
