@@ -14,14 +14,22 @@ ORACLE_SQL = None
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality classifier accepts, with all their columns; it learns from all labelled rows here."""
+    """The documents that the quality classifier accepts, with all their columns; it learns from all labelled rows here.
+
+    Null and empty texts are scored like any other, repeated rows stay or go together, columns of any name pass. Without a
+    labelled document all stay; an empty table gives none.
+    """
     ship(spark)
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
     return quality.keep_quality(docs, model)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without line runs that stand in an earlier one; one that loses every word goes, others keep the rest."""
+    """The documents without line runs that stand in an earlier one; one that loses every word goes, others keep the rest.
+
+    Null texts stay as they are. Rows that agree in id and text are one document, so neither is the later one. Columns of any
+    name pass; ``n_chars`` follows a shortened text.
+    """
     ship(spark)
     out = lines.drop_repeated_runs(docs)
     out = out.where((F.col("n_deleted") == 0) | F.coalesce(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"), F.lit(False)))
@@ -44,13 +52,20 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents repeated to the target weights of their sources, in a random order."""
+    """The documents repeated to the target weights of their sources, in a random order.
+
+    A null source is one of the others, a null or empty text weighs nothing, rows repeated with one id get equal counts.
+    Columns of any name pass, also those that the operator adds under the same names.
+    """
     ship(spark)
-    return mixing.poisson_mix(docs).select(*[f"`{c}`" for c in docs.columns])
+    own = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c.lower() in ("copy", "shuffle_key")}
+    back = {v: k for k, v in own.items()}
+    renamed = docs.withColumnsRenamed(own) if own else docs
+    return mixing.poisson_mix(renamed).select(*[F.col(f"`{c}`").alias(back.get(c, c)) for c in renamed.columns])
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids, score and alternatives of every document."""
+    """doc_id, ids, score and alternatives of every document; null text gives nulls, repeated rows repeat, other columns go."""
     ship(spark)
     return pieces.encode(docs)
 
