@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyforge.session import shared_folder
@@ -70,6 +70,19 @@ def crc_mod(id_col, n: int):
     return (F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % n).cast("int")
 
 
+def least_hashed(rows: DataFrame, group: str, hash_col: str, n: int, most_groups: int) -> DataFrame:
+    """(group, hash): of each group the ``n`` distinct rows of least hash, at most; of more than ``most_groups`` groups the largest ones.
+
+    A count per group gives a bound on the hash that about 2 ``n`` rows of it meet, so the rows that are ranked, and the task that ranks
+    them, are bounded whatever the table's size and number of tasks.
+    """
+    counts = rows.groupBy(group).agg(F.count("*").alias("__n")).orderBy(F.desc("__n"), group).limit(most_groups)
+    share = F.least(F.lit(1.0), F.lit(2.0 * n + 200) / F.col("__n"))
+    near = rows.select(group, hash_col).join(F.broadcast(counts), group).where(F.col(hash_col) <= (share - 0.5) * F.lit(2.0 ** 64))
+    ranked = F.row_number().over(Window.partitionBy(group).orderBy(hash_col))
+    return near.select(group, hash_col).distinct().withColumn("__place", ranked).where(F.col("__place") <= n).drop("__place")
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches so that the texts of each piece hold about ``most`` bytes; keeps order and all rows."""
     for batch in batches:

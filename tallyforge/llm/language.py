@@ -5,13 +5,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import crc_mod, map_slices
+from tallyforge.llm.common import crc_mod, least_hashed, map_slices
 
 #: Buckets of letter-triple counts, and documents of each language that are learned from at most.
-BUCKETS, DOCS_PER_LANGUAGE = 1 << 16, 1000
+BUCKETS, DOCS_PER_LANGUAGE, MOST_LANGUAGES = 1 << 16, 1000, 1000
 #: What a change of language between two words costs, in units of the words' log-probabilities.
 SWITCH = 12.0
 #: A script counts as a language's own if it holds at least this share of its letters.
@@ -118,13 +118,15 @@ class LanguageModel:
 def fit_languages(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text",
                   lang_col: str = "lang") -> LanguageModel | None:
     """A model of the languages named in ``lang_col``, learned from at most ``docs_per_language`` documents of each (those
-    of least hashed id, whole). None without a document of known language. Counting runs on the executors; counts of
-    fixed size per language reach the driver."""
-    rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    ranked = Window.partitionBy("lang").orderBy("h")  # the limit acts before the shuffle
-    keys = rows.select("lang", F.xxhash64("key", F.lit("sample")).alias("h")).withColumn("place", F.row_number().over(ranked))
-    limits = keys.where(F.col("place") <= docs_per_language).groupBy("lang").agg(F.max("h").alias("limit"))  # a row per language
-    sample = rows.join(F.broadcast(limits), "lang").where(F.xxhash64("key", F.lit("sample")) <= F.col("limit")).select("lang", "text")
+    of least hashed id, whole) and at most ``MOST_LANGUAGES`` languages, those with the most documents. None without a document of
+    known language. Of documents that share an id one counts, and those without an id are one. Counting runs on the
+    executors; counts of fixed size per language reach the driver and the workers.
+    """
+    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col), F.lit("sample")).alias("h"))
+    rows = rows.where("text IS NOT NULL AND lang IS NOT NULL")
+    picked = least_hashed(rows, "lang", "h", docs_per_language, MOST_LANGUAGES)
+    limits = picked.groupBy("lang").agg(F.max("h").alias("limit"))  # a row per language
+    sample = rows.join(F.broadcast(limits), "lang").where("h <= limit").groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
 
     def count(piece):
         langs, texts = piece.column("lang").to_pylist(), piece.column("text").to_pylist()

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm import shingles
-from tallyforge.llm.common import crc_mod, map_slices, slices
+from tallyforge.llm.common import crc_mod, least_hashed, map_slices, slices
 
 #: Bytes of a window, bytes from one window to the next, numbers per byte, filters, and windows of a chunk.
 WINDOW, STRIDE, DIMS, FILTERS, CHUNK = 16, 4, 4, 16, 256
@@ -111,35 +111,38 @@ class ByteConv:
                 grads["emb"][:, j] += np.bincount(at.ravel(), back[:, :, j].ravel(), minlength=256)
 
 
-def _sampled_chunks(texts: list[str]) -> list[list[bytes]]:
+def _sampled_chunks(texts: list[str], most: int) -> list[list[bytes]]:
     out = []
     for text in texts:
         raw = text.encode()
         last = max(0, len(raw) - _CHUNK_BYTES)
-        count = min(SAMPLE_CHUNKS, -(-max(1, len(raw)) // _CHUNK_BYTES))
+        count = min(most, -(-max(1, len(raw)) // _CHUNK_BYTES))
         out.append([raw[a:a + _CHUNK_BYTES] for a in np.linspace(0, last, count).astype(int)])
     return out
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, docs_per_class: int = SAMPLE_DOCS, seed: int = 0, id_col: str = "doc_id",
-                text_col: str = "text", label_col: str = "quality") -> ByteConv | None:
+                text_col: str = "text", label_col: str = "quality", chunks_per_doc: int = SAMPLE_CHUNKS) -> ByteConv | None:
     """A classifier learned from at most ``docs_per_class`` labelled texts of each class; None without labelled rows.
 
-    The sample is the rows of least hashed id. At most ``SAMPLE_CHUNKS`` chunks spread evenly over each sampled text reach
-    the driver, so what it holds is bounded whatever the tables' sizes. Labels other than 0 and 1, null ids and null texts
-    are not used. Where a class is missing the other one decides.
+    The sample is the rows of least hashed id. At most ``chunks_per_doc`` chunks, spread evenly over each sampled text, reach
+    the driver, so what it holds is bounded whatever the tables' sizes; scoring pools over all chunks of a text. Labels other than
+    0 and 1, null ids and null texts are not used; of rows that share an id and a label one text counts. Where a class is
+    missing the other one decides.
     """
-    marked = labels.select(F.col(id_col).alias("key"), F.col(label_col).cast("int").alias("label")).where("key IS NOT NULL AND label IN (0, 1)")
-    ranked = Window.partitionBy("label").orderBy(F.xxhash64("key", F.lit(seed)), "key")  # the limit acts before the shuffle
-    sample = marked.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= docs_per_class).drop("place")
+    marked = labels.select(F.col(id_col).alias("key"), F.col(label_col).cast("int").alias("label")).where("key IS NOT NULL AND label IN (0, 1)").distinct()
+    hashed = marked.withColumn("h", F.xxhash64("key", F.lit(seed)))
+    sample = hashed.join(F.broadcast(least_hashed(hashed, "label", "h", docs_per_class, 2)), ["label", "h"]).select("key", "label")  # two classes
     texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).where("text IS NOT NULL")
-    picked = texts.join(F.broadcast(sample), "key").select("key", "text", "label")
+    picked = texts.join(F.broadcast(sample), "key").select("key", "text", "label")  # an id has at most two labels
 
     def cut_out(piece):
-        return pa.RecordBatch.from_arrays([piece.column("key").cast(pa.int64()), pa.array(_sampled_chunks(piece.column("text").to_pylist()), pa.list_(pa.binary())),
+        texts = piece.column("text").to_pylist()
+        return pa.RecordBatch.from_arrays([piece.column("key").cast(pa.int64()), pa.array(_sampled_chunks(texts, chunks_per_doc), pa.list_(pa.binary())),
                                            piece.column("label")], names=["key", "chunks", "label"])
 
-    rows = sorted(map_slices(picked, "text", cut_out, "key long, chunks array<binary>, label int").collect(), key=lambda r: (r.key, r.label))
+    cut = map_slices(picked, "text", cut_out, "key long, chunks array<binary>, label int")
+    rows = sorted(cut.groupBy("key", "label").agg(F.min("chunks").alias("chunks")).collect(), key=lambda r: (r.key, r.label))
     if not rows:
         return None
     return ByteConv(seed).fit([[bytes(c) for c in r.chunks] for r in rows], np.array([r.label for r in rows]), seed)
@@ -165,7 +168,11 @@ def score_quality(docs: DataFrame, model: ByteConv | None, id_col: str = "doc_id
 
 
 def keep_quality(docs: DataFrame, model: ByteConv | None, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` that score at least ``threshold``, with all their columns."""
+    """The rows of ``docs`` that score at least ``threshold``, with all their columns, whatever their names.
+
+    Null and empty texts get the score of a text without bytes; without a model every row stays. Repeated rows stay or go
+    together, an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def body(batches):

@@ -448,3 +448,73 @@ def test_language_viterbi_against_all_sequences():
 
         if b > a:
             assert math.isclose(total(labels[a:b]), max(map(total, itertools.product(range(3), repeat=int(b - a)))), rel_tol=1e-6)
+
+
+def plain_score(model, data):
+    """The network in loops, from its description: windows, filters, chunks, pooling, one logistic output."""
+    p, n = {k: v.astype(float) for k, v in model.p.items()}, len(data)
+    windows = [data[a:a + quality.WINDOW] + b"\0" * (quality.WINDOW - len(data[a:a + quality.WINDOW]))
+               for a in range(0, max(n - quality.WINDOW, 0) + (-max(n - quality.WINDOW, 0) % quality.STRIDE) + 1, quality.STRIDE)]
+    tops, means = [], []
+    for c in range(0, len(windows), quality.CHUNK):
+        responses = []
+        for w in windows[c:c + quality.CHUNK]:
+            numbers = [x for byte in w for x in p["emb"][byte]]
+            responses.append([max(0.0, sum(a * b for a, b in zip(numbers, p["filters"][:, f])) + p["bias"][f]) for f in range(quality.FILTERS)])
+        tops.append([max(r[f] for r in responses) for f in range(quality.FILTERS)])
+        means.append([sum(r[f] for r in responses) / len(responses) for f in range(quality.FILTERS)])
+    features = [pool([t[f] for t in part]) for part in (tops, means) for pool in (lambda x: sum(x) / len(x), max) for f in range(quality.FILTERS)]
+    return 1 / (1 + math.exp(-sum(a * b for a, b in zip(features, p["out"])) - p["out_bias"][0]))
+
+
+def test_quality_score_equals_plain_loops():
+    rng = np.random.default_rng(5)
+    model = quality.ByteConv(2)
+    model.p["out"] = rng.normal(0, 0.3, 4 * quality.FILTERS).astype(np.float32)
+    model.p["bias"] = rng.normal(0, 0.2, quality.FILTERS).astype(np.float32)
+    for n in (0, 1, 15, 16, 17, 20, 21, 500, 1036, 1037, 2500):
+        data = rng.integers(0, 256, n, dtype=np.uint8)
+        assert model.score(data) == pytest.approx(plain_score(model, data.tobytes()), abs=2e-4), n
+
+
+def test_quality_gradient_equals_differences():
+    rng = np.random.default_rng(6)
+    model = quality.ByteConv(3)
+    model.p = {k: v.astype(float) for k, v in model.p.items()}
+    model.p["out"] = rng.normal(0, 0.5, 4 * quality.FILTERS)
+    raw = rng.integers(97, 123, 700, dtype=np.uint8)
+    for label in (0.0, 1.0):
+        grads = {k: np.zeros_like(v) for k, v in model.p.items()}
+        model._gradient([raw.tobytes()], label, grads)
+
+        def loss():
+            s = model.score(raw)
+            return -math.log(s if label else 1 - s)
+
+        for name, at in (("out", 3), ("out", 40), ("out_bias", 0), ("bias", 2), ("filters", (5, 2)), ("filters", (33, 9)), ("emb", (100, 1)), ("emb", (110, 3))):
+            here, eps = model.p[name][at], 1e-5
+            model.p[name][at] = here + eps
+            up = loss()
+            model.p[name][at] = here - eps
+            down = loss()
+            model.p[name][at] = here
+            assert grads[name][at] == pytest.approx((up - down) / (2 * eps), rel=0.02, abs=1e-6), (name, at)
+
+
+def test_training_samples_are_bounded(spark, monkeypatch):
+    docs = spark.range(400).selectExpr("id % 40 AS doc_id", "concat('text ', id % 40) AS text", "CASE WHEN id % 3 = 0 THEN 'a' ELSE 'b' END AS lang").unionByName(
+        spark.range(50).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('none ', id) AS text", "'a' AS lang"))
+    labels = spark.range(400).selectExpr("id % 40 AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    held = []
+    monkeypatch.setattr(quality.ByteConv, "fit", lambda self, texts, marks, seed=0: held.append((texts, marks)) or self)
+    assert quality.fit_quality(docs, labels, docs_per_class=7) is not None
+    texts, marks = held[0]
+    assert len(texts) == 14 and sorted(marks.tolist()) == [0] * 7 + [1] * 7 and len({t[0] for t in texts}) == 14
+    seen = []
+    real = language.Words
+    monkeypatch.setattr(language, "Words", lambda texts: seen.extend(texts) or real(texts))
+    got = language.least_hashed(docs.selectExpr("lang", "xxhash64(doc_id) AS h"), "lang", "h", 5, 1).collect()
+    assert len(got) == 5 and len({r.lang for r in got}) == 1
+    everything = sorted(r.h for r in docs.where("lang = 'b'").selectExpr("xxhash64(doc_id) AS h").distinct().collect())
+    assert sorted(r.h for r in got) == everything[:5]
+    assert language.fit_languages(docs, 5) is not None
