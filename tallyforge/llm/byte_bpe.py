@@ -28,6 +28,12 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def default_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
@@ -42,13 +48,10 @@ class ByteBpe:
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str | None = None, part_chars: int = PART_CHARS, piece_chars: int = PIECE_CHARS):
-        import public_tokenizers
         import regex
         import tiktoken
 
-        self.pattern = pattern or public_tokenizers.PATTERN
-        if pattern not in (None, public_tokenizers.PATTERN):
-            part_chars = 1 << 62  # the boundaries are safe for the known pattern only
+        self.pattern = pattern or default_pattern()
         self.part_chars, self.piece_chars = part_chars, piece_chars
         self.encoding = tiktoken.Encoding("ranks", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
         self.whole = tiktoken.Encoding("piece", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})  # one match, found without a stack
@@ -103,15 +106,17 @@ _ENCODERS: dict[str, ByteBpe] = {}
 
 def _encoder(shared) -> ByteBpe:
     """The Python worker's encoder for broadcast ranks, kept from task to task."""
-    made, ranks, pattern = shared.value
+    made, *parts = shared.value
     if made not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[made] = ByteBpe(ranks, pattern)
+        _ENCODERS[made] = ByteBpe(*parts)
     return _ENCODERS[made]
 
 
 def _share(df: DataFrame, ranks: str | None, pattern: str | None):
-    return df.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, read_ranks(ranks or default_ranks()), pattern))
+    known = default_pattern()
+    part_chars = PART_CHARS if pattern in (None, known) else 1 << 62  # the boundaries are safe for the known pattern only
+    return df.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, read_ranks(ranks or default_ranks()), pattern or known, part_chars))
 
 
 def encode(docs: DataFrame, ranks: str | None = None, pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
