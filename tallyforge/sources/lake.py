@@ -7,6 +7,7 @@ probed one day at a time.
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Sequence
 
@@ -42,6 +43,8 @@ def lake_table(spark: SparkSession, path: str, schema: T.StructType | str | None
 
 #: A parquet file without rows is no larger than its footer; only files up to this size are looked at whole.
 EMPTY_FILE_BYTES = 16 << 20
+#: Files without rows that are opened by name; more of them than this are found among all small files.
+MOST_NAMED_FILES = 1000
 
 
 def files_left_out(spark: SparkSession, path: str, schema: T.StructType | str, day: str = "date") -> DataFrame:
@@ -57,18 +60,19 @@ def files_left_out(spark: SparkSession, path: str, schema: T.StructType | str, d
     def same(c):
         return F.regexp_replace(F.url_decode(c), "^file:/+", "/")
 
-    silent = listed.withColumn("__f", same("file")).join(read.select(same("file").alias("__f")), "__f", "left_anti").select("file", "__f")
-    small = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where(F.col("length") <= EMPTY_FILE_BYTES)
-             .withColumn("__f", same("path")).join(F.broadcast(silent.select("__f")) if _few(silent) else silent.select("__f"), "__f", "left_semi"))
-    valid = small.select("__f", "content").mapInArrow(_valid_files, "__f string")
-    out = silent.join(valid, "__f", "left_anti")
+    silent = listed.withColumn("__f", same("file")).join(read.select(same("file").alias("__f")), "__f", "left_anti").select("file", "__f", "length")
+    small = silent.where(F.col("length") <= EMPTY_FILE_BYTES)
+    names = [r.file for r in small.select("file").limit(MOST_NAMED_FILES + 1).collect()]
+    if len(names) <= MOST_NAMED_FILES:  # only these files are opened
+        contents = (spark.read.format("binaryFile").load([re.sub(r"([\[\]{}*?\\])", r"\\\1", n) for n in names]).select(same("path").alias("__f"), "content")
+                    if names else spark.createDataFrame([], "__f string, content binary"))
+    else:  # a lake with very many of them is read file by file, no larger than an empty one can be
+        contents = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where(F.col("length") <= EMPTY_FILE_BYTES)
+                    .select(same("path").alias("__f"), "content").join(small.select("__f"), "__f", "left_semi"))
+    out = silent.join(contents.mapInArrow(_valid_files, "__f string"), "__f", "left_anti")
     return out.select(F.regexp_extract("file", f"/{day}=([^/]*)/", 1).alias(day), "file")
 
 
-def _few(df: DataFrame, most: int = 1000) -> bool:
-    return df.limit(most + 1).count() <= most
-
-
 def _valid_files(batches):
     """Names of the files whose footers can be read."""
     import pyarrow as pa

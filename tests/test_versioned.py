@@ -110,11 +110,15 @@ def test_null_report_comes_with_the_rows(spark, frame, tmp_path):
     assert out.collect() == [] and lake.days_with_nulls(spark, seen).collect() == []
 
 
-def test_an_empty_valid_file_is_not_left_out(spark, frame, tmp_path):
+def test_an_empty_valid_file_is_not_left_out(spark, frame, tmp_path, monkeypatch):
     path, schema = str(tmp_path / "lake"), "device string, date date, n bigint"
     tables.append(frame(FACT, (1, "pc", "2020-01-01")), path, ["device", "date"])
     frame(FACT).select("n").coalesce(1).write.parquet(f"{path}/device=pc/date=2020-01-02")
     spark.range(1).selectExpr("'junk' AS value").write.text(f"{path}/device=pc/date=2020-01-03")
+    tables.append(frame(FACT, (2, "p[c]", "2020-01-04")), path, ["device", "date"])
+    frame(FACT).select("n").coalesce(1).write.parquet(f"{path}/device=p[c] x/date=2020-01-05")
+    assert [r.date for r in lake.files_left_out(spark, path, schema).collect()] == ["2020-01-03"]
+    monkeypatch.setattr(lake, "MOST_NAMED_FILES", 0)
     assert [r.date for r in lake.files_left_out(spark, path, schema).collect()] == ["2020-01-03"]
     plan = lake.lake_table(spark, path, schema, skip_unreadable=True).select("_metadata.file_path").distinct()._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<>" in plan
