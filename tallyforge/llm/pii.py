@@ -40,8 +40,7 @@ _WORD = "|".join(_DIGIT_WORDS)
 _SPELLED = re.compile(rf"(?<![^\W_])(?:plus[\s-]+)?(?:{_WORD})(?:[\s,-]+(?:{_DOT}[\s,-]+)?(?:{_WORD}))+(?![^\W_])", re.I)
 _SPELLED_ONE = re.compile(rf"(?<![^\W_])(?:plus|{_DOT}|{_WORD})(?![^\W_])", re.I)
 #: A single digit word where numerals stand on both sides, or a dot word and then a numeral.
-_BESIDE = "|".join(rf"(?<=[0-9] {d} )" for d in _DOT_WORDS)
-_SPELLED_ALONE = re.compile(rf"(?:(?<=[0-9][ .-])|{_BESIDE})(?:{_WORD})(?=[ .-][0-9]| {_DOT} [0-9])", re.I)
+_SPELLED_ALONE = re.compile(rf"[0-9](?:[ .-]| {_DOT} )({_WORD})(?=[ .-][0-9]| {_DOT} [0-9])", re.I)
 _IN_DIGITS = re.compile(r"(?<=[0-9])[OolI|](?=[0-9]|\.[0-9])|(?<=[0-9][ .-])[OolI|](?=[0-9])")
 _BRACKETED = re.compile(rf"[\[({{<]\s*(?:({_AT}|@)|({_DOT}|\.))\s*[\])}}>]", re.I)
 _PART = r"[A-Za-z0-9][A-Za-z0-9-]*"
@@ -137,7 +136,7 @@ def _digits(m: Mapped) -> None:
             at = word.end()
     if edits:
         m.rewrite(edits)
-    edits = [(*f.span(), _DIGIT_WORDS[f.group().lower()]) for f in _SPELLED_ALONE.finditer(m.text)]
+    edits = [(*f.span(1), _DIGIT_WORDS[f.group(1).lower()]) for f in _SPELLED_ALONE.finditer(m.text)]
     if edits:
         m.rewrite(edits)
     edits = [(*f.span(), "0" if f.group() in "Oo" else "1") for f in _IN_DIGITS.finditer(m.text)]
