@@ -82,28 +82,26 @@ class Model:
             "o_custkey AS account_id", "CAST(o_orderdate AS DATE) AS date", "o_orderstatus AS platform", "o_orderpriority AS play_mode")
 
     # -- purchases --------------------------------------------------------
-    @cached_property
-    def _lines(self) -> DataFrame:
-        """Purchases with the numeric part key, by which they join the products."""
+    def _ordered(self, lines: DataFrame, *more: str) -> DataFrame:
+        """Purchases out of order lines, with ``more`` columns that the lines bring along."""
         return (
-            self._joined("lineitem", "orders", "l_orderkey", "o_orderkey")
+            lines.join(self.table("orders"), F.expr("l_orderkey = o_orderkey"))
             .selectExpr(
                 "*", "CAST(round(l_extendedprice * 100) AS BIGINT) AS price",
                 "CASE WHEN l_tax = 0 THEN CAST(round(l_extendedprice * 100) AS BIGINT) ELSE "
                 "CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(round(l_discount * 100) AS BIGINT) div 100 END AS free_use")
             .selectExpr(
-                "o_custkey AS account_id", "o_orderkey AS transaction_id", "l_linestatus AS platform", "l_partkey AS part_key",
-                "CAST(l_partkey AS STRING) AS product_id",
+                "o_custkey AS account_id", "o_orderkey AS transaction_id", "l_linestatus AS platform", "CAST(l_partkey AS STRING) AS product_id",
                 "CASE WHEN l_returnflag = 'N' THEN NULL WHEN l_linestatus = 'O' THEN 'offer.' || CAST(l_partkey * 10 + l_linenumber AS STRING) "
                 "ELSE CAST(l_partkey * 10 + l_linenumber AS STRING) END AS sales_id",
                 "CAST(o_orderdate AS DATE) AS date", "o_orderdate + make_dt_interval(0, l_linenumber) AS time",
                 "CAST(l_quantity AS BIGINT) AS qty", "price", "free_use", "price - free_use AS paid_use",
-                "l_returnflag AS channel", "l_suppkey AS seller_id")
+                "l_returnflag AS channel", "l_suppkey AS seller_id", *more)
         )
 
     @cached_property
     def purchases(self) -> DataFrame:
-        return self._lines.drop("part_key")
+        return self._ordered(self.table("lineitem"))
 
     @cached_property
     def _parts(self) -> DataFrame:
@@ -118,8 +116,12 @@ class Model:
 
     @cached_property
     def sales(self) -> DataFrame:
-        """Purchases with their product's attributes."""
-        return self._lines.join(self._parts, "part_key").drop("part_key")
+        """Purchases with their product's attributes.
+
+        Lines meet their products first: a report on few products then sends only those lines to the orders.
+        """
+        lines = self.table("lineitem").join(self._parts, F.expr("l_partkey = part_key"))
+        return self._ordered(lines, *self._parts.columns[1:])
 
     @cached_property
     def offers(self) -> DataFrame:
