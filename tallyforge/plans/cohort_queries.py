@@ -46,7 +46,7 @@ def buyer_overlap(t):
 , a AS (SELECT account_id, min(time) AS first_a FROM sales WHERE event_name = 'Brand#1' GROUP BY 1)
 SELECT event_name, count(*) AS lines, count(DISTINCT account_id) AS users FROM sales JOIN a USING (account_id) WHERE time > first_a GROUP BY 1""")
 def after_event(t):
-    later = cohort.b_after_a(_brand(t, "Brand#1"), t.sales)
+    later = cohort.b_after_a(_brand(t, "Brand#1"), t.sales.select("account_id", "time", "event_name"))  # rows are dealt by all their columns
     return people_and_sums(later, "account_id", ["event_name"], {"users": True}, rows="lines")
 
 

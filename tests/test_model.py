@@ -2,6 +2,7 @@
 
 import pytest
 
+from tallyforge.plans import QUERIES
 from tallyforge.sources.model import Model
 from tests.conftest import rows
 
@@ -44,3 +45,13 @@ def test_lines_of_other_products_do_not_reach_the_orders(spark, folder):
     plan = _optimized(Model(spark, folder).sales.where("event_name = 'Brand#1'"))
     joins = [line for line in plan.splitlines() if "Join Inner" in line]
     assert "o_orderkey" in joins[0] and "p_partkey" not in joins[0] and len(joins) == 2  # the outermost comes first
+
+
+def test_after_event_moves_only_what_it_counts(spark, folder):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _optimized(got := QUERIES["after_event"](spark, folder))
+        assert "l_extendedprice" not in plan and "l_returnflag" not in plan
+        assert rows(got, "event_name", "lines", "users") == [("Brand#2", 8, 1)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
